@@ -1,0 +1,22 @@
+"""Size-checked small inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+MAX_ROWS = 4096
+MAX_BYTES = 4 << 20
+
+
+def bounded(df: DataFrame, rows: int = MAX_ROWS) -> DataFrame:
+    """``df`` as a local relation when it proves to be small, otherwise ``df`` itself.
+
+    Meant for computed inputs with few rows, such as the semesters present in a table: Catalyst's
+    estimate for them is the size of the whole table, so it would shuffle the other join side on a
+    handful of keys. At most ``rows + 1`` rows are fetched. A local relation has an exact size, so the
+    broadcast is Catalyst's own choice; beyond the bound the plan stays a distributed join.
+    """
+    head = df.limit(rows + 1).toArrow()
+    if head.num_rows > rows or head.nbytes > MAX_BYTES:
+        return df
+    return df.sparkSession.createDataFrame(head, df.schema)
