@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-class DuplicateKey(Exception):
-    """A batch holds a key twice, or a key the table already has."""
-
-
 def insert_if_absent(source: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
     """Source rows whose key is not there yet; existing rows are never changed.
 
@@ -53,11 +49,3 @@ def outside(existing: DataFrame, impacted: DataFrame, key: str) -> DataFrame:
 def replace(existing: DataFrame, impacted: DataFrame, rebuilt: DataFrame, key: str) -> DataFrame:
     """Delete-and-rebuild: impacted keys without rebuilt rows end up empty."""
     return outside(existing, impacted, key).unionByName(rebuilt)
-
-
-def require_unique(df: DataFrame, key: list[str], table: str) -> None:
-    """Fail like a primary key would, before anything is written."""
-    duplicate = df.groupBy(*key).count().filter("count > 1").first()
-    if duplicate is not None:
-        found = ", ".join(f"{name}={duplicate[name]}" for name in key)
-        raise DuplicateKey(f"{table}: {found} occurs {duplicate['count']} times")

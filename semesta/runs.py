@@ -118,50 +118,48 @@ def _loan_facts(sources: Sources, loans: DataFrame, dim_mahasiswa: DataFrame, di
 
 def initial_load(warehouse: Warehouse, sources: Sources) -> None:
     """Replace all dimensions and facts by a load of the whole sources."""
-    dimensions = {
-        "dim_waktu": _numbered("dim_waktu", dims.semesters(sources["hasil_studi"])),
-        "dim_program_studi": dims.study_programmes(sources["program_studi"]),
-        "dim_mahasiswa": _numbered("dim_mahasiswa", dims.students(sources["mahasiswa"])),
-        "dim_mata_kuliah": _numbered("dim_mata_kuliah", dims.courses(sources["mata_kuliah"])),
-        "dim_kategori_buku": dims.categories(sources["kategori_buku"]),
-    }
-    staged = {name: warehouse.stage(name, rows) for name, rows in dimensions.items()}
-    stored = {name: s.rows for name, s in staged.items()}
-    lines = facts.grade_lines(
-        sources["detail_nilai"],
-        sources["hasil_studi"],
-        stored["dim_waktu"],
-        stored["dim_mahasiswa"],
-        stored["dim_mata_kuliah"],
+    staged = warehouse.stage_all(
+        {
+            "dim_waktu": lambda: _numbered("dim_waktu", dims.semesters(sources["hasil_studi"])),
+            "dim_program_studi": lambda: dims.study_programmes(sources["program_studi"]),
+            "dim_mahasiswa": lambda: _numbered("dim_mahasiswa", dims.students(sources["mahasiswa"])),
+            "dim_mata_kuliah": lambda: _numbered("dim_mata_kuliah", dims.courses(sources["mata_kuliah"])),
+            "dim_kategori_buku": lambda: dims.categories(sources["kategori_buku"]),
+        }
     )
-    staged["fact_detail_nilai"] = warehouse.stage("fact_detail_nilai", lines)
-    recap = facts.gpa_recap(
-        staged["fact_detail_nilai"].rows, stored["dim_mahasiswa"], stored["dim_mata_kuliah"], sources["mahasiswa"]
+    terms, students, courses = (
+        staged[name].rows for name in ("dim_waktu", "dim_mahasiswa", "dim_mata_kuliah")
     )
+    staged |= warehouse.stage_all(
+        {
+            "fact_detail_nilai": lambda: facts.grade_lines(
+                sources["detail_nilai"], sources["hasil_studi"], terms, students, courses
+            ),
+            "fact_rekap_pinjam": lambda: _loan_facts(sources, sources["peminjaman"], students, terms),
+        }
+    )
+    recap = facts.gpa_recap(staged["fact_detail_nilai"].rows, students, courses, sources["mahasiswa"])
     staged["fact_rekap_ip"] = warehouse.stage("fact_rekap_ip", recap)
-    loans = _loan_facts(sources, sources["peminjaman"], stored["dim_mahasiswa"], stored["dim_waktu"])
-    staged["fact_rekap_pinjam"] = warehouse.stage("fact_rekap_pinjam", loans)
     warehouse.publish(replace=staged.values())
 
 
 def load_shared_dimensions(warehouse: Warehouse, sources: Sources) -> None:
     """Unseen semesters are added, students are upserted; known ids stay."""
     known = warehouse.tables()
-    key, id_column = dims.NATURAL_KEYS["dim_waktu"]
-    terms = extend_keys(
-        known["dim_waktu"], dims.new_semesters(sources["hasil_studi"], known["dim_waktu"]), key, id_column
-    )
-    merged = dims.upserted_students(sources["mahasiswa"], known["dim_mahasiswa"])
-    key, id_column = dims.NATURAL_KEYS["dim_mahasiswa"]
-    students = extend_keys(
-        merged.filter(F.col(id_column).isNotNull()),
-        merged.filter(F.col(id_column).isNull()).drop(id_column),
-        key,
-        id_column,
-    )
-    warehouse.publish(
-        replace=[warehouse.stage("dim_waktu", terms), warehouse.stage("dim_mahasiswa", students)]
-    )
+
+    def terms() -> DataFrame:
+        key, id_column = dims.NATURAL_KEYS["dim_waktu"]
+        unseen = dims.new_semesters(sources["hasil_studi"], known["dim_waktu"])
+        return extend_keys(known["dim_waktu"], unseen, key, id_column)
+
+    def students() -> DataFrame:
+        key, id_column = dims.NATURAL_KEYS["dim_mahasiswa"]
+        merged = dims.upserted_students(sources["mahasiswa"], known["dim_mahasiswa"])
+        unseen = merged.filter(F.col(id_column).isNull()).drop(id_column)
+        return extend_keys(merged.filter(F.col(id_column).isNotNull()), unseen, key, id_column)
+
+    staged = warehouse.stage_all({"dim_waktu": terms, "dim_mahasiswa": students})
+    warehouse.publish(replace=staged.values())
 
 
 def load_library_dimension(warehouse: Warehouse, sources: Sources) -> None:
@@ -195,16 +193,20 @@ def load_academic(warehouse: Warehouse, sources: Sources) -> None:
     mark = incremental.latest_semester(known["dim_waktu"], known["fact_detail_nilai"]).first()
     later = bounded(incremental.later_semesters(known["dim_waktu"], mark["tahun_akademik"], mark["semester"]))
 
-    key, id_column = dims.NATURAL_KEYS["dim_mata_kuliah"]
-    unseen = dims.new_courses(sources["mata_kuliah"], known["dim_mata_kuliah"])
-    courses = warehouse.stage(
-        "dim_mata_kuliah",
-        assign_keys(unseen, key, id_column, last_key(known["dim_mata_kuliah"], id_column)),
-    )
-    programmes = warehouse.stage(
-        "dim_program_studi", dims.new_study_programmes(sources["program_studi"], known["dim_program_studi"])
+    def unseen_courses() -> DataFrame:
+        key, id_column = dims.NATURAL_KEYS["dim_mata_kuliah"]
+        unseen = dims.new_courses(sources["mata_kuliah"], known["dim_mata_kuliah"])
+        return assign_keys(unseen, key, id_column, last_key(known["dim_mata_kuliah"], id_column))
+
+    staged = warehouse.stage_all(
+        {
+            "dim_mata_kuliah": unseen_courses,
+            "dim_program_studi": lambda: dims.new_study_programmes(
+                sources["program_studi"], known["dim_program_studi"]
+            ),
+        }
     )
-    all_courses = known["dim_mata_kuliah"].unionByName(courses.rows)
+    all_courses = known["dim_mata_kuliah"].unionByName(staged["dim_mata_kuliah"].rows)
 
     transcripts = sources["hasil_studi"].filter(F.col("tahun_akademik") >= mark["tahun_akademik"])
     lines = warehouse.stage(
@@ -214,13 +216,16 @@ def load_academic(warehouse: Warehouse, sources: Sources) -> None:
     # Grades of later semesters are all new: the watermark is the latest semester with any.
     recap = facts.gpa_recap(lines.rows, known["dim_mahasiswa"], all_courses, sources["mahasiswa"])
     recap = merge.insert_or_ignore(recap, known["fact_rekap_ip"], ["waktu_id", "mahasiswa_id"])
-    warehouse.publish(add=[courses, programmes, lines, warehouse.stage("fact_rekap_ip", recap)])
+    warehouse.publish(add=[*staged.values(), lines, warehouse.stage("fact_rekap_ip", recap)])
 
 
 def refresh_dashboard(warehouse: Warehouse) -> None:
     """Recompute the nine stored marts and switch them together."""
     tables = warehouse.tables()
-    warehouse.publish(replace=[warehouse.stage(name, mart(tables)) for name, mart in STORED_MARTS.items()])
+    staged = warehouse.stage_all(
+        {name: (lambda mart=mart: mart(tables)) for name, mart in STORED_MARTS.items()}
+    )
+    warehouse.publish(replace=staged.values())
 
 
 def initial_run(spark: SparkSession, root: str, sources: Sources) -> Warehouse:
