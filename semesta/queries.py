@@ -63,10 +63,10 @@ class Star(dict):
     def _dim_kategori_buku(self) -> DataFrame:
         return dims.categories(self.sources["kategori_buku"])
 
-    def grades(self, dim_waktu: DataFrame) -> DataFrame:
+    def grades(self, dim_waktu: DataFrame, hasil_studi: DataFrame | None = None) -> DataFrame:
         return facts.grade_lines(
             self.sources["detail_nilai"],
-            self.sources["hasil_studi"],
+            self.sources["hasil_studi"] if hasil_studi is None else hasil_studi,
             dim_waktu,
             self["dim_mahasiswa"],
             self["dim_mata_kuliah"],
@@ -129,16 +129,11 @@ class Campus:
     def watermark(self) -> DataFrame:
         return incremental.latest_semester(self.before["dim_waktu"], self.before["fact_detail_nilai"])
 
-    @cached_property
-    def later(self) -> DataFrame:
-        mark = self.watermark.first()
-        return bounded(
-            incremental.later_semesters(self.star["dim_waktu"], mark["tahun_akademik"], mark["semester"])
-        )
-
     @cached_property
     def new_grades(self) -> DataFrame:
-        return self.star.grades(self.later)
+        year, semester = self.watermark.first()
+        later = bounded(incremental.later_semesters(self.star["dim_waktu"], year, semester))
+        return self.star.grades(later, incremental.transcripts_from(self.sources["hasil_studi"], year))
 
     @cached_property
     def new_gpa(self) -> DataFrame:
@@ -156,7 +151,7 @@ class Campus:
 
     @cached_property
     def rebuilt_loans(self) -> DataFrame:
-        return self.star.loans(self.impacted)
+        return self.star.loans(self.impacted, incremental.loans_in(self.sources["peminjaman"], self.impacted))
 
     @cached_property
     def after(self) -> Star:

@@ -11,16 +11,14 @@ from contextlib import contextmanager
 from datetime import datetime
 from zoneinfo import ZoneInfo
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semesta.functions.semester import first_day, last_day
 from semesta.operators import merge
 from semesta.operators.bounded import bounded
 from semesta.operators.keys import assign_keys, extend_keys, last_key
 from semesta.plans import audit, dims, facts, incremental, marts
-from semesta.warehouse import Warehouse
+from semesta.warehouse import Warehouse, read_if_present
 
 # Process names and messages of the run history, and its time zone.
 INITIAL = "Initial Load Data Warehouse"
@@ -68,10 +66,7 @@ class RunLog:
         self.path = f"{root.rstrip('/')}/_run_events"
 
     def events(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(audit.EVENTS_DDL).parquet(self.path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], audit.EVENTS_DDL)
+        return read_if_present(self.spark, self.path, audit.EVENTS_DDL)
 
     def runs(self) -> DataFrame:
         return audit.run_log(self.events())
@@ -174,12 +169,7 @@ def rebuild_loan_facts(warehouse: Warehouse, sources: Sources, run_log: DataFram
     impacted = bounded(
         incremental.impacted_semesters(sources["peminjaman"], sources["denda"], known["dim_waktu"], checkpoint)
     )
-    # The days of the impacted semesters bound the loans to read; the source filters on them.
-    year, name = F.col("tahun_akademik"), F.col("semester")
-    first, last = impacted.agg(F.min(first_day(year, name)), F.max(last_day(year, name))).first()
-    if first is None:
-        return
-    loans = sources["peminjaman"].filter(F.col("tgl_pinjam").between(first, last))
+    loans = incremental.loans_in(sources["peminjaman"], impacted)
     rebuilt = warehouse.stage(
         "fact_rekap_pinjam", _loan_facts(sources, loans, known["dim_mahasiswa"], impacted)
     )
@@ -208,14 +198,16 @@ def load_academic(warehouse: Warehouse, sources: Sources) -> None:
     )
     all_courses = known["dim_mata_kuliah"].unionByName(staged["dim_mata_kuliah"].rows)
 
-    transcripts = sources["hasil_studi"].filter(F.col("tahun_akademik") >= mark["tahun_akademik"])
+    transcripts = incremental.transcripts_from(sources["hasil_studi"], mark["tahun_akademik"])
     lines = warehouse.stage(
         "fact_detail_nilai",
         facts.grade_lines(sources["detail_nilai"], transcripts, later, known["dim_mahasiswa"], all_courses),
     )
     # Grades of later semesters are all new: the watermark is the latest semester with any.
     recap = facts.gpa_recap(lines.rows, known["dim_mahasiswa"], all_courses, sources["mahasiswa"])
-    recap = merge.insert_or_ignore(recap, known["fact_rekap_ip"], ["waktu_id", "mahasiswa_id"])
+    added = [int(part) for part, _ in lines.folders]
+    present = known["fact_rekap_ip"].filter(F.col("waktu_id").isin(added))
+    recap = merge.insert_or_ignore(recap, present, ["waktu_id", "mahasiswa_id"])
     warehouse.publish(add=[*staged.values(), lines, warehouse.stage("fact_rekap_ip", recap)])
 
 

@@ -26,6 +26,8 @@ def build_session(app: str = "semesta", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "Asia/Jakarta",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # HotSpot does not compile methods beyond 8000 bytes; without this such stages run interpreted.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     for key, value in settings.items():
