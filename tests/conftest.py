@@ -19,7 +19,8 @@ def spark(tmp_path_factory):
         "semesta-tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
         },

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 import pytest
@@ -170,6 +171,39 @@ def test_loan_fact_keeps_a_hot_member_whole(spark, campus, star):
     assert rows(recap.drop("waktu_id")) == rows_of(*expected)
 
 
+def test_hot_loan_is_split_over_tasks(spark, campus, star):
+    """A loan with a third of all lines: the join that meets it is split at run time."""
+    loans = spark.range(1000).select(
+        F.col("id").alias("peminjaman_id"), F.lit("A1").alias("anggota_id"), F.lit(d("2020-10-01")).alias("tgl_pinjam")
+    )
+    lines = spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("peminjaman_id"),
+        F.format_string("B%d", F.xxhash64("id") % 5000).alias("buku_id"),
+    )
+    titles = lines.select("buku_id", F.lit(1).cast("smallint").alias("kategori_id")).distinct()
+    fines = loans.select("peminjaman_id", F.lit(10).alias("total_denda"))
+    settings = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        recap = _loans(campus, star, peminjaman=loans, detail_peminjaman=lines, denda=fines, buku=titles)
+        assert [tuple(r)[3:] for r in recap.collect()] == [(1000, 600000, titles.count())]
+        plan = recap._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert re.search(r"SortMergeJoin\(skew=true\) \[peminjaman_id#\d+L?\], \[loan#", plan)
+
+
 # Incremental load
 
 
