@@ -522,6 +522,5 @@ def sql(name: str) -> str:
                 needed.append(table)
 
     visit(QUERIES[name])
-    order = [table for table in needed]
-    ctes = ",\n".join(f"{table} AS MATERIALIZED ({TABLES[table]})" for table in order)
+    ctes = ",\n".join(f"{table} AS MATERIALIZED ({TABLES[table]})" for table in needed)
     return f"WITH {ctes}\n{QUERIES[name]}" if ctes else QUERIES[name]

@@ -19,7 +19,7 @@ from semesta.schemas import ForeignKey, Table
 Tables = Mapping[str, DataFrame]
 
 
-def _union(frames: Iterable[DataFrame]) -> DataFrame:
+def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -34,7 +34,7 @@ def _count_rules(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFra
 
 
 def not_null(tables: Tables, specs: Iterable[Table]) -> DataFrame:
-    return _union(
+    return union_all(
         _count_rules(tables[s.name], s.name, {f"{c} not null": F.col(c).isNull() for c in s.required})
         for s in specs
         if s.required
@@ -42,7 +42,7 @@ def not_null(tables: Tables, specs: Iterable[Table]) -> DataFrame:
 
 
 def domain_values(tables: Tables, specs: Iterable[Table]) -> DataFrame:
-    return _union(
+    return union_all(
         _count_rules(
             tables[s.name], s.name, {f"{c} domain": ~F.col(c).isin(*values) for c, values in s.domains.items()}
         )
@@ -52,7 +52,7 @@ def domain_values(tables: Tables, specs: Iterable[Table]) -> DataFrame:
 
 
 def ranges(tables: Tables, specs: Iterable[Table]) -> DataFrame:
-    return _union(
+    return union_all(
         _count_rules(tables[s.name], s.name, {f"{c} range": ~F.expr(valid) for c, valid in s.ranges.items()})
         for s in specs
         if s.ranges
@@ -60,7 +60,7 @@ def ranges(tables: Tables, specs: Iterable[Table]) -> DataFrame:
 
 
 def date_order(tables: Tables, specs: Iterable[Table]) -> DataFrame:
-    return _union(
+    return union_all(
         _count_rules(tables[s.name], s.name, {f"{c} order": ~F.expr(valid) for c, valid in s.date_order.items()})
         for s in specs
         if s.date_order
@@ -76,7 +76,7 @@ def _duplicates(df: DataFrame, table: str, key: tuple[str, ...]) -> DataFrame:
 
 
 def unique_keys(tables: Tables, specs: Iterable[Table]) -> DataFrame:
-    return _union(
+    return union_all(
         _duplicates(tables[s.name], s.name, key) for s in specs for key in (s.key, *s.unique)
     )
 
@@ -94,14 +94,14 @@ def _orphans(child: DataFrame, parent: DataFrame, table: str, fk: ForeignKey) ->
 
 
 def referential(tables: Tables, specs: Iterable[Table]) -> DataFrame:
-    return _union(
+    return union_all(
         _orphans(tables[s.name], tables[fk.parent], s.name, fk) for s in specs for fk in s.references
     )
 
 
 def logical_references(tables: Tables, specs: Iterable[Table]) -> DataFrame:
     """References across the two operational systems, which no database enforces."""
-    return _union(
+    return union_all(
         _orphans(tables[s.name], tables[fk.parent], s.name, fk) for s in specs for fk in s.logical_references
     )
 
@@ -113,7 +113,7 @@ def apply_defaults(df: DataFrame, spec: Table) -> DataFrame:
 
 def defaults_applied(tables: Tables, specs: Iterable[Table]) -> DataFrame:
     """Rows per column that get the declared default at ingest."""
-    return _union(
+    return union_all(
         _count_rules(tables[s.name], s.name, {f"{c} default": F.col(c).isNull() for c in s.defaults})
         for s in specs
         if s.defaults
@@ -122,7 +122,7 @@ def defaults_applied(tables: Tables, specs: Iterable[Table]) -> DataFrame:
 
 def row_counts(tables: Tables) -> DataFrame:
     """Labelled row count of every table."""
-    return _union(
+    return union_all(
         df.agg(F.count(F.lit(1)).alias("total")).select(F.lit(name).alias("tabel"), "total")
         for name, df in tables.items()
     )

@@ -215,7 +215,7 @@ def _summary(warehouse: Warehouse) -> DataFrame:
         "fact_rekap_ip": hundredths(F.col("ip_semester")) + F.col("total_sks") + F.col("jumlah_mata_kuliah"),
         "fact_rekap_pinjam": F.col("total_peminjaman") + F.col("jumlah_denda") + F.col("jumlah_buku"),
     }
-    return quality._union(
+    return quality.union_all(
         warehouse.read(name)
         .agg(F.count(F.lit(1)).alias("total"), F.sum(value).cast("bigint").alias("kontrol"))
         .select(F.lit(name).alias("tabel"), "total", "kontrol")
