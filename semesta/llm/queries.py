@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semesta.llm import bpe, chat, decontaminate, lines, quality, sharding, simhash
+from semesta.llm import ann, bpe, chat, decontaminate, html, lines, ngram, quality, sharding, simhash
 from semesta.llm.common import fold_of, table, whole
 
 SHARDS = 40
@@ -31,11 +31,26 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = html.extract(table(spark, sf_dir, "pages"))
+    return extracted.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("row")
 
 
+def op4_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold_of(F.col("doc_id"), 10) == 0
+    model = ngram.train(docs.filter(~held_out))
+    scored = ngram.score(docs, model)
+    return scored.withColumn("held_out", held_out).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, reach=3)
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -86,14 +101,22 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ann.Index(table(spark, sf_dir, "embeddings"), k=5)
+    return index.search(F.pmod(F.col("id"), F.lit(50)) == 0)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_html": op2_html,
     "op3_decontaminate": op3_decontaminate,
+    "op4_ngram": op4_ngram,
     "op5_simhash": op5_simhash,
     "op6_shards": op6_shards,
     "op7_lines": op7_lines,
     "op8_chat": op8_chat,
     "op9_quality": op9_quality,
+    "op10_neighbours": op10_neighbours,
 }
 
 #: DuckDB SQL for the queries that it can express.
