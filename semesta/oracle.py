@@ -71,15 +71,14 @@ def _gpa_fact(fact: str, students: str) -> str:
 
 
 def _loan_fact(loans: str, terms: str, students: str) -> str:
-    return f"""SELECT w.waktu_id, m.nim AS mahasiswa_id, b.kategori_id,
-        count(DISTINCT p.peminjaman_id) AS total_peminjaman, coalesce(sum(f.total_denda), 0)::BIGINT AS jumlah_denda,
-        count(DISTINCT dp.buku_id) AS jumlah_buku
-    FROM {loans} p JOIN detail_peminjaman dp ON dp.peminjaman_id = p.peminjaman_id
-    JOIN buku b ON b.buku_id = dp.buku_id JOIN anggota a ON a.anggota_id = p.anggota_id
-    JOIN {students} m ON m.nim = a.nim
-    JOIN {terms} w ON w.tahun_akademik = {_year('p.tgl_pinjam')} AND w.semester = {_term('p.tgl_pinjam')}
-    LEFT JOIN denda f ON f.peminjaman_id = p.peminjaman_id
-    GROUP BY w.waktu_id, m.nim, b.kategori_id"""
+    borrowed = f"""SELECT peminjaman_id, anggota_id, {_year('tgl_pinjam')} AS tahun_akademik, {_term('tgl_pinjam')} AS semester,
+        (SELECT sum(total_denda) FROM denda WHERE denda.peminjaman_id = l.peminjaman_id) AS fine FROM {loans} l"""
+    shelved = "SELECT peminjaman_id, buku_id, kategori_id FROM detail_peminjaman JOIN buku USING (buku_id)"
+    return f"""SELECT waktu_id, nim AS mahasiswa_id, kategori_id, count(DISTINCT peminjaman_id) AS total_peminjaman,
+        coalesce(sum(fine), 0)::BIGINT AS jumlah_denda, count(DISTINCT buku_id) AS jumlah_buku
+    FROM ({borrowed}) JOIN ({shelved}) USING (peminjaman_id) JOIN {terms} USING (tahun_akademik, semester)
+    JOIN (SELECT anggota_id, nim FROM anggota WHERE nim IN (SELECT nim FROM {students})) USING (anggota_id)
+    GROUP BY waktu_id, nim, kategori_id"""
 
 
 def _terms(transcripts: str) -> str:
@@ -156,9 +155,10 @@ TABLES = {
         SELECT 1 FROM old_fact_rekap_ip o WHERE o.waktu_id = n.waktu_id AND o.mahasiswa_id = n.mahasiswa_id)""",
     "after_fact_detail_nilai": "SELECT * FROM old_fact_detail_nilai UNION ALL SELECT * FROM new_fact_detail_nilai",
     "after_fact_rekap_ip": "SELECT * FROM old_fact_rekap_ip UNION ALL SELECT * FROM new_fact_rekap_ip",
-    "impacted": f"""SELECT DISTINCT w.* FROM peminjaman p LEFT JOIN denda f ON f.peminjaman_id = p.peminjaman_id
-        JOIN dim_waktu w ON w.tahun_akademik = {_year('p.tgl_pinjam')} AND w.semester = {_term('p.tgl_pinjam')}
-        WHERE p.tgl_pinjam >= {CUT} OR p.tgl_kembali_aktual >= {CUT} OR f.tgl_bayar >= {CUT}""",
+    "touched": f"""SELECT tgl_pinjam FROM peminjaman WHERE greatest(tgl_pinjam, tgl_kembali_aktual) >= {CUT}
+        UNION ALL SELECT tgl_pinjam FROM peminjaman WHERE peminjaman_id IN (SELECT peminjaman_id FROM denda WHERE tgl_bayar >= {CUT})""",
+    "impacted": f"""SELECT * FROM dim_waktu WHERE (tahun_akademik, semester) IN
+        (SELECT ({_year('tgl_pinjam')}, {_term('tgl_pinjam')}) FROM touched)""",
     "kept": "SELECT * FROM old_fact_rekap_pinjam WHERE waktu_id NOT IN (SELECT waktu_id FROM impacted)",
     "rebuilt": "SELECT * FROM fact_rekap_pinjam WHERE waktu_id IN (SELECT waktu_id FROM impacted)",
     # Per student and semester: GPA next to what was borrowed
@@ -170,8 +170,8 @@ TABLES = {
     "run_log": """SELECT event_id AS log_id, CASE event_type WHEN 'click' THEN 'Build Cross Domain Facts (Daily)'
             WHEN 'view' THEN 'Load Shared Dimensions' WHEN 'purchase' THEN 'Load Data Akademik DW'
             WHEN 'signup' THEN 'Load Data Perpustakaan Dimensi' WHEN 'error' THEN 'Refresh Semua Dashboard DW' END AS nama_proses,
-        ts AS waktu_mulai, if(value < 5, NULL, ts + to_seconds(floor(value)::BIGINT)) AS waktu_selesai,
-        if(value < 5, NULL, floor(value)::BIGINT) AS durasi_detik,
+        ts AS waktu_mulai, if(value < 5, NULL, ts + to_microseconds(round(value * 1000000)::BIGINT)) AS waktu_selesai,
+        if(value < 5, NULL, (round(value * 1000000)::BIGINT + 500000) // 1000000) AS durasi_detik,
         CASE WHEN value < 5 THEN 'RUNNING' WHEN value > 100 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
         if(value > 100, props, NULL) AS pesan_error FROM events""",
     # Marts the top-ten reports read
@@ -190,6 +190,12 @@ TABLES = {
         {_places('share')} AS persen_gagal, row_number() OVER (PARTITION BY angkatan
             ORDER BY share DESC, nama_mata_kuliah, jenis_mata_kuliah) AS ranking_matkul_kritis_angkatan FROM critical""",
     # Operational tables with broken constraints
+    "f_program_studi": """SELECT nullif(n_regionkey, 0) AS program_studi_id, jenjang, nama_program_studi, kelas FROM program_studi""",
+    "f_mata_kuliah": "SELECT if(p_size < 50, p_partkey::VARCHAR, NULL) AS mata_kuliah_id, p_name AS nama_mata_kuliah FROM part",
+    "f_mahasiswa": """SELECT if(c_mktsegment <> 'HOUSEHOLD', c_custkey::VARCHAR, NULL) AS nim, c_nationkey + 1 AS program_studi_id,
+        c_name AS nama_lengkap, if(c_custkey % 5 < 2, 'P', 'L') AS jenis_kelamin FROM customer""",
+    "f_hasil_studi": f"""SELECT if(o_orderpriority <> '5-LOW', o_orderkey::VARCHAR, NULL) AS khs_id, o_custkey::VARCHAR AS nim,
+        {_year('o_orderdate')} AS tahun_akademik, {_term('o_orderdate')} AS semester FROM orders""",
     "f_kategori_buku": "SELECT kategori_id, nullif(nama_kategori, 'PROMO') AS nama_kategori FROM kategori_buku",
     "f_buku": """SELECT buku_id, judul AS isbn, judul, if(p_size < 50, penulis, NULL) AS penulis, kategori_id,
         1875 + p_size AS tahun_terbit FROM buku""",
@@ -255,6 +261,11 @@ def _orphans(table: str, column: str, parent: str, rows: str, parent_rows: str,
 
 
 NOT_NULL = [
+    *_nulls("program_studi", "program_studi_id", "f_program_studi"),
+    *_nulls("mata_kuliah", "mata_kuliah_id", "f_mata_kuliah"),
+    *_nulls("mahasiswa", "nim", "f_mahasiswa"),
+    *_nulls("hasil_studi", "khs_id", "f_hasil_studi"),
+    *_nulls("detail_nilai", "detail_id", "(SELECT row_number() OVER () AS detail_id FROM lineitem)"),
     *_nulls("kategori_buku", "kategori_id nama_kategori", "f_kategori_buku"),
     *_nulls("buku", "buku_id judul penulis kategori_id", "f_buku"),
     *_nulls("eksemplar_buku", "eksemplar_id buku_id kondisi tersedia", "f_eksemplar_buku"),
@@ -263,16 +274,52 @@ NOT_NULL = [
     *_nulls("peminjaman", "peminjaman_id anggota_id tgl_pinjam tgl_kembali_rencana status petugas_id", "f_peminjaman"),
     *_nulls("detail_peminjaman", "detail_id peminjaman_id buku_id eksemplar_id", "f_detail_peminjaman"),
     *_nulls("denda", "denda_id peminjaman_id hari_keterlambatan total_denda status_pembayaran", "f_denda"),
-    *_nulls("dim_waktu", "tahun_akademik semester", "dim_waktu"),
-    *_nulls("dim_mahasiswa", "nim nama jenis_kelamin angkatan", "dim_mahasiswa"),
-    *_nulls("dim_program_studi", "jenjang nama_program_studi kelas", "program_studi"),
-    *_nulls("dim_mata_kuliah", "kode_mata_kuliah nama_mata_kuliah bobot_sks jenis_mata_kuliah", "dim_mata_kuliah"),
-    *_nulls("dim_kategori_buku", "nama_kategori", "dim_kategori_buku"),
+    *_nulls("dim_waktu", "waktu_id tahun_akademik semester", "dim_waktu"),
+    *_nulls("dim_mahasiswa", "mahasiswa_id nim nama jenis_kelamin angkatan", "(SELECT *, nim AS mahasiswa_id FROM dim_mahasiswa)"),
+    *_nulls("dim_program_studi", "program_studi_id jenjang nama_program_studi kelas", "program_studi"),
+    *_nulls("dim_mata_kuliah", "mata_kuliah_id kode_mata_kuliah nama_mata_kuliah bobot_sks jenis_mata_kuliah", "(SELECT *, kode_mata_kuliah AS mata_kuliah_id FROM dim_mata_kuliah)"),
+    *_nulls("dim_kategori_buku", "kategori_id nama_kategori", "dim_kategori_buku"),
     *_nulls("fact_detail_nilai", "waktu_id mahasiswa_id mata_kuliah_id", "f_fact_detail_nilai"),
     *_nulls("fact_rekap_ip", "waktu_id program_studi_id mahasiswa_id", "fact_rekap_ip"),
     *_nulls("fact_rekap_pinjam", "waktu_id mahasiswa_id kategori_id", "fact_rekap_pinjam"),
 ]
 
+# Declared text lengths.
+LENGTHS = [
+    _breaks(table, f"{column} length", f"length({column}) > {most}", rows)
+    for table, rows, columns in (
+        ("program_studi", "f_program_studi", {"jenjang": 5, "nama_program_studi": 100, "kelas": 20}),
+        ("mata_kuliah", "f_mata_kuliah", {"mata_kuliah_id": 10, "nama_mata_kuliah": 150}),
+        ("mahasiswa", "f_mahasiswa", {"nim": 20, "nama_lengkap": 100, "jenis_kelamin": 1}),
+        ("hasil_studi", "f_hasil_studi", {"khs_id": 20, "nim": 20, "tahun_akademik": 10, "semester": 10}),
+        (
+            "detail_nilai",
+            """(SELECT l_orderkey::VARCHAR AS khs_id, l_partkey::VARCHAR AS mata_kuliah_id, NULL::VARCHAR AS nilai_huruf,
+            if(l_quantity >= 25, 'Lulus', 'Tidak Lulus') AS status_lulus FROM lineitem)""",
+            {"khs_id": 20, "mata_kuliah_id": 10, "nilai_huruf": 5, "status_lulus": 15},
+        ),
+        ("kategori_buku", "(SELECT *, NULL::VARCHAR AS kode_ddc FROM f_kategori_buku)", {"nama_kategori": 60, "kode_ddc": 20}),
+        ("buku", "f_buku", {"buku_id": 8, "isbn": 20, "judul": 200, "penulis": 100}),
+        ("buku", "(SELECT penulis AS penerbit FROM buku)", {"penerbit": 80}),
+        ("eksemplar_buku", "f_eksemplar_buku", {"eksemplar_id": 10, "buku_id": 8, "kondisi": 15, "tersedia": 1}),
+        (
+            "anggota",
+            "f_anggota",
+            {"anggota_id": 25, "nim": 20, "nama_lengkap": 100, "jenis_kelamin": 1, "status_aktif": 1},
+        ),
+        ("kunjungan", "f_kunjungan", {"anggota_id": 25}),
+        ("peminjaman", "f_peminjaman", {"anggota_id": 25, "status": 15, "petugas_id": 10}),
+        ("detail_peminjaman", "f_detail_peminjaman", {"buku_id": 8, "eksemplar_id": 10}),
+        ("denda", "f_denda", {"status_pembayaran": 15}),
+        ("dim_waktu", "dim_waktu", {"tahun_akademik": 20, "semester": 10}),
+        ("dim_mahasiswa", "dim_mahasiswa", {"nim": 20, "nama": 150, "jenis_kelamin": 15}),
+        ("dim_program_studi", "program_studi", {"jenjang": 10, "nama_program_studi": 100, "kelas": 20}),
+        ("dim_mata_kuliah", "dim_mata_kuliah", {"kode_mata_kuliah": 20, "nama_mata_kuliah": 150, "jenis_mata_kuliah": 20}),
+        ("dim_kategori_buku", "dim_kategori_buku", {"nama_kategori": 100}),
+    )
+    for column, most in columns.items()
+]
+
 DOMAINS = [
     _breaks("eksemplar_buku", "kondisi domain", "kondisi NOT IN ('Baik', 'Rusak Ringan', 'Rusak Berat')"),
     _breaks("eksemplar_buku", "tersedia domain", "tersedia NOT IN ('Y', 'N')"),
@@ -304,10 +351,10 @@ DEFAULTS = [
 ]
 
 UNIQUE = [
-    _repeats("program_studi", "program_studi_id", "program_studi"),
-    _repeats("mata_kuliah", "mata_kuliah_id", "(SELECT p_partkey AS mata_kuliah_id FROM part)"),
-    _repeats("mahasiswa", "nim", "mahasiswa"),
-    _repeats("hasil_studi", "khs_id", "hasil_studi"),
+    _repeats("program_studi", "program_studi_id", "f_program_studi"),
+    _repeats("mata_kuliah", "mata_kuliah_id", "f_mata_kuliah"),
+    _repeats("mahasiswa", "nim", "f_mahasiswa"),
+    _repeats("hasil_studi", "khs_id", "f_hasil_studi"),
     _repeats("detail_nilai", "detail_id", "(SELECT row_number() OVER () AS detail_id FROM lineitem)"),
     _repeats("kategori_buku", "kategori_id", "f_kategori_buku"),
     _repeats("buku", "buku_id", "f_buku"),
@@ -334,11 +381,11 @@ UNIQUE = [
 ]
 
 REFERENCES = [
-    _orphans("mahasiswa", "program_studi_id", "program_studi", "mahasiswa", "program_studi"),
-    _orphans("hasil_studi", "nim", "mahasiswa", "hasil_studi", "mahasiswa"),
-    _orphans("detail_nilai", "khs_id", "hasil_studi", "(SELECT l_orderkey::VARCHAR AS khs_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey)", "hasil_studi"),
+    _orphans("mahasiswa", "program_studi_id", "program_studi", "f_mahasiswa", "f_program_studi"),
+    _orphans("hasil_studi", "nim", "mahasiswa", "f_hasil_studi", "f_mahasiswa"),
+    _orphans("detail_nilai", "khs_id", "hasil_studi", "(SELECT l_orderkey::VARCHAR AS khs_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey)", "f_hasil_studi"),
     _orphans("detail_nilai", "mata_kuliah_id", "mata_kuliah",
-             "(SELECT l_partkey::VARCHAR AS mata_kuliah_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey)", "dim_mata_kuliah", "kode_mata_kuliah"),
+             "(SELECT l_partkey::VARCHAR AS mata_kuliah_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey)", "f_mata_kuliah"),
     _orphans("buku", "kategori_id", "kategori_buku", "f_buku", "f_kategori_buku"),
     _orphans("eksemplar_buku", "buku_id", "buku", "f_eksemplar_buku", "f_buku"),
     _orphans("kunjungan", "anggota_id", "anggota", "f_kunjungan", "f_anggota"),
@@ -459,22 +506,23 @@ QUERIES = {
         sum(total_peminjaman)::BIGINT AS total_transaksi_pinjam, sum(jumlah_denda)::BIGINT AS total_denda_rp
         FROM fact_rekap_pinjam JOIN dim_waktu w USING (waktu_id) GROUP BY ROLLUP (w.tahun_akademik, w.semester)""",
     "korelasi_rajin_pinjam_ip": _tiers(
-        """CASE WHEN loans > 5 THEN '3 - Rajin (>5 Buku/Semester)' WHEN loans > 0 THEN '2 - Jarang (1-5 Buku/Semester)'
-            ELSE '1 - Tidak Pernah Pinjam' END""",
+        """CASE WHEN loans = 0 THEN '1 - Tidak Pernah Pinjam' WHEN loans BETWEEN 1 AND 5 THEN '2 - Jarang (1-5 Buku/Semester)'
+            ELSE '3 - Rajin (>5 Buku/Semester)' END""",
         "klasifikasi_peminjam", "total_sampel_semester", "Grand Total Populasi",
     ),
     "korelasi_denda_ip": _tiers(
-        "if(fines > 0, 'Pernah Terlambat (Kena Denda)', 'Disiplin (Tanpa Denda)')",
+        "CASE WHEN fines = 0 THEN 'Disiplin (Tanpa Denda)' ELSE 'Pernah Terlambat (Kena Denda)' END",
         "status_kedisiplinan_perpus", "total_sampel", "Rata-rata Keseluruhan Mahasiswa",
     ),
     "distribusi_ip": f"""SELECT kategori_ip, count(*) AS jumlah_mahasiswa,
         {_places(_percent('count(*)', '(sum(count(*)) OVER ())'))} AS persentase
-        FROM (SELECT CASE WHEN ip > 350 THEN 'Cumlaude (3.51 - 4.00)' WHEN ip > 300 THEN 'Sangat Memuaskan (3.01 - 3.50)'
-            WHEN ip > 250 THEN 'Memuaskan (2.51 - 3.00)' WHEN ip > 199 THEN 'Cukup (2.00 - 2.50)' ELSE 'Kurang (< 2.00)' END AS kategori_ip
+        FROM (SELECT CASE WHEN ip / 100.0 >= 3.51 THEN 'Cumlaude (3.51 - 4.00)'
+            WHEN ip / 100.0 >= 3.01 THEN 'Sangat Memuaskan (3.01 - 3.50)' WHEN ip / 100.0 >= 2.51 THEN 'Memuaskan (2.51 - 3.00)'
+            WHEN ip / 100.0 >= 2.00 THEN 'Cukup (2.00 - 2.50)' ELSE 'Kurang (< 2.00)' END AS kategori_ip
         FROM fact_rekap_ip) GROUP BY kategori_ip""",
     "buku_favorit_berprestasi": """SELECT nama_kategori, sum(total_peminjaman)::BIGINT AS total_peminjaman,
         dense_rank() OVER (ORDER BY sum(p.total_peminjaman) DESC) AS peringkat_buku_berprestasi
-        FROM fact_rekap_pinjam p JOIN fact_rekap_ip i ON i.mahasiswa_id = p.mahasiswa_id AND i.waktu_id = p.waktu_id AND i.ip >= 350
+        FROM fact_rekap_pinjam p JOIN fact_rekap_ip i ON i.mahasiswa_id = p.mahasiswa_id AND i.waktu_id = p.waktu_id AND i.ip / 100.0 >= 3.50
         JOIN kategori_buku USING (kategori_id) GROUP BY nama_kategori""",
     "gender_akademik_perpus": f"""SELECT if(grouping(m.jenis_kelamin) = 1, 'Semua Demografi (Total)', m.jenis_kelamin) AS jenis_kelamin,
         count(m.nim) AS total_mahasiswa, {_places(_half_up('sum(mean)', 'nullif(count(mean), 0) * 100000000000000::HUGEINT'))} AS rata_rata_ipk,
@@ -497,12 +545,13 @@ QUERIES = {
         count(*) FILTER (e.tersedia = 'Y') AS tersedia, count(*) FILTER (e.tersedia = 'N') AS dipinjam
         FROM buku b JOIN kategori_buku k USING (kategori_id) LEFT JOIN eksemplar_buku e ON e.buku_id = b.buku_id GROUP BY 1, 2, 3""",
     "dq_not_null": _report(NOT_NULL),
+    "dq_length": _report(LENGTHS),
     "dq_domain_values": _report(DOMAINS),
     "dq_range": _report(RANGES),
     "dq_date_order": _report(DATE_ORDER),
     "dq_unique_key": _report(UNIQUE),
     "dq_referential": _report(REFERENCES),
-    "dq_logical_fk": _report([_orphans("anggota", "nim", "mahasiswa", "f_anggota", "mahasiswa")]),
+    "dq_logical_fk": _report([_orphans("anggota", "nim", "mahasiswa", "f_anggota", "f_mahasiswa")]),
     "dq_defaults": _report(DEFAULTS),
     "row_count_reconciliation": _counts(),
     "etl_run_log": "SELECT * FROM run_log",

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from semesta.functions import decode
 from semesta.functions.rounding import half_up, hundredths, percent, two_places
 from semesta.operators import rank
-from semesta.operators.grouping import cube_sets, grouping_sets_by_entity, label, rollup_sets
+from semesta.operators.grouping import cube_sets, grouping_sets, grouping_sets_by_entity, label, rollup_sets
+from semesta.operators.settled import settled
 
 # Labels of subtotal rows and thresholds of the reports.
 ALL_YEARS, ALL_SEMESTERS = "Semua Tahun (Grand Total)", "Semua Semester (Sub-Total)"
@@ -153,7 +154,8 @@ def critical_courses_by_intake(
 
 def popular_categories(fact_rekap_pinjam: DataFrame, dim_kategori_buku: DataFrame) -> DataFrame:
     """Loans and titles per book category, ranked with gaps; category ids are SMALLINT, so few values are ranked."""
-    per_category = (
+    # Computed once: the ranked side needs no titles and would otherwise be planned as another aggregate.
+    per_category = settled(
         fact_rekap_pinjam.groupBy("kategori_id")
         .agg(F.sum("total_peminjaman").alias("loans"), F.sum("jumlah_buku").alias("titles"))
         .join(dim_kategori_buku.select("kategori_id", "nama_kategori"), "kategori_id")
@@ -170,14 +172,10 @@ def loan_trend(fact_rekap_pinjam: DataFrame, dim_waktu: DataFrame) -> DataFrame:
     per_semester = fact_rekap_pinjam.groupBy("waktu_id").agg(
         F.sum("total_peminjaman").alias("loans"), F.sum("jumlah_denda").alias("fines")
     )
+    named = per_semester.join(dim_waktu, "waktu_id").select(*_TERM, "loans", "fines")
+    sums = {"total_transaksi_pinjam": F.sum("loans"), "total_denda_rp": F.sum("fines")}
     return (
-        per_semester.join(dim_waktu, "waktu_id")
-        .rollup(*_TERM)
-        .agg(
-            F.sum("loans").alias("total_transaksi_pinjam"),
-            F.sum("fines").alias("total_denda_rp"),
-            *((F.grouping(d) == 1).alias(f"total_{d}") for d in _TERM),
-        )
+        grouping_sets(named, _TERM, rollup_sets(_TERM), sums)
         .orderBy(F.asc_nulls_last("tahun_akademik"), F.desc_nulls_first("semester"))
         .select(
             label("tahun_akademik", LOANS_ALL_YEARS).alias("tahun_akademik"),
@@ -210,18 +208,13 @@ def _gpa_by_lending(
             F.count("ip_semester").alias("graded"),
         )
     )
+    sums = {"samples": F.sum("samples"), "gpa": F.sum("gpa"), "graded": F.sum("graded")}
     return (
-        groups.groupingSets([[F.col(name)], []], F.col(name))
-        .agg(
-            F.sum("samples").alias(samples),
-            F.sum("gpa").alias("gpa"),
-            F.sum("graded").alias("graded"),
-            (F.grouping(name) == 1).alias(f"total_{name}"),
-        )
-        .filter(F.col(samples).isNotNull())
+        grouping_sets(groups, [name], [(name,), ()], sums)
+        .orderBy(F.asc_nulls_last(name))
         .select(
             label(name, total).alias(name),
-            samples,
+            F.coalesce("samples", F.lit(0)).alias(samples),
             two_places(half_up(F.col("gpa"), F.nullif(F.col("graded"), F.lit(0)))).alias("rata_rata_ip_semester"),
         )
     )
@@ -316,16 +309,15 @@ def gender_comparison(
             F.sum("fines").alias("fines"),
         )
     )
+    sums = {
+        "total_mahasiswa": F.coalesce(F.sum("students"), F.lit(0)),
+        "mean": F.sum("mean"),
+        "with_mean": F.sum("with_mean"),
+        "total_buku_dipinjam": F.coalesce(F.sum("loans"), F.lit(0)),
+        "total_akumulasi_denda_rp": F.coalesce(F.sum("fines"), F.lit(0)),
+    }
     return (
-        groups.groupingSets([[F.col("jenis_kelamin")], []], F.col("jenis_kelamin"))
-        .agg(
-            F.coalesce(F.sum("students"), F.lit(0)).alias("total_mahasiswa"),
-            F.sum("mean").alias("mean"),
-            F.sum("with_mean").alias("with_mean"),
-            F.coalesce(F.sum("loans"), F.lit(0)).alias("total_buku_dipinjam"),
-            F.coalesce(F.sum("fines"), F.lit(0)).alias("total_akumulasi_denda_rp"),
-            (F.grouping("jenis_kelamin") == 1).alias("total_jenis_kelamin"),
-        )
+        grouping_sets(groups, ["jenis_kelamin"], [("jenis_kelamin",), ()], sums)
         .select(
             label("jenis_kelamin", ALL_GENDERS).alias("jenis_kelamin"),
             "total_mahasiswa",

@@ -35,9 +35,20 @@ def _count_rules(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFra
 
 def not_null(tables: Tables, specs: Iterable[Table]) -> DataFrame:
     return union_all(
-        _count_rules(tables[s.name], s.name, {f"{c} not null": F.col(c).isNull() for c in s.required})
+        # A primary key is required too.
+        _count_rules(
+            tables[s.name], s.name, {f"{c} not null": F.col(c).isNull() for c in dict.fromkeys((*s.key, *s.required))}
+        )
+        for s in specs
+    )
+
+
+def lengths(tables: Tables, specs: Iterable[Table]) -> DataFrame:
+    """Texts longer than declared."""
+    return union_all(
+        _count_rules(tables[s.name], s.name, {f"{c} length": F.char_length(c) > n for c, n in s.lengths.items()})
         for s in specs
-        if s.required
+        if s.lengths
     )
 
 
@@ -81,7 +92,7 @@ def unique_keys(tables: Tables, specs: Iterable[Table]) -> DataFrame:
     )
 
 
-def _orphans(child: DataFrame, parent: DataFrame, table: str, fk: ForeignKey) -> DataFrame:
+def orphans(child: DataFrame, parent: DataFrame, table: str, fk: ForeignKey) -> DataFrame:
     """Number of child rows whose key has no parent; children are counted per key before the join."""
     counted = child.select(*fk.columns).dropna().groupBy(*fk.columns).agg(F.count(F.lit(1)).alias("_rows"))
     known = parent.select(*(F.col(p).alias(c) for p, c in zip(fk.parent_columns, fk.columns)))
@@ -95,14 +106,14 @@ def _orphans(child: DataFrame, parent: DataFrame, table: str, fk: ForeignKey) ->
 
 def referential(tables: Tables, specs: Iterable[Table]) -> DataFrame:
     return union_all(
-        _orphans(tables[s.name], tables[fk.parent], s.name, fk) for s in specs for fk in s.references
+        orphans(tables[s.name], tables[fk.parent], s.name, fk) for s in specs for fk in s.references
     )
 
 
 def logical_references(tables: Tables, specs: Iterable[Table]) -> DataFrame:
     """References across the two operational systems, which no database enforces."""
     return union_all(
-        _orphans(tables[s.name], tables[fk.parent], s.name, fk) for s in specs for fk in s.logical_references
+        orphans(tables[s.name], tables[fk.parent], s.name, fk) for s in specs for fk in s.logical_references
     )
 
 

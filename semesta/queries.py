@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 from semesta import runs
 from semesta.functions.rounding import hundredths
 from semesta.operators import merge
-from semesta.operators.bounded import bounded
 from semesta.operators.keys import assign_keys, extend_keys
+from semesta.operators.settled import settled
 from semesta.plans import audit, dims, facts, incremental, library, marts, quality
 from semesta.schemas import ACADEMIC, DIMENSIONS, FACTS, LIBRARY, SOURCES, WAREHOUSE
 from semesta.session import shared_dir
@@ -49,7 +49,7 @@ class Star(dict):
         return self[name]
 
     def _dim_waktu(self) -> DataFrame:
-        return dims.natural_ids("dim_waktu", bounded(dims.semesters(self.sources["hasil_studi"])))
+        return dims.natural_ids("dim_waktu", settled(dims.semesters(self.sources["hasil_studi"])))
 
     def _dim_mahasiswa(self) -> DataFrame:
         return dims.natural_ids("dim_mahasiswa", dims.students(self.sources["mahasiswa"]))
@@ -132,7 +132,7 @@ class Campus:
     @cached_property
     def new_grades(self) -> DataFrame:
         year, semester = self.watermark.first()
-        later = bounded(incremental.later_semesters(self.star["dim_waktu"], year, semester))
+        later = settled(incremental.later_semesters(self.star["dim_waktu"], year, semester))
         return self.star.grades(later, incremental.transcripts_from(self.sources["hasil_studi"], year))
 
     @cached_property
@@ -143,7 +143,7 @@ class Campus:
 
     @cached_property
     def impacted(self) -> DataFrame:
-        return bounded(
+        return settled(
             incremental.impacted_semesters(
                 self.sources["peminjaman"], self.sources["denda"], self.star["dim_waktu"], testbed.CUT
             )
@@ -237,7 +237,6 @@ def _incremental_run(c: Campus) -> DataFrame:
     return _summary(runs.incremental_run(c.spark, root, c.sources))
 
 
-_CHECKED = (*LIBRARY, *DIMENSIONS, *FACTS)
 _ALL = (*ACADEMIC, *LIBRARY, *DIMENSIONS, *FACTS)
 _LOANS = runs.LOAN_FACTS
 
@@ -248,7 +247,7 @@ PLANS: dict[str, Callable[[Campus], DataFrame]] = {
     "dim_mahasiswa_initial": lambda c: dims.students(c.sources["mahasiswa"]),
     "dim_mata_kuliah_initial": lambda c: dims.courses(c.sources["mata_kuliah"]),
     "dim_kategori_buku_initial": lambda c: dims.categories(c.sources["kategori_buku"]),
-    "dim_waktu_incremental": lambda c: dims.new_semesters(c.sources["hasil_studi"], bounded(c.existing["dim_waktu"])),
+    "dim_waktu_incremental": lambda c: dims.new_semesters(c.sources["hasil_studi"], settled(c.existing["dim_waktu"])),
     "dim_mahasiswa_upsert": lambda c: dims.upserted_students(c.sources["mahasiswa"], c.existing["dim_mahasiswa"]),
     "dim_mata_kuliah_incremental": lambda c: dims.new_courses(c.sources["mata_kuliah"], c.existing["dim_mata_kuliah"]),
     "dim_program_studi_incremental": lambda c: dims.new_study_programmes(
@@ -287,7 +286,8 @@ PLANS: dict[str, Callable[[Campus], DataFrame]] = {
         c.sources["buku"], c.sources["kategori_buku"], c.sources["eksemplar_buku"]
     ),
     # Data quality
-    "dq_not_null": lambda c: quality.not_null(c.flawed, _CHECKED),
+    "dq_not_null": lambda c: quality.not_null(c.flawed, _ALL),
+    "dq_length": lambda c: quality.lengths(c.flawed, _ALL),
     "dq_domain_values": lambda c: quality.domain_values(c.flawed, LIBRARY),
     "dq_range": lambda c: quality.ranges(c.flawed, LIBRARY),
     "dq_date_order": lambda c: quality.date_order(c.flawed, LIBRARY),

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from semesta.operators import merge
-from semesta.operators.bounded import bounded
 from semesta.operators.keys import assign_keys, extend_keys, last_key
+from semesta.operators.settled import settled
 from semesta.plans import audit, dims, facts, incremental, marts
 from semesta.warehouse import Warehouse, read_if_present
 
@@ -86,7 +86,7 @@ class RunLog:
             self._append(log_id, process, _now(), audit.FAILED, str(error))
             raise
         ended = _now()
-        message = done and done.format(seconds=int((ended - started).total_seconds()))
+        message = done and done.format(seconds=int((ended - started).total_seconds() + 0.5))
         self._append(log_id, process, ended, audit.SUCCESS, message)
 
 
@@ -166,7 +166,7 @@ def rebuild_loan_facts(warehouse: Warehouse, sources: Sources, run_log: DataFram
     """Delete and rebuild the loan facts of every semester touched since the last successful run."""
     known = warehouse.tables()
     checkpoint = incremental.last_success(run_log, LOAN_FACTS).first()["waktu_mulai"].date()
-    impacted = bounded(
+    impacted = settled(
         incremental.impacted_semesters(sources["peminjaman"], sources["denda"], known["dim_waktu"], checkpoint)
     )
     loans = incremental.loans_in(sources["peminjaman"], impacted)
@@ -181,7 +181,7 @@ def load_academic(warehouse: Warehouse, sources: Sources) -> None:
     """Add the grades and GPA rows of semesters after the latest loaded one."""
     known = warehouse.tables()
     mark = incremental.latest_semester(known["dim_waktu"], known["fact_detail_nilai"]).first()
-    later = bounded(incremental.later_semesters(known["dim_waktu"], mark["tahun_akademik"], mark["semester"]))
+    later = settled(incremental.later_semesters(known["dim_waktu"], mark["tahun_akademik"], mark["semester"]))
 
     def unseen_courses() -> DataFrame:
         key, id_column = dims.NATURAL_KEYS["dim_mata_kuliah"]

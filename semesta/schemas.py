@@ -29,6 +29,7 @@ class Table:
     references: tuple[ForeignKey, ...] = ()
     logical_references: tuple[ForeignKey, ...] = ()
     defaults: dict[str, object] = field(default_factory=dict)
+    lengths: dict[str, int] = field(default_factory=dict)
     partition: str | None = None
 
     @property
@@ -56,28 +57,33 @@ ACADEMIC = (
         "program_studi",
         "program_studi_id INT; jenjang STRING; nama_program_studi STRING; kelas STRING",
         key=("program_studi_id",),
+        lengths={"jenjang": 5, "nama_program_studi": 100, "kelas": 20},
     ),
     Table(
         "mata_kuliah",
         "mata_kuliah_id STRING; nama_mata_kuliah STRING; sks SMALLINT",
         key=("mata_kuliah_id",),
+        lengths={"mata_kuliah_id": 10, "nama_mata_kuliah": 150},
     ),
     Table(
         "mahasiswa",
         "nim STRING; program_studi_id INT; nama_lengkap STRING; jenis_kelamin STRING; angkatan SMALLINT; total_sks SMALLINT",
         key=("nim",),
+        lengths={"nim": 20, "nama_lengkap": 100, "jenis_kelamin": 1},
         references=(_fk("program_studi_id", "program_studi"),),
     ),
     Table(
         "hasil_studi",
         "khs_id STRING; nim STRING; tahun_akademik STRING; semester STRING; sks_ditempuh SMALLINT",
         key=("khs_id",),
+        lengths={"khs_id": 20, "nim": 20, "tahun_akademik": 10, "semester": 10},
         references=(_fk("nim", "mahasiswa"),),
     ),
     Table(
         "detail_nilai",
         "detail_id BIGINT; khs_id STRING; mata_kuliah_id STRING; nilai_angka DECIMAL(4,2); nilai_huruf STRING; status_lulus STRING",
         key=("detail_id",),
+        lengths={"khs_id": 20, "mata_kuliah_id": 10, "nilai_huruf": 5, "status_lulus": 15},
         references=(_fk("khs_id", "hasil_studi"), _fk("mata_kuliah_id", "mata_kuliah")),
     ),
 )
@@ -87,12 +93,14 @@ LIBRARY = (
         "kategori_buku",
         "kategori_id SMALLINT; nama_kategori STRING; kode_ddc STRING",
         key=("kategori_id",),
+        lengths={"nama_kategori": 60, "kode_ddc": 20},
         required=("kategori_id", "nama_kategori"),
     ),
     Table(
         "buku",
         "buku_id STRING; isbn STRING; judul STRING; penulis STRING; penerbit STRING; tahun_terbit SMALLINT; kategori_id SMALLINT",
         key=("buku_id",),
+        lengths={"buku_id": 8, "isbn": 20, "judul": 200, "penulis": 100, "penerbit": 80},
         required=("buku_id", "judul", "penulis", "kategori_id"),
         unique=(("isbn",),),
         ranges={"tahun_terbit": "tahun_terbit between 1900 and 2099"},
@@ -102,6 +110,7 @@ LIBRARY = (
         "eksemplar_buku",
         "eksemplar_id STRING; buku_id STRING; kondisi STRING; tersedia STRING",
         key=("eksemplar_id",),
+        lengths={"eksemplar_id": 10, "buku_id": 8, "kondisi": 15, "tersedia": 1},
         required=("eksemplar_id", "buku_id", "kondisi", "tersedia"),
         domains={"kondisi": CONDITIONS, "tersedia": YES_NO},
         references=(_fk("buku_id", "buku"),),
@@ -111,6 +120,7 @@ LIBRARY = (
         "anggota",
         "anggota_id STRING; nim STRING; nama_lengkap STRING; jenis_kelamin STRING; tgl_daftar DATE; tgl_expired DATE; status_aktif STRING",
         key=("anggota_id",),
+        lengths={"anggota_id": 25, "nim": 20, "nama_lengkap": 100, "jenis_kelamin": 1, "status_aktif": 1},
         required=("anggota_id", "nim", "nama_lengkap", "jenis_kelamin", "tgl_daftar", "tgl_expired", "status_aktif"),
         unique=(("nim",),),
         domains={"jenis_kelamin": GENDERS, "status_aktif": YES_NO},
@@ -122,6 +132,7 @@ LIBRARY = (
         "kunjungan",
         "kunjungan_id BIGINT; anggota_id STRING; tanggal DATE; jam_masuk STRING; durasi_menit SMALLINT",
         key=("kunjungan_id",),
+        lengths={"anggota_id": 25},
         required=("kunjungan_id", "anggota_id", "tanggal", "jam_masuk", "durasi_menit"),
         unique=(("anggota_id", "tanggal"),),
         ranges={"durasi_menit": "durasi_menit > 0"},
@@ -131,6 +142,7 @@ LIBRARY = (
         "peminjaman",
         "peminjaman_id BIGINT; anggota_id STRING; tgl_pinjam DATE; tgl_kembali_rencana DATE; tgl_kembali_aktual DATE; status STRING; petugas_id STRING",
         key=("peminjaman_id",),
+        lengths={"anggota_id": 25, "status": 15, "petugas_id": 10},
         required=("peminjaman_id", "anggota_id", "tgl_pinjam", "tgl_kembali_rencana", "status", "petugas_id"),
         domains={"status": LOAN_STATUS},
         date_order={
@@ -144,6 +156,7 @@ LIBRARY = (
         "detail_peminjaman",
         "detail_id BIGINT; peminjaman_id BIGINT; buku_id STRING; eksemplar_id STRING",
         key=("detail_id",),
+        lengths={"buku_id": 8, "eksemplar_id": 10},
         required=("detail_id", "peminjaman_id", "buku_id", "eksemplar_id"),
         references=(
             _fk("peminjaman_id", "peminjaman"),
@@ -155,6 +168,7 @@ LIBRARY = (
         "denda",
         "denda_id BIGINT; peminjaman_id BIGINT; hari_keterlambatan SMALLINT; total_denda INT; status_pembayaran STRING; tgl_bayar DATE",
         key=("denda_id",),
+        lengths={"status_pembayaran": 15},
         required=("denda_id", "peminjaman_id", "hari_keterlambatan", "total_denda", "status_pembayaran"),
         unique=(("peminjaman_id",),),
         domains={"status_pembayaran": FINE_STATUS},
@@ -169,12 +183,14 @@ DIMENSIONS = (
         "dim_waktu",
         "waktu_id INT; tahun_akademik STRING; semester STRING",
         key=("waktu_id",),
+        lengths={"tahun_akademik": 20, "semester": 10},
         required=("tahun_akademik", "semester"),
     ),
     Table(
         "dim_mahasiswa",
         "mahasiswa_id INT; nim STRING; nama STRING; jenis_kelamin STRING; angkatan INT",
         key=("mahasiswa_id",),
+        lengths={"nim": 20, "nama": 150, "jenis_kelamin": 15},
         required=("nim", "nama", "jenis_kelamin", "angkatan"),
         unique=(("nim",),),
     ),
@@ -182,12 +198,14 @@ DIMENSIONS = (
         "dim_program_studi",
         "program_studi_id INT; jenjang STRING; nama_program_studi STRING; kelas STRING",
         key=("program_studi_id",),
+        lengths={"jenjang": 10, "nama_program_studi": 100, "kelas": 20},
         required=("jenjang", "nama_program_studi", "kelas"),
     ),
     Table(
         "dim_mata_kuliah",
         "mata_kuliah_id INT; kode_mata_kuliah STRING; nama_mata_kuliah STRING; bobot_sks INT; jenis_mata_kuliah STRING",
         key=("mata_kuliah_id",),
+        lengths={"kode_mata_kuliah": 20, "nama_mata_kuliah": 150, "jenis_mata_kuliah": 20},
         required=("kode_mata_kuliah", "nama_mata_kuliah", "bobot_sks", "jenis_mata_kuliah"),
         unique=(("kode_mata_kuliah",),),
     ),
@@ -195,6 +213,7 @@ DIMENSIONS = (
         "dim_kategori_buku",
         "kategori_id INT; nama_kategori STRING; deskripsi STRING",
         key=("kategori_id",),
+        lengths={"nama_kategori": 100},
         required=("nama_kategori",),
     ),
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -10,8 +11,8 @@ from pyspark.sql import SparkSession
 def build_session(app: str = "semesta", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the warehouse jobs are written for.
 
-    Every computed broadcast side is size-checked by ``operators.bounded``; stored tables are left
-    to Catalyst's size statistics. Joins with a hot key are split by AQE, also where the split costs
+    Small computed sides are written and read back by ``operators.settled``; all joins are left to
+    Catalyst's size statistics and AQE. Joins with a hot key are split by AQE, also where the split costs
     one more shuffle later on.
     """
     builder = SparkSession.builder.appName(app)
@@ -38,13 +39,14 @@ def build_session(app: str = "semesta", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and staged tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session without one gets a
-    temporary folder; on a cluster a machine-local folder would be lost with its executor.
+    It is named in ``spark.checkpoint.dir``; tests and bench set it too. Only a session whose tasks all
+    run in this process (``local[..]``) gets a temporary folder where it is unset; everywhere else a
+    machine-local folder would be lost with its executor, so there it is an error.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="semesta-")
     if not context.getCheckpointDir():

@@ -6,25 +6,36 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from semesta.operators import merge, rank
-from semesta.operators.bounded import bounded
-from semesta.operators.grouping import cube_sets, grouping_sets_by_entity, rollup_sets
+from semesta.operators.grouping import cube_sets, grouping_sets, grouping_sets_by_entity, rollup_sets
 from semesta.operators.keys import assign_keys, extend_keys
+from semesta.operators.settled import settled
 from tests.conftest import rows
 
 
-def _is_local(df) -> bool:
-    return "LocalTableScan" in df._jdf.queryExecution().executedPlan().toString()
+def test_settled_keeps_rows_and_schema(spark):
+    for size in (0, 3, 5000):
+        data = spark.range(size).select(F.col("id"), F.col("id").cast("string").alias("name"))
+        kept = settled(data)
+        assert kept.schema.simpleString() == data.schema.simpleString()
+        assert rows(kept) == rows(data)
 
 
-def test_bounded_localises_small_inputs_only(spark):
-    small = spark.range(100).select((F.col("id") % 3).alias("k")).distinct()
-    assert _is_local(bounded(small)) and rows(bounded(small)) == [(0,), (1,), (2,)]
-    assert not _is_local(bounded(spark.range(100), rows=10))
-    assert bounded(spark.range(100), rows=10).count() == 100
+def test_more_categories_than_any_small_table(spark):
+    from semesta.sources import testbed
+
+    part = spark.range(5000).select(F.format_string("type %05d", F.col("id") % 4500).alias("p_type"))
+    numbered = testbed.kategori_buku(part)
+    assert rows(numbered, "kategori_id", "nama_kategori") == sorted(
+        ((n + 1, f"type {n:05d}") for n in range(4500)), key=repr
+    )
 
 
-def test_bounded_keeps_an_empty_input(spark):
-    assert bounded(spark.range(5).filter("id > 9")).count() == 0
+def test_grand_total_on_no_rows(spark):
+    nothing = spark.createDataFrame([], "s int, y string, v long")
+    by_entity = grouping_sets_by_entity(nothing, ["y"], rollup_sets(["y"]), "s", "n", {"v": F.col("v")})
+    assert rows(by_entity) == [(None, True, 0, None)]
+    plain = grouping_sets(nothing.select("y", "v"), ["y"], [("y",), ()], {"v": F.sum("v")})
+    assert rows(plain) == [(None, True, None)]
 
 
 def test_ranks_equal_plain_windows(spark):
