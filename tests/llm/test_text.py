@@ -1,0 +1,412 @@
+"""Operators on texts against brute force, and their edge cases."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+import xxhash
+from pyspark.sql import functions as F
+
+from semesta.llm import bpe, decontaminate, lines, ngram, quality, simhash
+from semesta.llm.common import fold_of
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def documents(spark, *texts, **more):
+    rows = [(i, text, "en", "s", len(text or "")) for i, text in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def words_of(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [w for w in re.split(r"[\x20\x09-\x0d]+", lowered) if w]
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+
+# Byte-level BPE
+
+
+@pytest.fixture(scope="module")
+def model():
+    return bpe.ByteBPE(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    with open(RANKS, "rb") as lines_:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines_)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+ODD = [
+    None, "", " ", "  two  spaces \n\n and\tmore \n x", "x\n \ny", "it's I'll we'd", "½ ２ 漢字漢字 \x00 😀😀 naïve",
+    "z" * 400, "nbsp   here　 ", "trailing \n ", "<|endoftext|>", "same text", "same text",
+]
+
+
+def test_bpe_equals_the_library_with_few_frequent_words(spark, model, encoder):
+    # Most words go the way of the rare ones.
+    docs = documents(spark, *ODD).withColumn("ids", F.lit("clash")).withColumn("word", F.lit(1))
+    out = model.encode(docs, frequent=3)
+    assert out.columns == [c for c in docs.columns if c != "ids"] + ["ids"]
+    got = out.select("text", "ids", model.decode(F.col("ids")).alias("b"), bpe.little_endian(F.col("ids")).alias("p"))
+    rows = got.collect()
+    assert len(rows) == len(ODD)
+    for row in rows:
+        expected = encoder.encode_ordinary(row["text"] or "")
+        assert row["ids"] == expected, row["text"]
+        assert bytes(row["b"]) == (row["text"] or "").encode()
+        assert bytes(row["p"]) == np.array(expected, "<u4").tobytes()
+
+
+def test_bpe_equals_the_library_on_the_corpus(spark, model, encoder, corpus):
+    rows = model.encode(corpus.select("doc_id", "text"), frequent=2000).collect()
+    assert all(row["ids"] == encoder.encode_ordinary(row["text"] or "") for row in rows)
+
+
+def test_bpe_of_an_empty_table(spark, model):
+    assert model.encode(documents(spark, "x").limit(0)).count() == 0
+
+
+def test_word_counts_cover_all_texts(spark, model, encoder):
+    docs = documents(spark, *ODD)
+    expected = Counter(w for t in ODD if t for w in bpe.regex.findall(public_tokenizers.PATTERN, t))
+    assert {row["word"]: row["n"] for row in model.word_counts(docs).collect()} == expected
+
+
+# Language model
+
+
+def brute_scores(rows):
+    texts = {i: [*words_of(t), None] for i, t in rows}
+    train = [texts[i] for i, _ in rows if zlib.crc32(str(i).encode()) % 10]
+    count = Counter(w for x in train for w in x)
+    total, distinct = sum(count.values()), len(count)
+    pairs = Counter(p for x in train for p in zip([None, *x], x, strict=False))
+    context, follows = defaultdict(lambda: [0, 0, 0, 0]), Counter()
+    for (u, v), k in pairs.items():
+        context[u][0] += k
+        context[u][min(k, 3)] += 1
+        follows[v] += 1
+    of = Counter(pairs.values()), Counter(follows.values())
+    by = [ngram.discounts([c[k] for k in range(1, 5)]) for c in of]
+
+    def taken(k, d):
+        return 0 if k == 0 else d[min(k, 3) - 1]
+
+    rest = sum(taken(k, by[1]) for k in follows.values()) / len(pairs)
+
+    def lower(v):
+        return (follows[v] - taken(follows[v], by[1])) / len(pairs) + rest / (distinct + 1)
+
+    def chance(u, v):
+        if u not in context:
+            return lower(v)
+        c, k = context[u], pairs[u, v]
+        return (k - taken(k, by[0])) / c[0] + sum(c[j + 1] * by[0][j] for j in range(3)) / c[0] * lower(v)
+
+    assert abs(sum(chance(None, v) for v in count) + chance(None, "\0") - 1) < 1e-9
+    return {
+        i: (
+            len(x),
+            sum(count[w] > 0 for w in x),
+            total,
+            sum(math.log10((count[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in x),
+            sum(math.log10(chance(u, v)) for u, v in zip([None, *x], x, strict=False)),
+        )
+        for i, x in texts.items()
+    }
+
+
+def test_ngram_equals_brute_force(spark, corpus):
+    extra = documents(spark, None, "", "A a A a", "a\x0bb\x1cc").withColumn("doc_id", F.col("doc_id") + 5000)
+    docs = corpus.unionByName(extra).withColumn("score", F.lit("clash"))
+    trained = ngram.train(docs.filter(fold_of(F.col("doc_id"), 10) != 0))
+    got = ngram.score(docs, trained).collect()
+    expected = brute_scores([(row["doc_id"], row["text"]) for row in docs.collect()])
+    for row in got:
+        n, known, total, base, score = expected[row["doc_id"]]
+        assert (row["n_tokens"], row["n_known"], row["train_tokens"]) == (n, known, total)
+        assert abs(row["base_score"] - base) < 1e-6 and abs(row["score"] - score) < 1e-6
+        assert math.isclose(row["perplexity"], 10 ** (-score / n), rel_tol=1e-6)
+    assert len(got) == len(expected)
+
+
+def test_ngram_without_training_rows(spark):
+    docs = documents(spark, "a b", None)
+    assert [row["score"] for row in ngram.score(docs, ngram.train(docs.limit(0))).collect()] == [0.0, 0.0]
+    assert ngram.score(docs.limit(0), ngram.train(docs)).count() == 0
+
+
+# SimHash near-dedup
+
+
+def brute_fingerprint(text):
+    w = words_of(text)
+    shingles = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(fps):
+    """Smallest id reachable over links of three bits or fewer, by id."""
+    parent = {i: i for i, _ in fps}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for n, (i, a) in enumerate(fps):
+        for j, b in fps[n + 1 :]:
+            if (a ^ b).bit_count() <= 3:
+                x, y = sorted((find(i), find(j)))
+                parent[y] = x
+    return {i: find(i) for i, _ in fps}
+
+
+def test_simhash_equals_brute_force(spark, corpus):
+    extra = documents(spark, None, "", "One two", "one  TWO", "x y z", " ").withColumn("doc_id", F.col("doc_id") + 5000)
+    docs = corpus.unionByName(extra).withColumn("fp", F.lit("clash")).withColumn("row", F.lit("clash"))
+    rows = simhash.near_duplicates(docs).collect()
+    texts = {row["doc_id"]: row["text"] for row in docs.collect()}
+    fps = [(i, brute_fingerprint(t)) for i, t in sorted(texts.items())]
+    assert {row["doc_id"]: row["fp"] % 2**64 for row in rows} == dict(fps)
+    assert {row["doc_id"]: row["component_id"] for row in rows} == brute_components(fps)
+    kept = {row["doc_id"] for row in simhash.first_of_group(docs).collect()}
+    assert kept == set(brute_components(fps).values())
+
+
+def test_simhash_repeated_rows_and_missing_ids(spark):
+    rows = [(None, "a b c d"), (None, "a b c d"), (3, "p q r s t"), (3, "p q r s t"), (None, "p q r s t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()), key=repr)
+    assert got == sorted([(None, None), (None, None), (3, 3), (3, 3), (None, 3)], key=repr)
+    assert sorted(r["text"] for r in simhash.first_of_group(docs).collect()) == ["a b c d", "p q r s t"]
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_vantage_point_trees_lose_no_link():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**63, 6000).astype(np.uint64)
+    flips = (np.uint64(1) << rng.integers(0, 64, (2, 2000)).astype(np.uint64)).T
+    near = base[:2000] ^ flips[:, 0] ^ flips[:, 1]
+    dense = base[0] ^ rng.integers(0, 1 << 9, 400).astype(np.uint64)
+    every = np.concatenate([base, near, dense])
+    tree = simhash.Tree(every, 7)
+    at, shard = tree.shards(every, 3)
+    own = defaultdict(set)
+    for i, s in zip(at.tolist(), shard.tolist(), strict=True):
+        own[i].add(s)
+    assert len(set(shard.tolist())) > 50
+    for i in range(2000):
+        assert own[i] & own[6000 + i]
+    u, v = simhash.forest(every, 3)
+    assert len(u) < len(every)
+    fps = [(int(x), int(x)) for x in np.unique(every)]
+    values = np.array([x for x, _ in fps], np.uint64)
+    parent = {x: x for x, _ in fps}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in zip(u.tolist(), v.tolist(), strict=True):
+        assert (a ^ b).bit_count() <= 64
+        parent[find(a)] = find(b)
+    for x in values[::7]:
+        for y in values[np.bitwise_count(values ^ x) <= 3]:
+            assert find(int(x)) == find(int(y))
+
+
+# Line dedup
+
+PASSAGE = "\n".join(f"shared line {n} with quite a few words in it, {n * n} of them" for n in range(30))
+
+
+def test_lines_repeated_passage_is_kept_once_wherever_it_stands(spark):
+    long_line = " ".join(f"w{n}" for n in range(60))
+    texts = [
+        "own beginning of the first\n" + PASSAGE + "\nown end of it",
+        "another start\nand a second line\n" + PASSAGE + "\nlast",
+        long_line + "\nfirst own line",
+        "second own line\n" + long_line,
+        "short\nlines",
+        "short\nlines",
+        None,
+        "",
+    ]
+    docs = documents(spark, *texts).withColumn("start", F.lit("clash"))
+    got = {row["doc_id"]: row for row in lines.dedup(docs, removed="removed").collect()}
+    assert got[0]["text"] == texts[0] and got[2]["text"] == texts[2]
+    assert got[1]["text"].startswith("another start\nand a second line\n") and got[1]["text"].endswith("last")
+    # All but the chunks at its two ends.
+    assert got[1]["text"].count("shared line") <= 12
+    assert got[3]["text"].strip("\n") == "second own line"
+    assert got[4]["text"] == got[5]["text"] == "short\nlines"
+    assert got[6]["text"] is None and got[7]["text"] == "" and got[7]["removed"] == []
+    for i, row in got.items():
+        whole, at, kept = texts[i] or "", 0, ""
+        for start, end in row["removed"]:
+            kept, at = kept + whole[at:start], end
+        assert (kept + whole[at:]).rstrip("\n") == (row["text"] or "").rstrip("\n")
+
+
+def test_lines_equal_brute_force(spark, corpus):
+    texts = {row["doc_id"]: row["text"] or "" for row in corpus.collect()}
+    seen, expected = set(), {}
+    for i in sorted(texts):
+        gone = []
+        for start, end in lines.removable(texts[i]):
+            chunk = texts[i][start:end].strip("\n")
+            if chunk in seen:
+                gone.append((start, end))
+            seen.add(chunk)
+        expected[i] = gone
+    got = lines.dedup(corpus, removed="removed").collect()
+    assert {row["doc_id"]: [tuple(x) for x in row["removed"]] for row in got} == expected
+    assert any(expected.values())
+
+
+def test_lines_boundaries_resist_shifts():
+    def inside(text):
+        return {text[a:b].strip("\n") for a, b, _, _ in lines.chunks(text)}
+
+    assert len(inside(PASSAGE) & inside("x\ny\nz\n" + PASSAGE)) >= len(inside(PASSAGE)) - 2
+    assert "".join(t[a:b] for t in [PASSAGE] for a, b, _, _ in lines.chunks(t)) == PASSAGE
+
+
+def test_lines_of_repeated_rows_and_an_empty_table(spark):
+    docs = documents(spark, PASSAGE)
+    assert [row["text"] for row in lines.dedup(docs.union(docs)).collect()] == [PASSAGE, PASSAGE]
+    twice = documents(spark, PASSAGE + "\n" + PASSAGE)
+    assert len(lines.dedup(twice).first()["text"]) < 1.3 * len(PASSAGE)
+    assert lines.dedup(docs.limit(0)).count() == 0
+
+
+# Decontamination
+
+ITEM = "A train leaves the station in Paris with 120 passengers, and after 45 minutes Alice counts 30 kg of luggage; Paris is far."
+
+
+def test_decontamination_finds_changed_numbers_and_names(spark):
+    changed = ITEM.replace("Paris", "Rome").replace("120", "77").replace("45", "50").replace("Alice", "Bob").replace("30", "12.5")
+    mixed = ITEM.replace("in Paris", "in Rome").replace("Alice", "Bob")
+    texts = [
+        f"Some words before it. {ITEM} And more after it.",
+        f"Other words stand here. {changed} The end.",
+        f"Other words stand here. {mixed} The end.",
+        "A train leaves the station in time with nobody aboard, which is a pity for the railway.",
+        None,
+        "",
+        "?" * 3000,
+    ]
+    docs = documents(spark, *texts).withColumn("row", F.lit("clash")).withColumn("template", F.lit(1))
+    items = spark.createDataFrame([(7, ITEM), (8, None), (9, "no"), (10, "")], "item_id long, text string")
+    found = {row["doc_id"]: row for row in decontaminate.leaks(docs, items).collect()}
+    # In the third text one city stands for Paris once and another the second time.
+    assert set(found) == {0, 1}
+    assert found[0]["changed"] == 0 and found[1]["changed"] >= 4
+    assert sorted(r["doc_id"] for r in decontaminate.decontaminate(docs, items).collect()) == [2, 3, 4, 5, 6]
+
+
+def test_decontamination_equals_plain_containment(spark, corpus):
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+
+    def plain(text):
+        return " " + " ".join(re.findall(r"\w+", (text or "").lower())) + " "
+
+    texts = [(row["doc_id"], plain(row["text"])) for row in corpus.collect()]
+    wanted = {(i, r["item_id"]) for r in items.collect() for i, t in texts if plain(r["text"]) in t}
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(corpus, items).collect()} == wanted
+
+
+def test_decontamination_short_items_and_empty_tables(spark):
+    docs = documents(spark, "Well, the quick brown fox jumps here.", "nothing of it")
+    items = spark.createDataFrame([(1, "the quick brown fox jumps")], "item_id long, text string")
+    assert [r["doc_id"] for r in decontaminate.leaks(docs, items).collect()] == [0]
+    assert decontaminate.leaks(docs.limit(0), items).count() == 0
+    assert decontaminate.decontaminate(docs, items.limit(0)).count() == 2
+    assert decontaminate.decontaminate(docs.union(docs), items).count() == 2
+
+
+# Quality classifier
+
+
+def test_quality_separates_held_out_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    model_ = quality.fit(docs, labels)
+    scored = model_.score(docs.withColumn("score", F.lit("clash"))).join(labels, "doc_id")
+    held = scored.filter(fold_of(F.col("doc_id"), quality.FOLDS) == 0).select("quality", "score").collect()
+    good = [r["score"] for r in held if r["quality"] == 1]
+    bad = [r["score"] for r in held if r["quality"] == 0]
+    assert sum(a > b for a in good for b in bad) > 0.95 * len(good) * len(bad)
+    assert sum(s >= quality.THRESHOLD for s in good) >= 0.97 * len(good)
+
+
+def test_quality_never_learns_held_out_labels(spark):
+    docs = documents(spark, *[f"text number {n} of all" for n in range(60)])
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    held = fold_of(F.col("doc_id"), quality.FOLDS) == 0
+    changed = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
+    scores = [
+        [r["score"] for r in quality.fit(docs, table).score(docs).orderBy("doc_id").collect()] for table in (labels, changed)
+    ]
+    assert scores[0] == scores[1]
+
+
+def test_quality_of_odd_rows(spark):
+    docs = documents(spark, None, "", "\n", "a " * 5000, "w" * 9000, "same", "same")
+    labels = spark.createDataFrame([(3, 1), (3, 1), (4, 0), (None, 1), (5, None)], "doc_id long, quality int")
+    scores = {r["doc_id"]: r["score"] for r in quality.fit(docs.union(docs), labels).score(docs).collect()}
+    assert len(scores) == 7 and all(0 <= s <= 1 for s in scores.values())
+    assert scores[0] == scores[1] == scores[2] and scores[5] == scores[6]
+    unlearned = quality.fit(docs, labels.limit(0))
+    assert {r["score"] for r in unlearned.score(docs).collect()} == {0.5}
+    assert unlearned.score(docs.limit(0)).count() == 0
+
+
+def test_quality_gradients_are_right():
+    rng = np.random.default_rng(0)
+    bags = [rng.normal(size=(n, quality.FEATURES)) for n in (1, 3, 2)]
+    y = np.array([1.0, 0.0, 1.0])
+    model_ = quality.learn([b.astype(np.float32) for b in bags], y)
+    x, starts = np.concatenate(bags), np.array([0, 1, 4])
+
+    def loss():
+        p = model_._forward(x, starts)["p"]
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    for name, gradient in model_.gradients(x, starts, y).items():
+        at = tuple(rng.integers(n) for n in gradient.shape)
+        weight = model_.weights[name]
+        old = weight[at]
+        weight[at] = old + 1e-5
+        up = loss()
+        weight[at] = old - 1e-5
+        down = loss()
+        weight[at] = old
+        assert abs((up - down) / 2e-5 - gradient[at]) < 1e-5, name
+
+
+def test_digest_of_the_decoded_text(model, spark):
+    row = model.encode(documents(spark, "Grüße 漢字")).select(F.sha2(model.decode(F.col("ids")), 256)).first()
+    assert row[0] == hashlib.sha256("Grüße 漢字".encode()).hexdigest()
