@@ -429,15 +429,16 @@ def _counts() -> str:
 
 
 def _summary(grades: str, gpas: str, names: str = "dim_mahasiswa") -> str:
+    whose = "(mahasiswa_id::BIGINT % 1009 + left(waktu_id, 4)::BIGINT + length(split_part(waktu_id, ' ', 2)))"
     control = {
         "dim_waktu": ("length(tahun_akademik)", "dim_waktu"),
         "dim_program_studi": ("program_studi_id", "program_studi"),
         "dim_mahasiswa": ("angkatan + length(nama) + nim::BIGINT", names),
         "dim_mata_kuliah": ("bobot_sks + kode_mata_kuliah::BIGINT", "dim_mata_kuliah"),
         "dim_kategori_buku": ("kategori_id + length(deskripsi)", "dim_kategori_buku"),
-        "fact_detail_nilai": ("bobot + status_lulus::INT", grades),
-        "fact_rekap_ip": ("ip + total_sks + jumlah_mata_kuliah", gpas),
-        "fact_rekap_pinjam": ("total_peminjaman + jumlah_denda + jumlah_buku", "fact_rekap_pinjam"),
+        "fact_detail_nilai": (f"{whose} * (bobot + status_lulus::INT)", grades),
+        "fact_rekap_ip": (f"{whose} * (ip + total_sks + jumlah_mata_kuliah)", gpas),
+        "fact_rekap_pinjam": (f"{whose} * (total_peminjaman + jumlah_denda + jumlah_buku)", "fact_rekap_pinjam"),
     }
     return " UNION ALL ".join(
         f"SELECT '{name}' AS tabel, count(*) AS total, sum({value})::BIGINT AS kontrol FROM {table}"
@@ -481,6 +482,7 @@ QUERIES = {
     "fact_rekap_pinjam_after_replace": f"SELECT {LOAN_COLUMNS} FROM kept UNION ALL SELECT {LOAN_COLUMNS} FROM rebuilt",
     "initial_run": _summary("fact_detail_nilai", "fact_rekap_ip"),
     "incremental_run": _summary("after_fact_detail_nilai", "after_fact_rekap_ip"),
+    "landing_load": _summary("fact_detail_nilai", "fact_rekap_ip"),
     "tingkat_ketidaklulusan": "SELECT * FROM ranked_failures",
     "tren_performa_akademik": f"""SELECT if(grouping(tahun_akademik) = 1, 'Semua Tahun (Grand Total)', tahun_akademik) AS tahun_akademik,
         if(grouping(semester) = 1, 'Semua Semester (Sub-Total)', semester) AS semester,

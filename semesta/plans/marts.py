@@ -85,7 +85,7 @@ def class_comparison(fact_rekap_ip: DataFrame, dim_program_studi: DataFrame) ->
     """Students and mean GPA per class type and overall."""
     return _gpa_by_term(
         fact_rekap_ip, dim_program_studi, "program_studi_id", ["kelas"], [("kelas",), ()]
-    ).select(
+    ).orderBy(F.asc_nulls_last("kelas")).select(
         label("kelas", ALL_CLASSES).alias("kelas"),
         F.col("students").alias("populasi_mahasiswa"),
         F.col("mean").alias("rata_rata_ipk_keseluruhan"),
@@ -105,7 +105,7 @@ def intake_cohorts(fact_rekap_ip: DataFrame, dim_mahasiswa: DataFrame, dim_waktu
         "credited": F.col("total_sks").isNotNull().cast("bigint"),
     }
     cube = grouping_sets_by_entity(rows, dimensions, cube_sets(dimensions), "mahasiswa_id", "students", sums)
-    return cube.select(
+    return cube.orderBy(*map(F.asc_nulls_last, dimensions)).select(
         *(label(d, COHORT_ALL[d]).alias(d) for d in dimensions),
         F.col("students").alias("jumlah_mahasiswa_aktif"),
         two_places(half_up(F.col("gpa"), F.nullif(F.col("graded"), F.lit(0)))).alias("rata_rata_ip_angkatan"),
@@ -318,6 +318,7 @@ def gender_comparison(
     }
     return (
         grouping_sets(groups, ["jenis_kelamin"], [("jenis_kelamin",), ()], sums)
+        .orderBy(F.asc_nulls_last("jenis_kelamin"))
         .select(
             label("jenis_kelamin", ALL_GENDERS).alias("jenis_kelamin"),
             "total_mahasiswa",

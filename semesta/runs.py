@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from semesta.operators import merge
 from semesta.operators.keys import assign_keys, extend_keys, last_key
 from semesta.operators.settled import settled
-from semesta.plans import audit, dims, facts, incremental, marts
+from semesta.plans import audit, dims, facts, incremental, library, marts
 from semesta.warehouse import Warehouse, read_if_present
 
 # Process names and messages of the run history, and its time zone.
@@ -58,6 +58,12 @@ LIVE_VIEWS: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
 }
 
 
+LIBRARY_VIEWS: dict[str, Callable[[Sources], DataFrame]] = {
+    "ringkasan_anggota": lambda s: library.member_summary(s["anggota"], s["peminjaman"], s["kunjungan"], s["denda"]),
+    "stok_buku": lambda s: library.title_stock(s["buku"], s["kategori_buku"], s["eksemplar_buku"]),
+}
+
+
 class RunLog:
     """Run history kept by appending events; nothing is updated in place, so a failure stays on record."""
 
@@ -149,7 +155,8 @@ def load_shared_dimensions(warehouse: Warehouse, sources: Sources) -> None:
 
     def students() -> DataFrame:
         key, id_column = dims.NATURAL_KEYS["dim_mahasiswa"]
-        merged = dims.upserted_students(sources["mahasiswa"], known["dim_mahasiswa"])
+        # Read twice: the known rows and the ones to be numbered.
+        merged = settled(dims.upserted_students(sources["mahasiswa"], known["dim_mahasiswa"]))
         unseen = merged.filter(F.col(id_column).isNull()).drop(id_column)
         return extend_keys(merged.filter(F.col(id_column).isNotNull()), unseen, key, id_column)
 
@@ -180,7 +187,7 @@ def rebuild_loan_facts(warehouse: Warehouse, sources: Sources, run_log: DataFram
 def load_academic(warehouse: Warehouse, sources: Sources) -> None:
     """Add the grades and GPA rows of semesters after the latest loaded one."""
     known = warehouse.tables()
-    mark = incremental.latest_semester(known["dim_waktu"], known["fact_detail_nilai"]).first()
+    mark = incremental.latest_semester(known["dim_waktu"], warehouse.semesters("fact_detail_nilai")).first()
     later = settled(incremental.later_semesters(known["dim_waktu"], mark["tahun_akademik"], mark["semester"]))
 
     def unseen_courses() -> DataFrame:
@@ -243,8 +250,10 @@ def incremental_run(spark: SparkSession, root: str, sources: Sources) -> Warehou
     return warehouse
 
 
-def register_views(spark: SparkSession, warehouse: Warehouse) -> None:
-    """Published tables, stored marts and live views as temp views for ``spark.sql``."""
+def register_views(spark: SparkSession, warehouse: Warehouse, sources: Sources | None = None) -> None:
+    """Published tables, stored marts and live views as temp views for ``spark.sql``; with sources, the library's too."""
+    for name, view in LIBRARY_VIEWS.items() if sources else ():
+        view(sources).createOrReplaceTempView(name)
     tables = warehouse.tables()
     for name, rows in tables.items():
         rows.createOrReplaceTempView(name)

@@ -176,3 +176,44 @@ def test_landing_reads_snapshot_and_batches_with_defaults(spark, campus, table,
 def test_declared_tables_are_complete():
     assert len(SOURCES) == 13 and len(WAREHOUSE) == 8
     assert d("2020-01-01").year == 2020
+
+
+def test_orphans_nulls_and_repeated_keys_are_not_published(spark, campus, table, tmp_path):
+    warehouse = runs.initial_run(spark, str(tmp_path), campus)
+    before = _contents(warehouse)
+    fact = warehouse.read("fact_rekap_pinjam")
+    orphan = fact.limit(1).withColumn("kategori_id", F.lit(99))
+    staged = warehouse.stage("fact_rekap_pinjam", orphan)
+    with pytest.raises(BrokenRule, match="kategori_id in dim_kategori_buku"):
+        warehouse.publish(add=[staged])
+    with pytest.raises(BrokenRule, match="published already"):
+        warehouse.publish(add=[warehouse.stage("dim_kategori_buku", warehouse.read("dim_kategori_buku").limit(1))])
+    with pytest.raises(BrokenRule, match="program_studi_id not null"):
+        warehouse.stage("dim_program_studi", table("dim_program_studi", (None, "S1", "x", "y")))
+    with pytest.raises(BrokenRule, match="mahasiswa_id in dim_mahasiswa"):
+        warehouse.publish(replace=[warehouse.stage("dim_mahasiswa", warehouse.read("dim_mahasiswa").filter("nim <> 'S1'"))])
+    assert _contents(warehouse) == before
+
+
+def test_nights_without_new_rows_publish_no_folders(spark, campus, tmp_path):
+    warehouse = runs.initial_run(spark, str(tmp_path), campus)
+    runs.load_academic(warehouse, campus)
+    once = {name for name, _, _ in warehouse._folders()[1]}, len(warehouse._folders()[1])
+    for _ in range(3):
+        runs.load_library_dimension(warehouse, campus)
+        runs.load_academic(warehouse, campus)
+    assert ({name for name, _, _ in warehouse._folders()[1]}, len(warehouse._folders()[1])) == once
+
+
+def test_null_keys_are_reported(spark, table):
+    students = table("mahasiswa", (None, 1, "a", "L", 2020, None), (None, 1, "b", "L", 2020, None))
+    report = quality.not_null({"mahasiswa": students}, [SOURCES["mahasiswa"]])
+    assert rows(report) == [("mahasiswa", "nim not null", 2)]
+
+
+def test_library_views_by_name(spark, campus, tmp_path):
+    warehouse = runs.initial_run(spark, str(tmp_path), campus)
+    runs.refresh_dashboard(warehouse)
+    runs.register_views(spark, warehouse, campus)
+    assert spark.sql("SELECT * FROM ringkasan_anggota").count() == campus["anggota"].count()
+    assert spark.sql("SELECT * FROM stok_buku").count() == campus["buku"].count()
