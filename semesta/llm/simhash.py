@@ -33,7 +33,7 @@ from semesta.llm.components import components
 #: Fingerprints that the tree's vantage points and medians are taken from, at most.
 SAMPLE = 1 << 16
 #: Fingerprints a shard is meant to hold, and the largest part that is compared pair by pair.
-SHARD, PART = 4096, 1024
+SHARD, PART = 32_768, 1024
 #: Share of a side's parent in it, own and overlapping: half, and over half as much again at three bits.
 _SHRINK = 0.64
 
