@@ -7,9 +7,10 @@ many is calibrated: for at most ``PROBES`` vectors the exact neighbours among al
 brute force in blocks, and leaf visits are widened until ``RECALL`` of them are reached.
 
 Equal vectors are indexed once, with their smallest ids: more can't be among the nearest of any query, as
-ties go to the smaller id. So a vector in a third of all rows is one entry. Leaves are cut into chunks of
-``CHUNK`` entries by a hash, and a query meets each chunk of a leaf that it visits; so no task grows with a
-leaf. Scores are computed pair by pair in double precision from the original vectors.
+ties go to the smaller id. So a vector in a third of all rows is one entry. Neighbouring leaves are put
+together up to ``CHUNK`` entries, and a larger leaf is cut into chunks by a hash; a query meets each chunk
+that holds a leaf it visits, is compared with those leaves only, and brings back its best from there once. So
+no task grows with a leaf, and what is shuffled follows the chunks, not the leaves. Scores are computed pair by pair in double precision from the original vectors.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without id or
 vectors of another length than the most frequent one (ties: the longer). Rows equal in id and vector are
@@ -34,7 +35,7 @@ from semesta.llm.common import stored
 SAMPLE, BRANCH, LEAF = 20_000, 8, 256
 #: Vectors that the width is calibrated with, at most, and the share of neighbours to be reached by them.
 PROBES, RECALL = 200, 0.97
-#: Entries of a leaf that a task holds.
+#: Entries that a task holds together.
 CHUNK = 4096
 
 
@@ -161,6 +162,18 @@ def _best(queries: np.ndarray, x: np.ndarray, ids: list[list[int]], most: int) -
     return out
 
 
+def grouped(sizes: dict[int, int]) -> dict[int, tuple[int, int]]:
+    """(group, number of its chunks) of each leaf: neighbouring leaves together up to CHUNK entries."""
+    out: dict[int, tuple[int, int]] = {}
+    group, held = 0, 0
+    for leaf, size in sorted(sizes.items()):
+        if held and held + size > CHUNK:
+            group, held = group + 1, 0
+        out[leaf] = (group, max(1, -(-size // CHUNK)))
+        held += size
+    return out
+
+
 class Index:
     """Vectors by leaf, with the calibrated width."""
 
@@ -177,7 +190,7 @@ class Index:
         self.placed = stored(self._place(), "leaves")
         sizes = self.placed.groupBy("leaf").count().collect()
         # One number a leaf; the tree has at most SAMPLE leaves.
-        self.chunks = {row["leaf"]: -(-row["count"] // CHUNK) for row in sizes}
+        self.groups = grouped({row["leaf"]: row["count"] for row in sizes})
         self.width = self._calibrate(sample) if self.count else 0
 
     def _fit(self) -> tuple[Tree, np.ndarray]:
@@ -223,42 +236,57 @@ class Index:
 
     def search(self, wanted: Column) -> DataFrame:
         """(query_id, rank, vec_id, score) for the rows that ``wanted`` (of ``id``) picks."""
-        tree, width, chunks, most = self.tree, self.width, self.chunks, self.k + 1
+        tree, width, groups, most = self.tree, self.width, self.groups, self.k + 1
         queries = self.rows.filter(wanted).distinct()
         distinct = queries.groupBy("vec").agg(F.min("id").alias("q"))
 
         def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                at, leaf, chunk = [], [], []
+                at, group, chunk, leaves = [], [], [], []
                 for i, query in enumerate(_unit(_matrix(batch.column(1).to_pylist()))) if batch.num_rows else ():
+                    visited: dict[tuple[int, int], list[int]] = {}
                     for node in tree.visits(query, width):
-                        for part in range(chunks.get(node, 0)):
+                        if node in groups:
+                            visited.setdefault(groups[node], []).append(node)
+                    for (one, parts), nodes in visited.items():
+                        for part in range(parts):
                             at.append(i)
-                            leaf.append(node)
+                            group.append(one)
                             chunk.append(part)
+                            leaves.append(nodes)
                 rows = batch.take(pa.array(at, pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(leaf, pa.int64()), pa.array(chunk, pa.int64()), *rows.columns], ["leaf", "chunk", "q", "vec"]
-                )
+                columns = [pa.array(group, pa.int64()), pa.array(chunk, pa.int64()), pa.array(leaves, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*columns, *rows.columns], ["group", "chunk", "leaves", "q", "vec"])
 
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                parts = [chunks.get(node, 1) for node in batch.column(0).to_pylist()]
-                drawn = [h % n for h, n in zip(batch.column(3).to_pylist(), parts, strict=True)]
-                columns = [batch.column(0), pa.array(drawn, pa.int64()), batch.column(1), batch.column(2)]
-                yield pa.RecordBatch.from_arrays(columns, ["leaf", "chunk", "vec", "ids"])
+                found = [groups[node] for node in batch.column(0).to_pylist()]
+                group = [one for one, _ in found]
+                drawn = [h % parts for h, (_, parts) in zip(batch.column(3).to_pylist(), found, strict=True)]
+                columns = [pa.array(group, pa.int64()), pa.array(drawn, pa.int64()), *batch.columns[:3]]
+                yield pa.RecordBatch.from_arrays(columns, ["group", "chunk", "leaf", "vec", "ids"])
 
         def meet(key, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
             if not len(asked) or not len(held):
                 return pd.DataFrame({"q": [], "id": [], "score": []})
-            best = _best(_matrix(asked["vec"]), _matrix(held["vec"]), [list(x) for x in held["ids"]], most)
-            rows = [(q, one, s) for q, found in zip(asked["q"], best, strict=True) for s, one in found]
-            return pd.DataFrame(rows, columns=["q", "id", "score"])
-
-        asked = distinct.select("q", "vec").mapInArrow(visit, "leaf bigint, chunk bigint, q bigint, vec binary")
+            queries = _matrix(asked["vec"])
+            best: list[list[tuple[float, int]]] = [[] for _ in range(len(queries))]
+            by_leaf: dict[int, list[int]] = {}
+            for i, nodes in enumerate(asked["leaves"]):
+                for node in nodes:
+                    by_leaf.setdefault(int(node), []).append(i)
+            for node, rows in held.groupby("leaf"):
+                at = by_leaf.get(int(node), [])
+                found = _best(queries[at], _matrix(rows["vec"]), [list(x) for x in rows["ids"]], most) if at else []
+                for i, pairs in zip(at, found, strict=True):
+                    best[i] = heapq.nsmallest(most, [*best[i], *((-s, one) for s, one in pairs)])
+            out = [(q, one, -s) for q, pairs in zip(asked["q"], best, strict=True) for s, one in pairs]
+            return pd.DataFrame(out, columns=["q", "id", "score"])
+
+        asked = distinct.select("q", "vec").mapInArrow(visit, "group bigint, chunk bigint, leaves array<bigint>, q bigint, vec binary")
         hashed = self.placed.select("leaf", "vec", "ids", F.xxhash64("vec").alias("h"))
-        held = hashed.mapInArrow(deal, "leaf bigint, chunk bigint, vec binary, ids array<bigint>")
-        met = asked.groupBy("leaf", "chunk").cogroup(held.groupBy("leaf", "chunk"))
+        held = hashed.mapInArrow(deal, "group bigint, chunk bigint, leaf bigint, vec binary, ids array<bigint>")
+        met = asked.groupBy("group", "chunk").cogroup(held.groupBy("group", "chunk"))
         pairs = met.applyInPandas(meet, "q bigint, id bigint, score double")
         place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
         nearest = (
