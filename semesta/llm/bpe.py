@@ -6,8 +6,8 @@
    string functions work on bytes) and ``aggregate`` folds the merges over it. Each step joins the pair of
    lowest rank, leftmost first, and looks up only the two pairs that this changes. The rank map is a
    literal of the plan, dealt into small maps by the key's crc32, as a map literal is searched row by row.
-3. The frequent words are merged once and sent to the tasks. Every other word is merged beside its
-   document, once a document. So no text is shuffled, and a hot word or source costs nothing extra.
+3. The frequent words are merged once and sent to the tasks. Every other word is merged beside the first
+   document of a partition that has it; its ids are kept until ``REMEMBERED`` words are. So no text is shuffled, and a hot word or source costs nothing extra.
 
 Null text counts as empty: no ids, empty bytes. Repeated rows stay repeated rows. Other columns pass
 unchanged; a column of the name asked for is replaced. An empty table gives an empty table.
@@ -30,12 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from semesta.llm.common import small_batches
+
 #: Words that are merged once for all documents.
 FREQUENT = 262_144
 #: Bytes of the longest word kept as a frequent one.
 LONGEST = 64
-#: Entries after which a task's memory of words is emptied.
-REMEMBERED = 300_000
+#: Entries after which a task hands on its counts, and after which its memory of words is emptied.
+COUNTED, REMEMBERED = 200_000, 60_000
 
 _TAIL, _TAIL_IDS = "__bpe_tail", "__bpe_tail_ids"
 
@@ -183,7 +185,7 @@ class ByteBPE:
             for batch in batches:
                 for value in batch.column(0):
                     seen.update(split.runs(value.as_py() or ""))
-                    if len(seen) > REMEMBERED:
+                    if len(seen) > COUNTED:
                         yield drain()
             yield drain()
 
@@ -196,11 +198,17 @@ class ByteBPE:
         top = counts.orderBy(F.desc("n"), "word").limit(most)
         # The sort leaves one partition; merging is dealt out again.
         dealt = top.repartition(docs.sparkSession.sparkContext.defaultParallelism * 2, "word")
-        rows = dealt.select("word", F.get(self.merged(F.array("word")), F.lit(0)).alias("ids")).collect()
-        return {row["word"]: np.asarray(row["ids"], "<u4").tobytes() for row in rows}
+        merged = dealt.select("word", F.get(self.merged(F.array("word")), F.lit(0)).alias("ids")).toArrow()
+        found: dict[str, bytes] = {}
+        for part in merged.to_batches(10_000):
+            words, ids = part.column(0).to_pylist(), part.column(1)
+            values, ends = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
+            found.update((w, values[a:b].tobytes()) for w, a, b in zip(words, ends[:-1], ends[1:], strict=True))
+        return found
 
     def encode(self, docs: DataFrame, text: str = "text", ids: str = "ids", frequent: int = FREQUENT) -> DataFrame:
         """``docs`` with the column ``ids``: array of token ids of the whole text."""
+        small_batches(docs.sparkSession)
         kept = docs.drop(ids)
         sent = docs.sparkSession.sparkContext.broadcast(self.frequent(docs, text, frequent))
         pattern, at = self._pattern, kept.columns.index(text)
@@ -209,24 +217,33 @@ class ByteBPE:
 
         def find_tail(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split, known = Splitter(pattern), sent.value
+            told: set[str] = set()
             for batch in batches:
                 tails = []
                 for value in batch.column(at):
                     words = {word for run in set(split.runs(value.as_py() or "")) for word in run}
-                    tails.append([word for word in words if word not in known])
+                    new = [word for word in words if word not in known and word not in told]
+                    if len(told) > REMEMBERED:
+                        # None tells the assembly to forget, too.
+                        new = [None, *(word for word in words if word not in known)]
+                        told.clear()
+                    told.update(new)
+                    tails.append(new)
                 yield _with(batch, _TAIL, pa.array(tails, pa.list_(pa.string())))
 
         def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split, known = Splitter(pattern), sent.value
             packed_runs: dict[tuple[str, ...], bytes] = {}
+            tail: dict[str, bytes] = {}
             for batch in batches:
                 words, merged = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
                 lists, ends = [], [0]
                 for i, value in enumerate(batch.column(at)):
-                    tail = {
-                        word: np.asarray(found, "<u4").tobytes()
-                        for word, found in zip(words[i].as_py(), merged[i].as_py(), strict=True)
-                    }
+                    for word, found in zip(words[i].as_py(), merged[i].as_py(), strict=True):
+                        if word is None:
+                            tail.clear()
+                        else:
+                            tail[word] = np.asarray(found, "<u4").tobytes()
                     if len(packed_runs) > REMEMBERED:
                         packed_runs.clear()
                     packed = []

@@ -29,12 +29,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from semesta.llm.common import small_batches
+
 #: Tokens of a window; tokens that an item needs; share of an item's windows that make a leak.
 WINDOW, SHORTEST, SHARE = 8, 4, 0.5
 #: Bits of the Bloom filter (2 MB).
 BLOOM_BITS = 1 << 24
 #: Words after which a task's memory of them is emptied.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 # Units of measure.
 UNITS = frozenset(
@@ -168,6 +170,7 @@ def template_windows(rows: DataFrame, key: str, text: str, sizes: set[int] | Non
                 [key, "row", "size", "at", "h", "template", "slots"],
             )
 
+    small_batches(rows.sparkSession)
     named = rows.select(F.col(key), F.xxhash64(text).alias("row"), F.col(text).alias("text"))
     return named.mapInArrow(run, f"`{key}` {named.schema[key].dataType.simpleString()}, {_SCHEMA}")
 

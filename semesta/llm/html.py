@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from semesta.llm.common import stored
+from semesta.llm.common import small_batches, stored
 
 #: Share of a host's pages, and pages, that a valid class occurs on.
 SUPPORT, LEAST = 0.5, 3
@@ -234,6 +234,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
         yield drain()
 
     schema = "host string, token bigint, text boolean, vector bigint, pages bigint, total bigint"
+    small_batches(pages.sparkSession)
     parts = pages.select("url", "html").mapInArrow(run, schema)
     return parts.groupBy("host", "token", "text").agg(
         F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.sum("total").alias("total")

@@ -41,10 +41,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from semesta.llm.common import scratch, words_of
+from semesta.llm.common import scratch, small_batches, words_of
 
 #: Tokens that a counting task holds at once; words after which a task's memory of them is emptied.
-HELD, REMEMBERED = 3_000_000, 400_000
+HELD, REMEMBERED = 3_000_000, 300_000
 #: Least number of buckets.
 BUCKETS = 64
 #: The base model's pseudo-count.
@@ -343,6 +343,7 @@ def _count_pairs(model: Model) -> Callable:
 
 def train(docs: DataFrame, text: str = "text") -> Model:
     """Model of all texts of ``docs``."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(text))
     parts = texts.rdd.getNumPartitions()
     bits = max(BUCKETS, 2 * parts).bit_length() - 1
@@ -425,6 +426,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         "score": T.DoubleType(),
         "perplexity": T.DoubleType(),
     }
+    small_batches(docs.sparkSession)
     kept = docs.drop(*added)
     at = kept.columns.index(text)
     schema = T.StructType([*kept.schema.fields, *(T.StructField(name, kind) for name, kind in added.items())])

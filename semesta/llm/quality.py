@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from semesta.llm.common import fold_of
+from semesta.llm.common import fold_of, small_batches
 
 #: Scores from here on are label 1.
 THRESHOLD = 0.3
@@ -34,7 +34,7 @@ FOLDS = 5
 #: Sizes of a passage's encoding and of the attention's hidden layer; passes over the sample.
 ENCODING, ATTENTION, EPOCHS = 24, 16, 20
 #: Words after which a task's memory of them is emptied.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 _MARKS = ("!", "|", "#$%&*", ".,;:?")
 _TRAITS = 13
@@ -145,6 +145,7 @@ class Model:
 
     def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """``docs`` with ``score``, the probability of label 1."""
+        small_batches(docs.sparkSession)
         kept = docs.drop("score")
         at = kept.columns.index(text)
         schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())])
@@ -201,6 +202,7 @@ def learn(bags: list[np.ndarray], labels: np.ndarray, seed: int = 3) -> Model:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
     """Model learned from at most FIT labelled rows outside the held-out fold."""
+    small_batches(docs.sparkSession)
     known = (
         labels.select(F.col(key).alias("doc_id"), F.col(label).alias("label"))
         .filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & (fold_of(F.col("doc_id"), FOLDS) != 0))
@@ -226,6 +228,6 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     described = rows.mapInArrow(describe, f"doc_id {kind}, label double, bag binary")
     # Several rows of an id are one bag: the first by its bytes.
     once = described.groupBy("doc_id").agg(F.min("bag").alias("bag"), F.first("label").alias("label"))
-    got = sorted((row["doc_id"], bytes(row["bag"]), row["label"]) for row in once.collect())
-    bags = [np.frombuffer(bag, np.float32).reshape(-1, FEATURES) for _, bag, _ in got]
-    return learn(bags, np.array([value for _, _, value in got], float))
+    got = once.toArrow().sort_by("doc_id")
+    bags = [np.frombuffer(bag.as_buffer(), np.float32).reshape(-1, FEATURES) for bag in got["bag"]]
+    return learn(bags, got["label"].to_numpy().astype(float))

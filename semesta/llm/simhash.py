@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from semesta.llm.common import stored, words_of
+from semesta.llm.common import small_batches, stored, words_of
 from semesta.llm.components import components
 
 #: Fingerprints that the tree's vantage points and medians are taken from, at most.
@@ -72,6 +72,7 @@ def fingerprints_of_rows(rows: DataFrame, shingle: int) -> DataFrame:
             fps = pa.array([fingerprint(words_of(value.as_py()), shingle) for value in batch.column(1)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), fps], ["doc_id", "row", "fp"])
 
+    small_batches(rows.sparkSession)
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, row bigint, fp bigint")
 
