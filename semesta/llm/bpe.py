@@ -192,19 +192,18 @@ class ByteBPE:
         parts = docs.select(F.col(text)).mapInArrow(count, "word string, n bigint")
         return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
-    def frequent(self, docs: DataFrame, text: str, most: int) -> dict[str, bytes]:
-        """The ``most`` most frequent words with their ids, packed; ties by the word."""
+    def frequent(self, docs: DataFrame, text: str, most: int) -> bytes:
+        """The ``most`` most frequent words with their ids, as an Arrow stream; ties by the word."""
         counts = self.word_counts(docs, text).filter(F.octet_length("word") <= LONGEST)
         top = counts.orderBy(F.desc("n"), "word").limit(most)
         # The sort leaves one partition; merging is dealt out again.
         dealt = top.repartition(docs.sparkSession.sparkContext.defaultParallelism * 2, "word")
         merged = dealt.select("word", F.get(self.merged(F.array("word")), F.lit(0)).alias("ids")).toArrow()
-        found: dict[str, bytes] = {}
-        for part in merged.to_batches(10_000):
-            words, ids = part.column(0).to_pylist(), part.column(1)
-            values, ends = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
-            found.update((w, values[a:b].tobytes()) for w, a, b in zip(words, ends[:-1], ends[1:], strict=True))
-        return found
+        # The driver holds columns, never a dictionary of so many words.
+        stream = pa.BufferOutputStream()
+        with pa.ipc.new_stream(stream, merged.schema) as out:
+            out.write_table(merged, max_chunksize=10_000)
+        return stream.getvalue().to_pybytes()
 
     def encode(self, docs: DataFrame, text: str = "text", ids: str = "ids", frequent: int = FREQUENT) -> DataFrame:
         """``docs`` with the column ``ids``: array of token ids of the whole text."""
@@ -216,7 +215,7 @@ class ByteBPE:
         with_ids = T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
         def find_tail(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            split, known = Splitter(pattern), sent.value
+            split, known = Splitter(pattern), packed_words(sent.value)
             told: set[str] = set()
             for batch in batches:
                 tails = []
@@ -232,7 +231,7 @@ class ByteBPE:
                 yield _with(batch, _TAIL, pa.array(tails, pa.list_(pa.string())))
 
         def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            split, known = Splitter(pattern), sent.value
+            split, known = Splitter(pattern), packed_words(sent.value)
             packed_runs: dict[tuple[str, ...], bytes] = {}
             tail: dict[str, bytes] = {}
             for batch in batches:
@@ -283,5 +282,18 @@ def little_endian(column: pd.Series) -> pd.Series:
     return column.map(lambda each: None if each is None else np.asarray(each, "<u4").tobytes())
 
 
+def packed_words(stream: bytes) -> dict[str, bytes]:
+    """Words of an Arrow stream with their ids, packed."""
+    found: dict[str, bytes] = {}
+    for part in pa.ipc.open_stream(stream):
+        ids = part.column(1)
+        values, ends = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
+        found.update(
+            (word, values[a:b].tobytes())
+            for word, a, b in zip(part.column(0).to_pylist(), ends[:-1], ends[1:], strict=True)
+        )
+    return found
+
+
 def _with(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, name])
