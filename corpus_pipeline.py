@@ -20,7 +20,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, repeated passages taken out; n_chars follows the text."""
-    return lines.dedup(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+    return lines.dedup(docs, pieces=lines.passages).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,7 +72,7 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.dedup(docs, removed="removed").select(
+    return lines.dedup(docs, removed="removed", pieces=lines.passages).select(
         "doc_id",
         "text",
         F.char_length(whole(F.col("text"))).cast("long").alias("n_chars"),

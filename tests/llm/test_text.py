@@ -301,6 +301,52 @@ def test_lines_of_repeated_rows_and_an_empty_table(spark):
     assert lines.dedup(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [(60,), (20, 20, 20), (30, 30), (15,) * 4, (49,) * 4, (49, 20, 10), (9,) * 6])
+def test_lines_every_short_passage_is_taken_out_whole(spark, sizes):
+    rng = np.random.default_rng(sum(sizes))
+
+    def line(n):
+        return " ".join(f"w{rng.integers(10**9)}" for _ in range(n))
+
+    texts = []
+    for _ in range(12):
+        passage = "\n".join(map(line, sizes))
+        for _ in range(2):
+            before, after = ("\n".join(line(k) for k in rng.integers(1, 40, 3)) for _ in range(2))
+            texts.append((before, passage, after))
+    docs = documents(spark, *["\n".join(x) for x in texts])
+    got = {row["doc_id"]: row for row in lines.dedup(docs, removed="removed", pieces=lines.passages).collect()}
+    for i, (before, passage, after) in enumerate(texts):
+        assert got[i]["text"] == "\n".join([before, after] if i % 2 else [before, passage, after])
+        assert len(got[i]["removed"]) == i % 2
+
+
+def test_lines_pieces_cover_every_repeated_run(spark):
+    rng = np.random.default_rng(3)
+    pool = [" ".join(f"v{n}" for _ in range(k)) for n, k in enumerate(rng.integers(0, 30, 12))]
+    texts = ["\n".join(rng.choice(pool, rng.integers(1, 14))) for _ in range(60)]
+    got = {row["doc_id"]: row for row in lines.dedup(documents(spark, *texts), removed="removed", pieces=lines.passages).collect()}
+    for i, text in enumerate(texts):
+        own = text.split("\n")
+        starts = np.cumsum([0, *[len(x) + 1 for x in own]])
+        gone = {p for row in got[i]["removed"] for p in range(row["start"], row["end"])}
+        for a in range(len(own)):
+            for b in range(a + 1, len(own) + 1):
+                run = "\n".join(own[a:b])
+                if len(run.split()) >= 50 and any(f"\n{run}\n" in f"\n{x}\n" for x in texts[:i]):
+                    worded = [k for k in range(a, b) if own[k]]
+                    assert all(p in gone for k in worded for p in range(starts[k], starts[k] + len(own[k])))
+    assert {x for t in texts for x in t.split("\n")} - {""} == {
+        x for row in got.values() for x in row["text"].split("\n")
+    } - {""}
+
+
+def test_lines_repeats_that_overlap_keep_the_first_place(spark):
+    line = " ".join(["again"] * 20)
+    got = lines.dedup(documents(spark, "\n".join([line] * 7)), removed="removed", pieces=lines.passages).first()
+    assert got["text"].strip("\n") == "\n".join([line] * 3) and len(got["removed"]) == 1
+
+
 # Decontamination
 
 ITEM = "A train leaves the station in Paris with 120 passengers, and after 45 minutes Alice counts 30 kg of luggage; Paris is far."
