@@ -11,7 +11,8 @@ template: its structure tokens are the frame, its text tokens what all pages rep
 What remains in the slots is extracted, where the frame around it is not navigation, a page header, a
 footer, a sidebar, a notice, an advert, a form or reader comments, by the element's name or the words of
 its class and id. Where the page has an article (or main, or a content element), only its slots are
-extracted, and text there is kept though other pages repeat it: copies of an article are no template.
+extracted. Text there is the template's if it is in one class with that element, so it stands in each one of
+the host alike; copies on some pages are not, nor is text of a host whose content elements hold nothing else.
 
 Null html, and pages without such text, have the empty text. A page without host belongs to the host
 "". Hosts below ``LEAST`` pages have no template, only roles. Repeated rows stay. Unclosed elements and
@@ -35,6 +36,8 @@ from semesta.llm.common import small_batches, stored
 
 #: Share of a host's pages, and pages, that a valid class occurs on.
 SUPPORT, LEAST = 0.5, 3
+#: Tokens that stand for the page itself, and for the texts inside its content elements.
+PAGE, INSIDE = 0, 1
 #: Entries after which a counting task hands on what it has.
 HELD = 200_000
 
@@ -83,7 +86,8 @@ class Block:
     path: str
     text: str
     dropped: bool
-    content: bool
+    #: Path of the outermost content element that it lies in, or nothing.
+    root: str
 
 
 @dataclass
@@ -91,7 +95,7 @@ class _Open:
     name: str
     path: str
     dropped: bool
-    content: bool
+    root: str
 
 
 def _opened(name: str, rest: str, above: _Open) -> _Open:
@@ -101,19 +105,20 @@ def _opened(name: str, rest: str, above: _Open) -> _Open:
         names = " ".join(a or b or c for a, b, c in found).lower()
         words = _WORD.findall(names)
         label = f"{name}.{names}"
-    content = above.content or name in CONTENT
+    content = bool(above.root) or name in CONTENT
     dropped = above.dropped
     if name not in CONTENT and name not in ("html", "body"):
         dropped = dropped or name in DROPPED or (name == "header" and not content)
         if words:
             dropped = dropped or not DROPPED_WORDS.isdisjoint(words)
             content = content or (not dropped and not CONTENT_WORDS.isdisjoint(words))
-    return _Open(name, f"{above.path}/{label}", dropped, content)
+    path = f"{above.path}/{label}"
+    return _Open(name, path, dropped, above.root or (path if content else ""))
 
 
 def read(page: str) -> tuple[list[Block], list[str]]:
     """(blocks of text in page order, structure tokens in page order)."""
-    stack = [_Open("", "", False, False)]
+    stack = [_Open("", "", False, "")]
     blocks: list[Block] = []
     structure: list[str] = []
     held: list[str] = []
@@ -125,7 +130,7 @@ def read(page: str) -> tuple[list[Block], list[str]]:
             held.clear()
             if text:
                 top = stack[-1]
-                blocks.append(Block(top.path, text, top.dropped, top.content))
+                blocks.append(Block(top.path, text, top.dropped, top.root))
 
     def close(place: int) -> None:
         flush()
@@ -177,33 +182,39 @@ def _token(kind: str, path: str, text: str = "") -> int:
     return xxhash.xxh64_intdigest(f"{kind}\0{path}\0{text}".encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def _candidates(blocks: list[Block]) -> list[Block]:
+    """Blocks that may be main text: those of content elements, or all where there are none."""
+    open_ = [block for block in blocks if not block.dropped]
+    return [block for block in open_ if block.root] or open_
+
+
 def main_text(page: str | None, template: set[int]) -> str:
     """Text of the slots that the host's template leaves; see the module's text."""
     if not page:
         return ""
-    blocks = [block for block in read(page)[0] if not block.dropped]
-    if any(block.content for block in blocks):
-        kept = [block for block in blocks if block.content]
-    else:
-        kept = [block for block in blocks if _token("text", block.path, block.text) not in template]
-    return "\n\n".join(block.text for block in kept)
+    blocks = _candidates(read(page)[0])
+    return "\n\n".join(block.text for block in blocks if _token("text", block.path, block.text) not in template)
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """(host, token, text, vector, pages, total): each token of each host with its occurrence vector."""
+    """(host, token, root, text, vector, pages, total): each token of each host with its occurrence vector.
+
+    ``root`` is the token of the content element that a text lies in, or PAGE.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple[str, int, bool], list[int]] = {}
+        seen: dict[tuple[str, int, int, bool], list[int]] = {}
 
         def drain() -> pa.RecordBatch:
             columns = [
                 pa.array([k[0] for k in seen], pa.string()),
                 pa.array([k[1] for k in seen], pa.int64()),
-                pa.array([k[2] for k in seen], pa.bool_()),
+                pa.array([k[2] for k in seen], pa.int64()),
+                pa.array([k[3] for k in seen], pa.bool_()),
                 *(pa.array([v[i] for v in seen.values()], pa.int64()) for i in range(3)),
             ]
             seen.clear()
-            return pa.RecordBatch.from_arrays(columns, ["host", "token", "text", "vector", "pages", "total"])
+            return pa.RecordBatch.from_arrays(columns, ["host", "token", "root", "text", "vector", "pages", "total"])
 
         for batch in batches:
             for url, value in zip(batch.column(0), batch.column(1), strict=True):
@@ -211,20 +222,23 @@ def occurrences(pages: DataFrame) -> DataFrame:
                 host, counts = host_of(address), {}
                 blocks, structure = read(page)
                 for path in structure:
-                    counts[path] = counts.get(path, 0) + 1
-                tokens = [(_token("tag", path), False, n) for path, n in counts.items()]
-                # Repeated text matters only where no content element names the slots.
-                repeated = {} if any(b.content for b in blocks) else {_token("text", b.path, b.text) for b in blocks}
-                tokens += [(token, True, 1) for token in repeated]
+                    counts[_token("tag", path), PAGE, False] = counts.get((_token("tag", path), PAGE, False), 0) + 1
+                for block in blocks:
+                    if block.dropped:
+                        continue
+                    root = _token("tag", block.root) if block.root else PAGE
+                    key = (_token("text", block.path, block.text), root, True)
+                    counts[key] = counts.get(key, 0) + 1
+                    if block.root:
+                        counts[INSIDE, PAGE, False] = counts.get((INSIDE, PAGE, False), 0) + 1
                 # One more token stands for the page itself.
-                tokens.append((0, False, 1))
-                key = f"{address}\0{page}".encode("utf-8", "surrogatepass")
-                page_hash = xxhash.xxh64_intdigest(key)
-                for token, text, n in tokens:
+                counts[PAGE, PAGE, False] = 1
+                page_hash = xxhash.xxh64_intdigest(f"{address}\0{page}".encode("utf-8", "surrogatepass"))
+                for (token, root, text), n in counts.items():
                     vector = xxhash.xxh64_intdigest(page_hash.to_bytes(8, "little"), n) - (1 << 63)
-                    entry = seen.get((host, token, text))
+                    entry = seen.get((host, token, root, text))
                     if entry is None:
-                        seen[host, token, text] = [vector, 1, n]
+                        seen[host, token, root, text] = [vector, 1, n]
                     else:
                         entry[0] ^= vector
                         entry[1] += 1
@@ -233,10 +247,10 @@ def occurrences(pages: DataFrame) -> DataFrame:
                     yield drain()
         yield drain()
 
-    schema = "host string, token bigint, text boolean, vector bigint, pages bigint, total bigint"
+    schema = "host string, token bigint, root bigint, text boolean, vector bigint, pages bigint, total bigint"
     small_batches(pages.sparkSession)
     parts = pages.select("url", "html").mapInArrow(run, schema)
-    return parts.groupBy("host", "token", "text").agg(
+    return parts.groupBy("host", "token", "root", "text").agg(
         F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.sum("total").alias("total")
     )
 
@@ -244,11 +258,22 @@ def occurrences(pages: DataFrame) -> DataFrame:
 def templates(pages: DataFrame) -> DataFrame:
     """(host, classes, frame, repeated): valid classes and their structure and text tokens, for each host that has any."""
     tokens = stored(occurrences(pages).filter(F.col("pages") >= LEAST), "tokens")
-    hosts = tokens.filter((F.col("token") == 0) & ~F.col("text")).select("host", F.col("pages").alias("of"))
+    plain = tokens.filter(~F.col("text"))
+    hosts = plain.filter(F.col("token") == PAGE).select("host", F.col("pages").alias("of"))
+    inside = plain.filter(F.col("token") == INSIDE).select("host", F.col("total").alias("inside"))
     frequent = (
-        tokens.filter(F.col("token") != 0).join(hosts, "host").filter(F.col("pages") >= SUPPORT * F.col("of"))
+        tokens.filter(~F.col("token").isin(PAGE, INSIDE))
+        .join(hosts, "host")
+        .filter(F.col("pages") >= SUPPORT * F.col("of"))
     )
-    classes = frequent.groupBy("host", "vector", "pages", "total").agg(
+    # Text of a content element is the template's if it is in one class with that element.
+    roots = frequent.filter(~F.col("text")).select("host", F.col("token").alias("root"), "vector", "pages", "total")
+    outside = frequent.filter(F.col("root") == PAGE)
+    within = frequent.filter(F.col("root") != PAGE).join(roots, ["host", "root", "vector", "pages", "total"], "left_semi")
+    # Where it is all that the host's content elements hold, there is no slot: they are copies.
+    slots = within.groupBy("host").agg(F.sum("total").alias("fixed")).join(inside, "host")
+    within = within.join(slots.filter(F.col("fixed") < F.col("inside")).select("host"), "host", "left_semi")
+    classes = outside.unionByName(within).groupBy("host", "vector", "pages", "total").agg(
         F.count(F.lit(1)).alias("size"), F.collect_list(F.struct("token", "text")).alias("tokens")
     )
     # A text that all pages share is as good as a class: its element's tokens may repeat for other texts.

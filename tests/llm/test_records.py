@@ -149,6 +149,20 @@ def test_pages_without_names_lose_what_their_host_repeats(spark):
     assert len(found["h.net"]["repeated"]) == 2 and len(found["h.net"]["frame"]) > 3
 
 
+def test_pages_lose_what_their_host_repeats_inside_articles(spark):
+    def page(n):
+        story = "Told twice" if n < 5 else f"Story {n}"
+        return f"<body><div>Top</div><article><div class=q1>Read our rules</div><p>{story}</p><p>Part {n}</p><div class=q2>The end of all</div></article></body>"
+
+    pages = [(n, f"http://r.net/{n}", page(n)) for n in range(8)]
+    pages.append((8, "http://r.net/8", "<body><div>Top</div><p>An index</p></body>"))
+    got = html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {
+        **{n: f"{'Told twice' if n < 5 else f'Story {n}'}\n\nPart {n}" for n in range(8)},
+        8: "An index",
+    }
+
+
 def test_pages_equal_a_plain_reading(spark):
     import html as references
     import re
