@@ -9,8 +9,9 @@ Paths nest them: a class lies in the slot that the elements above it leave. Toge
 template: its structure tokens are the frame, its text tokens what all pages repeat.
 
 What remains in the slots is extracted, where the frame around it is not navigation, a page header, a
-footer, a sidebar, a notice, an advert, a form or reader comments, by the element's name or the words of
-its class and id. Where the page has an article (or main, or a content element), only its slots are
+footer, a sidebar, a notice, an advert, a form or reader comments, by the element's name or a whole name in
+its class, id or role. Names that parts of an article also have drop nothing inside it; a form around text
+and a frame around the page's article are wrappers. Where the page has an article (or main, or a content element), only its slots are
 extracted. Text there is the template's if it is in one class with that element, so it stands in each one of
 the host alike; copies on some pages are not, nor is text of a host whose content elements hold nothing else.
 
@@ -42,7 +43,7 @@ PAGE, INSIDE = 0, 1
 HELD = 200_000
 
 # Names of elements and words of class names, by what they hold.
-DROPPED = frozenset("nav footer aside form button select textarea menu dialog fieldset label input figcaption".split())
+DROPPED = frozenset("nav footer aside form button select textarea menu dialog".split())
 CONTENT = frozenset("article main".split())
 CONTENT_WORDS = frozenset("article content post entry story main".split())
 DROPPED_WORDS = frozenset(
@@ -51,6 +52,8 @@ DROPPED_WORDS = frozenset(
     " aside widget widgets comment comments reply replies discussion disqus share sharing social related recommended"
     " newsletter subscribe subscription signup login popup modal overlay form search pagination pager toolbar legal".split()
 )
+#: Those that also name parts of an article; inside one they drop nothing, but the host's template may.
+PARTS = frozenset("notice notices alert header footer replies reply discussion related form search legal banner overlay".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q ruby rt rp s samp small span strike"
     " strong sub sup time tt u var wbr".split()
@@ -62,7 +65,7 @@ _BOUND = frozenset("ul ol dl table body article section div nav".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|title|math|object)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|svg|iframe|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*+>?"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)>",
@@ -70,6 +73,8 @@ _TAG = re.compile(
 )
 _NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z]+|[0-9]+")
+_TEXT_ELEMENT = re.compile(r"<(?:article|main|p|h[1-3])\b", re.I)
+_FORM_END = re.compile(r"</form\b", re.I)
 
 
 def host_of(url: str | None) -> str:
@@ -86,8 +91,9 @@ class Block:
     path: str
     text: str
     dropped: bool
-    #: Path of the outermost content element that it lies in, or nothing.
+    #: Path of the outermost content element that it lies in, or nothing; whether a frame in there drops it.
     root: str
+    inner: bool
 
 
 @dataclass
@@ -96,29 +102,43 @@ class _Open:
     path: str
     dropped: bool
     root: str
+    inner: bool
 
 
-def _opened(name: str, rest: str, above: _Open) -> _Open:
-    words: list[str] = []
+def _is_frame(names: str, inside: bool) -> bool:
+    """Whether a whole name of class, id or role is that of a frame, or is put together from such words only."""
+    return any(
+        (words := _WORD.findall(one)) and DROPPED_WORDS.issuperset(words) and not (inside and PARTS.issuperset(words))
+        for one in names.split()
+    )
+
+
+def _is_content(names: str) -> bool:
+    words = [_WORD.findall(one) for one in names.split()]
+    return any(not CONTENT_WORDS.isdisjoint(one) and DROPPED_WORDS.isdisjoint(one) for one in words)
+
+
+def _opened(name: str, rest: str, above: _Open, wraps: bool) -> _Open:
+    """``wraps``: a form around text, which is no frame."""
+    names = ""
     label = name
     if rest and (found := _NAMED.findall(rest)):
         names = " ".join(a or b or c for a, b, c in found).lower()
-        words = _WORD.findall(names)
         label = f"{name}.{names}"
-    content = bool(above.root) or name in CONTENT
-    dropped = above.dropped
-    if name not in CONTENT and name not in ("html", "body"):
-        dropped = dropped or name in DROPPED or (name == "header" and not content)
-        if words:
-            dropped = dropped or not DROPPED_WORDS.isdisjoint(words)
-            content = content or (not dropped and not CONTENT_WORDS.isdisjoint(words))
     path = f"{above.path}/{label}"
-    return _Open(name, path, dropped, above.root or (path if content else ""))
+    if name in CONTENT:
+        return _Open(name, path, above.dropped, above.root or path, above.inner)
+    if name in ("html", "body"):
+        return _Open(name, path, above.dropped, above.root, above.inner)
+    inside = bool(above.root)
+    frame = (name in DROPPED and not wraps) or (name == "header" and not inside) or _is_frame(names, inside)
+    root = above.root or (path if not frame and _is_content(names) else "")
+    return _Open(name, path, above.dropped or frame, root, above.inner or (inside and frame))
 
 
 def read(page: str) -> tuple[list[Block], list[str]]:
     """(blocks of text in page order, structure tokens in page order)."""
-    stack = [_Open("", "", False, "")]
+    stack = [_Open("", "", False, "", False)]
     blocks: list[Block] = []
     structure: list[str] = []
     held: list[str] = []
@@ -130,7 +150,7 @@ def read(page: str) -> tuple[list[Block], list[str]]:
             held.clear()
             if text:
                 top = stack[-1]
-                blocks.append(Block(top.path, text, top.dropped, top.root))
+                blocks.append(Block(top.path, text, top.dropped, top.root, top.inner))
 
     def close(place: int) -> None:
         flush()
@@ -168,7 +188,11 @@ def read(page: str) -> tuple[list[Block], list[str]]:
                     break
                 if stack[place].name in _BOUND:
                     break
-        opened = _opened(name, tag["rest"] or tag["rest2"] or "", stack[-1])
+        wraps = False
+        if name == "form":
+            closing = _FORM_END.search(page, end)
+            wraps = bool(_TEXT_ELEMENT.search(page, end, closing.start() if closing else len(page)))
+        opened = _opened(name, tag["rest"] or tag["rest2"] or "", stack[-1], wraps)
         structure.append(opened.path)
         if name not in VOID:
             stack.append(opened)
@@ -183,9 +207,15 @@ def _token(kind: str, path: str, text: str = "") -> int:
 
 
 def _candidates(blocks: list[Block]) -> list[Block]:
-    """Blocks that may be main text: those of content elements, or all where there are none."""
-    open_ = [block for block in blocks if not block.dropped]
-    return [block for block in open_ if block.root] or open_
+    """Blocks that may be main text: those of content elements, or all where there are none.
+
+    A content element inside a frame counts where none stands outside and it holds more than what does.
+    """
+    free = [block for block in blocks if not block.dropped]
+    if any(block.root for block in free):
+        return [block for block in free if block.root]
+    framed = [block for block in blocks if block.root and not block.inner]
+    return framed if sum(len(x.text) for x in framed) > sum(len(x.text) for x in free) else free
 
 
 def main_text(page: str | None, template: set[int]) -> str:
@@ -223,9 +253,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
                 blocks, structure = read(page)
                 for path in structure:
                     counts[_token("tag", path), PAGE, False] = counts.get((_token("tag", path), PAGE, False), 0) + 1
-                for block in blocks:
-                    if block.dropped:
-                        continue
+                for block in {id(x): x for x in [*_candidates(blocks), *(x for x in blocks if not x.dropped)]}.values():
                     root = _token("tag", block.root) if block.root else PAGE
                     key = (_token("text", block.path, block.text), root, True)
                     counts[key] = counts.get(key, 0) + 1

@@ -163,6 +163,30 @@ def test_pages_lose_what_their_host_repeats_inside_articles(spark):
     }
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    ["<form action=x>{}</form>", "<form action=x>{}"]
+    + [f"<div class='{name}'>{{}}</div>" for name in ("has-sidebar", "with-comments", "site-header-fixed", "no-ads", "overlay")],
+)
+def test_pages_keep_articles_in_any_wrapper(wrapper):
+    article = "<article><h1>Title</h1><p>The text of it</p><div class=ad>Buy</div></article>"
+    nav = "<nav>Menu</nav>"
+    assert html.main_text(f"<body>{nav}{wrapper.format(article)}</body>", set()) == "Title\n\nThe text of it"
+    if "overlay" not in wrapper:
+        assert html.main_text(f"<body>{nav}{wrapper.format('<div><p>The text of it</p></div>')}</body>", set()) == "The text of it"
+
+
+def test_pages_keep_all_parts_of_an_article():
+    parts = "<p id=notice>One</p><div class=legal>Two</div><figure><figcaption>Three</figcaption></figure>"
+    parts += "<p>Let <math><mi>x</mi></math> be</p><section id=discussion>Four</section><div class=search-related>Five</div>"
+    frames = "<div class=share>a</div><section class='comments'><article><p>b</p></article></section><div class=ad-banner>c</div>"
+    got = html.main_text(f"<body><main>{parts}{frames}</main><form><label>q</label></form></body>", set())
+    assert got.split() == "One Two Three Let x be Four Five".split()
+    # An article among comments is none where the page has its own.
+    page = "<article><p>Own</p></article><div class=comments><article><p>Their much longer text</p></article></div>"
+    assert html.main_text(page, set()) == "Own"
+
+
 def test_pages_equal_a_plain_reading(spark):
     import html as references
     import re
