@@ -2,10 +2,10 @@
 
 A text's words, without the punctuation around them, become template tokens: numbers, units of measure and
 names (capitalised words that don't begin a sentence) become typed placeholders, all others stand
-lower-cased. Windows of ``WINDOW`` tokens are hash-joined with the benchmark's; an item of fewer tokens is
+lower-cased. Names in a row are one token, and so are a number and its unit, in one word or two. Windows of ``WINDOW`` tokens are hash-joined with the benchmark's; an item of fewer tokens is
 one window of its own length, from ``SHORTEST`` tokens on. A window counts if half its tokens are literal.
 
-Matches of a text and an item at the same offset are one alignment. It is a leak if it covers at least
+Matches of a text and an item at the same offset, or at offsets up to ``SHIFT`` apart, are one alignment. It is a leak if it covers at least
 ``SHARE`` of the item's windows and its slots are consistent: each value of the item stands for one value of
 the text throughout, and the other way round. So a question with other numbers or names is found, while
 windows that agree by chance are not.
@@ -26,13 +26,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from semesta.llm.common import small_batches
 
 #: Tokens of a window; tokens that an item needs; share of an item's windows that make a leak.
 WINDOW, SHORTEST, SHARE = 8, 4, 0.5
+#: Tokens by which the offsets of one copy may differ, as words are put in or left out.
+SHIFT = 4
 #: Bits of the Bloom filter (2 MB).
 BLOOM_BITS = 1 << 24
 #: Words after which a task's memory of them is emptied.
@@ -47,6 +49,8 @@ UNITS = frozenset(
 )
 NUMBER, UNIT, NAME = "<num>", "<unit>", "<name>"
 
+_KIND = {NUMBER: 1, UNIT: 2, NAME: 3}
+
 _AROUND = re.compile(r"^[^\w$€£¥%°]+|[^\w$€£¥%°]+$")
 _NUMBER = re.compile(r"[$€£¥+-]?\d[\d.,:/]*(?:%|[a-zA-Z]{1,3})?")
 _ENDS = re.compile(r"[.!?:]\W*$")
@@ -68,8 +72,8 @@ class Templates:
         self._codes.clear()
         # By code: token if it begins a sentence or not, value, whether it ends one; code 0 is no token.
         self.first, self.inner, self.value, self.ends = [""], [""], [""], [False]
-        # The same as arrays: hashes of both tokens, whether they are literal, whether it is one, ends one.
-        self._arrays = [np.zeros(1 << 12, kind) for kind in (np.uint64, np.uint64, bool, bool, bool, bool)]
+        # The same as arrays: hashes of both tokens, whether they are literal, whether it is one, ends one; its kind.
+        self._arrays = [np.zeros(1 << 12, kind) for kind in (np.uint64, np.uint64, bool, bool, bool, bool, np.int8)]
 
     def _learn(self, word: str) -> int:
         bare = _AROUND.sub("", word)
@@ -93,14 +97,17 @@ class Templates:
             self.ends.append(ends)
             if code == len(self._arrays[0]):
                 self._arrays = [np.concatenate([x, np.zeros_like(x)]) for x in self._arrays]
-            entry = (_hash(first), _hash(inner), first[:1] != "<", inner[:1] != "<", first != "", ends)
+            entry = (_hash(first), _hash(inner), first[:1] != "<", inner[:1] != "<", first != "", ends, _KIND.get(inner, 0))
             for array, value in zip(self._arrays, entry, strict=True):
                 array[code] = value
         self._codes[word] = code
         return code
 
-    def read(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(codes, whether each begins a sentence) of the text's tokens."""
+    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(code, whether it begins a sentence) of the text's words; (first word, its sentence begin) of its tokens.
+
+        Names in a row, and a number and its unit, are one token.
+        """
         if len(self._codes) > REMEMBERED:
             self._clear()
         known, learn = self._codes.get, self._learn
@@ -109,11 +116,16 @@ class Templates:
         )
         codes = codes[codes > 0]
         if not len(codes):
-            return codes, np.zeros(0, bool)
+            return codes, np.zeros(0, bool), codes, np.zeros(0, bool)
         begins = np.concatenate([[True], self._arrays[5][codes[:-1]]])
         token = self._arrays[4][codes]
         # Punctuation alone ends a sentence for the word after it, but is no token.
-        return codes[token], begins[token]
+        codes, begins = codes[token], begins[token]
+        kind = self._arrays[6][codes]
+        name = (kind == 3) & ~begins
+        goes_on = (name[1:] & name[:-1]) | ((kind[1:] == 2) & (kind[:-1] == 1))
+        starts = np.flatnonzero(np.concatenate([[True], ~goes_on])[: len(codes)])
+        return codes, begins, starts, begins[starts]
 
     def windows(self, codes: np.ndarray, begins: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, whether half the tokens are literal) of each window of ``size`` tokens."""
@@ -131,18 +143,27 @@ class Templates:
         mixed ^= mixed >> np.uint64(32)
         return mixed, 2 * (literal[size:] - literal[:-size]) >= size
 
-    def spelled(self, codes: np.ndarray, begins: np.ndarray) -> tuple[str, list[str]]:
-        """(template, values of its slots) of a window."""
-        tokens = [self.first[c] if b else self.inner[c] for c, b in zip(codes.tolist(), begins.tolist(), strict=True)]
-        slots = [t + self.value[c] for t, c in zip(tokens, codes.tolist(), strict=True) if t in (NUMBER, UNIT, NAME)]
+    def spelled(self, codes: np.ndarray, starts: np.ndarray, begins: np.ndarray) -> tuple[str, list[str]]:
+        """(template, values of its slots) of a window of tokens; ``starts`` has one more, its end."""
+        bounds, words = starts.tolist(), codes[starts[0] : starts[-1]].tolist()
+        tokens, slots = [], []
+        for begin, end, sentence in zip(bounds, bounds[1:], begins.tolist(), strict=False):
+            group = words[begin - bounds[0] : end - bounds[0]]
+            token = self.first[group[0]] if sentence else self.inner[group[0]]
+            tokens.append(token)
+            if token in _KIND:
+                slots.append(token + ("" if token == NUMBER else " ").join(self.value[c] for c in group))
         return " ".join(tokens), slots
 
 
-_SCHEMA = "row bigint, size int, at int, h bigint, template string, slots array<string>"
+_SCHEMA = "row bigint, size int, at int, place int, h bigint, template string, slots array<string>"
 
 
 def template_windows(rows: DataFrame, key: str, text: str, sizes: set[int] | None, bloom: bytes | None) -> DataFrame:
-    """(key, row, size, at, h, template, slots); without sizes, an item's windows; with a filter, those passing."""
+    """(key, row, size, at, place, h, template, slots); without sizes, an item's windows; with a filter, those passing.
+
+    ``at`` counts tokens, ``place`` words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Templates()
@@ -150,7 +171,8 @@ def template_windows(rows: DataFrame, key: str, text: str, sizes: set[int] | Non
         for batch in batches:
             out: list[tuple] = []
             for i, value in enumerate(batch.column(2)):
-                codes, begins = reader.read(value.as_py() or "")
+                words, _, starts, begins = reader.read(value.as_py() or "")
+                codes, bounds = words[starts], np.append(starts, len(words))
                 wanted = sizes if sizes is not None else {min(WINDOW, len(codes))}
                 for size in wanted:
                     if size < SHORTEST:
@@ -160,14 +182,14 @@ def template_windows(rows: DataFrame, key: str, text: str, sizes: set[int] | Non
                         bit = hashes & np.uint64(BLOOM_BITS - 1)
                         literal &= (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
                     for at in np.flatnonzero(literal).tolist():
-                        here = slice(at, at + size)
-                        out.append((i, size, at, int(hashes[at].view(np.int64)), *reader.spelled(codes[here], begins[here])))
+                        spelled = reader.spelled(words, bounds[at : at + size + 1], begins[at : at + size])
+                        out.append((i, size, at, int(starts[at]), int(hashes[at].view(np.int64)), *spelled))
             picked = pa.array([x[0] for x in out], pa.int64())
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string())]
+            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string())]
             columns = [pa.array([x[k + 1] for x in out], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(picked), batch.column(1).take(picked), *columns],
-                [key, "row", "size", "at", "h", "template", "slots"],
+                [key, "row", "size", "at", "place", "h", "template", "slots"],
             )
 
     small_batches(rows.sparkSession)
@@ -210,12 +232,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     )
     matched = found.join(item, "template")
     pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
+    offset = F.col("at") - F.col("item_at")
+    # Each offset by itself, and with its neighbours in two sorts of bands, of which one holds any SHIFT of them.
+    bands = [F.struct(F.lit(0).alias("sort"), offset.alias("at"))] + [
+        F.struct(F.lit(k).alias("sort"), F.floor((offset + add) / (2 * SHIFT)).cast("int").alias("at"))
+        for k, add in ((1, 0), (2, SHIFT))
+    ]
+    copy = ["doc_id", "row", "item_id", "item_row"]
     aligned = (
-        matched.withColumn("offset", F.col("at") - F.col("item_at"))
-        .groupBy("doc_id", "row", "item_id", "item_row", "offset", "of")
+        matched.withColumn("band", F.explode(F.array(*bands)))
+        .groupBy(*copy, "band", "of")
         .agg(
             F.countDistinct("item_at").alias("windows"),
-            F.min("at").alias("at"),
+            F.min("place").alias("at"),
+            F.max("place").alias("last"),
             F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
         )
     )
@@ -223,9 +253,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     def different(field: int) -> Column:
         return F.size(F.array_distinct(F.transform("pairs", lambda p: p["ab"[field]])))
 
+    whole = aligned.filter(F.col("windows") >= SHARE * F.col("of")).filter(
+        (different(0) == F.size("pairs")) & (different(1) == F.size("pairs"))
+    )
+    # Bands show a copy more than once: it counts where it begins first, and with most windows.
+    before = Window.partitionBy(*copy).orderBy("at", F.desc("windows"), "band")
+    furthest = F.max("last").over(before.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        aligned.filter(F.col("windows") >= SHARE * F.col("of"))
-        .filter((different(0) == F.size("pairs")) & (different(1) == F.size("pairs")))
+        whole.withColumn("furthest", furthest)
+        .filter(F.col("furthest").isNull() | (F.col("at") > F.col("furthest")))
         .select(
             "doc_id",
             "row",

@@ -373,6 +373,23 @@ def test_decontamination_finds_changed_numbers_and_names(spark):
     assert sorted(r["doc_id"] for r in decontaminate.decontaminate(docs, items).collect()) == [2, 3, 4, 5, 6]
 
 
+def test_decontamination_finds_slots_of_another_length(spark):
+    item = "Each morning the baker Alice takes 30 kg of flour from Paris to her shop"
+    longer = item.replace("Alice", "Mary Ann Lee").replace("30 kg", "12kg").replace("Paris", "New York")
+    other = "A farmer sells his apples at the market and then he drives home to feed the hungry cows and the sheep before it gets dark"
+    texts = [
+        f"Before it. {longer} and so on.",
+        f"Before it. {item.replace('30 kg', '30kg')} and so on.",
+        f"Before it. {other.replace('then he', 'then slowly he')} and so on.",
+        f"Before it. {other.replace('at the market ', 'at market ')} and so on.",
+        "Each morning the baker walks home and takes a rest",
+    ]
+    items = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    found = decontaminate.leaks(documents(spark, *texts), items).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(0, 1), (1, 1), (2, 2), (3, 2)]
+    assert all(r["at"] == 2 for r in found if r["item_id"] == 1)
+
+
 def test_decontamination_equals_plain_containment(spark, corpus):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
 
