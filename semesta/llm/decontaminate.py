@@ -3,7 +3,10 @@
 A text's words, without the punctuation around them, become template tokens: numbers, units of measure and
 names (capitalised words that don't begin a sentence) become typed placeholders, all others stand
 lower-cased. Names in a row are one token, and so are a number and its unit, in one word or two. Windows of ``WINDOW`` tokens are hash-joined with the benchmark's; an item of fewer tokens is
-one window of its own length, from ``SHORTEST`` tokens on. A window counts if half its tokens are literal.
+one window of its own length, from ``SHORTEST`` tokens on. A window counts if half its tokens are literal. An item
+without such a window is matched by windows of its own words; an item of one word by texts that are that
+word. As a capitalised word may begin an item anywhere in a text, after a line break or a quote, it is also
+tried as a plain word where a window begins with it.
 
 Matches of a text and an item at the same offset, or at offsets up to ``SHIFT`` apart, are one alignment. It is a leak if it covers at least
 ``SHARE`` of the item's windows and its slots are consistent: each value of the item stands for one value of
@@ -54,6 +57,7 @@ _KIND = {NUMBER: 1, UNIT: 2, NAME: 3}
 _AROUND = re.compile(r"^[^\w$€£¥%°]+|[^\w$€£¥%°]+$")
 _NUMBER = re.compile(r"[$€£¥+-]?\d[\d.,:/]*(?:%|[a-zA-Z]{1,3})?")
 _ENDS = re.compile(r"[.!?:]\W*$")
+_EXACT = 0x9E3779B97F4A7C15
 _WEIGHTS = np.array([xxhash.xxh64_intdigest(bytes([k]), 1) | 1 for k in range(WINDOW)], np.uint64)
 
 
@@ -61,6 +65,13 @@ def _hash(token: str) -> int:
     return xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"), 3)
 
 
+def _mix(mixed: np.ndarray) -> np.ndarray:
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(32)
+    return mixed
+
+
 class Templates:
     """Template tokens of texts; words met before are remembered."""
 
@@ -72,8 +83,9 @@ class Templates:
         self._codes.clear()
         # By code: token if it begins a sentence or not, value, whether it ends one; code 0 is no token.
         self.first, self.inner, self.value, self.ends = [""], [""], [""], [False]
-        # The same as arrays: hashes of both tokens, whether they are literal, whether it is one, ends one; its kind.
-        self._arrays = [np.zeros(1 << 12, kind) for kind in (np.uint64, np.uint64, bool, bool, bool, bool, np.int8)]
+        # The same as arrays: hashes of both tokens, whether they are literal, whether it is one, ends one; its kind; the hash
+        # of the word itself.
+        self._arrays = [np.zeros(1 << 12, kind) for kind in (np.uint64, np.uint64, bool, bool, bool, bool, np.int8, np.uint64)]
 
     def _learn(self, word: str) -> int:
         bare = _AROUND.sub("", word)
@@ -97,7 +109,7 @@ class Templates:
             self.ends.append(ends)
             if code == len(self._arrays[0]):
                 self._arrays = [np.concatenate([x, np.zeros_like(x)]) for x in self._arrays]
-            entry = (_hash(first), _hash(inner), first[:1] != "<", inner[:1] != "<", first != "", ends, _KIND.get(inner, 0))
+            entry = (_hash(first), _hash(inner), first[:1] != "<", inner[:1] != "<", first != "", ends, _KIND.get(inner, 0), _hash(lower))
             for array, value in zip(self._arrays, entry, strict=True):
                 array[code] = value
         self._codes[word] = code
@@ -138,10 +150,38 @@ class Templates:
         mixed = np.zeros(count, np.uint64)
         for k in range(size):
             mixed += token[k : k + count] * _WEIGHTS[k]
-        mixed ^= mixed >> np.uint64(29)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        mixed ^= mixed >> np.uint64(32)
-        return mixed, 2 * (literal[size:] - literal[:-size]) >= size
+        return _mix(mixed), 2 * (literal[size:] - literal[:-size]) >= size
+
+    def exact(self, codes: np.ndarray, size: int) -> np.ndarray:
+        """Hash of the words themselves of each window of ``size`` words; one word counts as a whole text only."""
+        count = len(codes) - size + 1
+        if count < 1 or (size == 1 and count > 1):
+            return np.zeros(0, np.uint64)
+        word = self._arrays[7][codes]
+        mixed = np.full(count, _EXACT, np.uint64)
+        for k in range(size):
+            mixed += word[k : k + count] * _WEIGHTS[k]
+        return _mix(mixed)
+
+    def begun(
+        self, words: np.ndarray, starts: np.ndarray, begins: np.ndarray, size: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(word, next token, hash, whether half literal) of each window that begins with a name read as a plain word."""
+        codes = words[starts]
+        first, inner, first_literal, inner_literal, _, _, kind, own = self._arrays
+        token = np.where(begins, first[codes], inner[codes])
+        literal = np.concatenate([[0], np.cumsum(np.where(begins, first_literal[codes], inner_literal[codes]))])
+        group = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(words)))
+        last = np.append(starts[1:], len(words))[group] - 1
+        word = np.flatnonzero((kind[codes] == 3)[group] & ~begins[group])
+        # What is left of the names in a row is a token behind it.
+        after = group[word] + (word == last[word])
+        fits = after + size - 1 <= len(starts)
+        word, after = word[fits], after[fits]
+        mixed = own[words[word]] * _WEIGHTS[0]
+        for k in range(size - 1):
+            mixed += token[after + k] * _WEIGHTS[k + 1]
+        return word, after, _mix(mixed), 2 * (1 + literal[after + size - 1] - literal[after]) >= size
 
     def spelled(self, codes: np.ndarray, starts: np.ndarray, begins: np.ndarray) -> tuple[str, list[str]]:
         """(template, values of its slots) of a window of tokens; ``starts`` has one more, its end."""
@@ -168,22 +208,43 @@ def template_windows(rows: DataFrame, key: str, text: str, sizes: set[int] | Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Templates()
         bits = None if bloom is None else np.frombuffer(bloom, np.uint8)
+
+        def passing(hashes: np.ndarray) -> np.ndarray:
+            if bits is None:
+                return np.ones(len(hashes), bool)
+            bit = hashes & np.uint64(BLOOM_BITS - 1)
+            return (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
         for batch in batches:
             out: list[tuple] = []
             for i, value in enumerate(batch.column(2)):
                 words, _, starts, begins = reader.read(value.as_py() or "")
-                codes, bounds = words[starts], np.append(starts, len(words))
+                codes, bounds, already = words[starts], np.append(starts, len(words)), len(out)
                 wanted = sizes if sizes is not None else {min(WINDOW, len(codes))}
                 for size in wanted:
                     if size < SHORTEST:
                         continue
                     hashes, literal = reader.windows(codes, begins, size)
-                    if bits is not None:
-                        bit = hashes & np.uint64(BLOOM_BITS - 1)
-                        literal &= (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                    for at in np.flatnonzero(literal).tolist():
+                    for at in np.flatnonzero(literal & passing(hashes)).tolist():
                         spelled = reader.spelled(words, bounds[at : at + size + 1], begins[at : at + size])
                         out.append((i, size, at, int(starts[at]), int(hashes[at].view(np.int64)), *spelled))
+                    if bits is None:
+                        continue
+                    word, after, hashes, literal = reader.begun(words, starts, begins, size)
+                    for k in np.flatnonzero(literal & passing(hashes)).tolist():
+                        at, here = int(after[k]), int(word[k])
+                        cut = np.concatenate([[here, here + 1], bounds[at + 1 : at + size]])
+                        spelled = reader.spelled(words, cut, np.append(True, begins[at : at + size - 1]))
+                        out.append((i, size, at - 1, here, int(hashes[k].view(np.int64)), *spelled))
+                # An item without a window of its own, and what may equal it.
+                exact = {min(WINDOW, len(words))} if sizes is None and len(out) == already else set()
+                for size in exact if sizes is None else {-n for n in sizes if n < 0}:
+                    if size < 1:
+                        continue
+                    hashes = reader.exact(words, size)
+                    for at in np.flatnonzero(passing(hashes)).tolist():
+                        text = " ".join(["=", *(reader.value[c] for c in words[at : at + size].tolist())])
+                        out.append((i, -size, at, at, int(hashes[at].view(np.int64)), text, []))
             picked = pa.array([x[0] for x in out], pa.int64())
             kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string())]
             columns = [pa.array([x[k + 1] for x in out], kind) for k, kind in enumerate(kinds)]

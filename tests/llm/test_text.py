@@ -390,6 +390,29 @@ def test_decontamination_finds_slots_of_another_length(spark):
     assert all(r["at"] == 2 for r in found if r["item_id"] == 1)
 
 
+def test_decontamination_finds_verbatim_copies_of_any_item(spark):
+    items = [
+        "Alice Bob Carol Dave Erin Frank Grace Heidi Ivan Judy",
+        "12 + 30 = 42, 7 * 8 = 56, 90 kg / 3 = 30 kg",
+        "Define entropy briefly",
+        "What color is the sky today?",
+        "How Alice cooks soup at home",
+        "Paris",
+    ]
+    texts = [
+        *[f"We heard that Anna said:\n{x}\nAnd then more of it." for x in items[:3]],
+        f"Question 5\n{items[3]}\nAnswer",
+        f"Visit Paris\n{items[3]}\nAnswer",
+        f"Visit Paris\n{items[4]} and more",
+        "Paris",
+        "A trip to Paris, where Alice and Bob define entropy at length.",
+    ]
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = decontaminate.leaks(documents(spark, *texts), table).collect()
+    got = sorted((r["doc_id"], r["item_id"]) for r in found)
+    assert got == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 3), (5, 4), (6, 5)]
+
+
 def test_decontamination_equals_plain_containment(spark, corpus):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
 
