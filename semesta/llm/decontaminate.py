@@ -134,6 +134,8 @@ class Templates:
         # Punctuation alone ends a sentence for the word after it, but is no token.
         codes, begins = codes[token], begins[token]
         kind = self._arrays[6][codes]
+        if not kind.any():
+            return codes, begins, np.arange(len(codes)), begins
         name = (kind == 3) & ~begins
         goes_on = (name[1:] & name[:-1]) | ((kind[1:] == 2) & (kind[:-1] == 1))
         starts = np.flatnonzero(np.concatenate([[True], ~goes_on])[: len(codes)])
@@ -169,11 +171,15 @@ class Templates:
         """(word, next token, hash, whether half literal) of each window that begins with a name read as a plain word."""
         codes = words[starts]
         first, inner, first_literal, inner_literal, _, _, kind, own = self._arrays
+        name = (kind[codes] == 3) & ~begins
+        if not name.any():
+            none = np.zeros(0, np.int64)
+            return none, none, np.zeros(0, np.uint64), np.zeros(0, bool)
         token = np.where(begins, first[codes], inner[codes])
         literal = np.concatenate([[0], np.cumsum(np.where(begins, first_literal[codes], inner_literal[codes]))])
         group = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(words)))
         last = np.append(starts[1:], len(words))[group] - 1
-        word = np.flatnonzero((kind[codes] == 3)[group] & ~begins[group])
+        word = np.flatnonzero(name[group])
         # What is left of the names in a row is a token behind it.
         after = group[word] + (word == last[word])
         fits = after + size - 1 <= len(starts)
