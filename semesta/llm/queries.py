@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semesta.llm import ann, bpe, chat, decontaminate, html, lines, ngram, quality, sharding, simhash
+from semesta.llm import ann, bpe, chat, decontaminate, html, lines, ngram, quality, repair, repetitions, sharding, simhash, tokens
 from semesta.llm.common import fold_of, table, whole
 
 SHARDS = 40
@@ -106,6 +108,70 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.search(F.pmod(F.col("id"), F.lit(50)) == 0)
 
 
+#: A text of more tokens is over the limit.
+TOKEN_LIMIT = 512
+
+
+def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = tokens.counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words with a repeated part in every tenth text, as the query asks for."""
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repetitions.repetitions(table(spark, sf_dir, "documents").select("doc_id", "text"), planted)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("before"), (-r["period"]).alias("short"))))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-longest["before"]).alias("start"),
+        longest["length"].alias("length"),
+        (-longest["short"]).alias("period"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    ).withColumn("exponent_milli", F.expr("1000 * length DIV period"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows lost, emptied, cut off, repeated or given to the user, by the checksum of conversation and turn."""
+    one_space = F.lit(" ")
+    name = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), one_space) for c in ("conv_id", "turn")))
+    fault = F.crc32(name.cast("binary")) % 20
+    text = F.coalesce("text", one_space)
+    return (
+        conversations.withColumn("fault", fault)
+        .filter("fault <> 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("fault") == 4, "user").otherwise(F.coalesce("role", one_space)).alias("role"),
+            F.when(F.col("fault") == 1, "")
+            .when(F.col("fault") == 2, F.regexp_replace(text, "[.!?]", ""))
+            .otherwise(text)
+            .alias("text"),
+            F.explode(F.when(F.col("fault") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+        )
+        .drop("copy")
+    )
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.empty(repair.repair(damaged(conversations)), conversations)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_html": op2_html,
@@ -117,6 +183,9 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_quality": op9_quality,
     "op10_neighbours": op10_neighbours,
+    "op11_tokens": op11_tokens,
+    "op12_runs": op12_runs,
+    "op13_repair": op13_repair,
 }
 
 #: DuckDB SQL for the queries that it can express in its own words.
