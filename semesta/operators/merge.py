@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,9 +16,25 @@ def insert_if_absent(source: DataFrame, existing: DataFrame, key: list[str]) ->
     return source.join(existing.select(*key), key, "left_anti")
 
 
-def insert_or_ignore(batch: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
-    """Conflict-free part of a batch: the existing row wins, and the batch gives one row per key."""
-    return insert_if_absent(batch.dropDuplicates(key), existing, key)
+def insert_or_ignore(batch: DataFrame, existing: DataFrame, key: list[str], arrival: list[str]) -> DataFrame:
+    """Conflict-free part of a batch: the existing row wins, then the one of the batch that arrived first.
+
+    ``arrival`` orders the batch, nulls first; rows equal in it are ordered by their other columns, so the same row
+    wins whatever the partitions are.
+    """
+    return insert_if_absent(first_arrived(batch, key, arrival), existing, key)
+
+
+def first_arrived(batch: DataFrame, key: list[str], arrival: list[str]) -> DataFrame:
+    """One row per key: the first by ``arrival``. Combined before the shuffle, so a key with many rows sends few.
+
+    NULL key parts equal nothing, so every row with one stays, as in a database.
+    """
+    rest = [*arrival, *(c for c in batch.columns if c not in (*key, *arrival))]
+    whole = F.struct(*rest)
+    named = reduce(Column.__and__, (F.col(c).isNotNull() for c in key))
+    winners = batch.filter(named).groupBy(*key).agg(F.min(whole).alias("_first"))
+    return winners.select(*key, "_first.*").select(*batch.columns).unionByName(batch.filter(~named))
 
 
 def upsert(source: DataFrame, existing: DataFrame, key: str, update: list[str]) -> DataFrame:

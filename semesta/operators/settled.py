@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import DataFrame
 
-from semesta.session import shared_dir
+from semesta.session import scratch_path
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -14,8 +12,9 @@ def settled(df: DataFrame) -> DataFrame:
 
     Meant for results that are much smaller than what they are computed from, such as the semesters present
     in a table: Catalyst's estimate for them is the size of the whole table. Read back, they have their real
-    size, and Catalyst or AQE chooses the join by it, whatever it is.
+    size, and Catalyst or AQE chooses the join by it, whatever it is. The folder goes with the ``temporary``
+    block it was made in, or with the application.
     """
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/settled-{uuid4().hex}"
+    path = scratch_path(df.sparkSession, "settled")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -189,36 +189,39 @@ TABLES = {
     "ranked_critical": f"""SELECT angkatan, nama_mata_kuliah, jenis_mata_kuliah, total_pengambil, total_gagal,
         {_places('share')} AS persen_gagal, row_number() OVER (PARTITION BY angkatan
             ORDER BY share DESC, nama_mata_kuliah, jenis_mata_kuliah) AS ranking_matkul_kritis_angkatan FROM critical""",
-    # Operational tables with broken constraints
-    "f_program_studi": """SELECT nullif(n_regionkey, 0) AS program_studi_id, jenjang, nama_program_studi, kelas FROM program_studi""",
-    "f_mata_kuliah": "SELECT if(p_size < 50, p_partkey::VARCHAR, NULL) AS mata_kuliah_id, p_name AS nama_mata_kuliah FROM part",
-    "f_mahasiswa": """SELECT if(c_mktsegment <> 'HOUSEHOLD', c_custkey::VARCHAR, NULL) AS nim, c_nationkey + 1 AS program_studi_id,
+    # Operational tables whose codes, numbers, dates and defaults are broken, before the other rules are
+    "r_mata_kuliah": "SELECT p_partkey::VARCHAR AS mata_kuliah_id, p_name AS nama_mata_kuliah FROM part",
+    "r_mahasiswa": """SELECT c_custkey::VARCHAR AS nim, c_nationkey + 1 AS program_studi_id,
         c_name AS nama_lengkap, if(c_custkey % 5 < 2, 'P', 'L') AS jenis_kelamin FROM customer""",
-    "f_hasil_studi": f"""SELECT if(o_orderpriority <> '5-LOW', o_orderkey::VARCHAR, NULL) AS khs_id, o_custkey::VARCHAR AS nim,
-        {_year('o_orderdate')} AS tahun_akademik, {_term('o_orderdate')} AS semester FROM orders""",
-    "f_kategori_buku": "SELECT kategori_id, nullif(nama_kategori, 'PROMO') AS nama_kategori FROM kategori_buku",
-    "f_buku": """SELECT buku_id, judul AS isbn, judul, if(p_size < 50, penulis, NULL) AS penulis, kategori_id,
+    "r_detail_nilai": """SELECT row_number() OVER () AS detail_id, l_orderkey::VARCHAR AS khs_id, l_partkey::VARCHAR AS mata_kuliah_id,
+        NULL::VARCHAR AS nilai_huruf, if(l_quantity >= 25, 'Lulus', 'Tidak Lulus') AS status_lulus
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
+    "r_kategori_buku": """SELECT kategori_id, nullif(nama_kategori, 'PROMO') AS nama_kategori, NULL::VARCHAR AS kode_ddc
+        FROM kategori_buku""",
+    "r_buku": """SELECT buku_id, judul AS isbn, judul, if(p_size < 50, penulis, NULL) AS penulis, penulis AS penerbit, kategori_id,
         1875 + p_size AS tahun_terbit FROM buku""",
-    "f_eksemplar_buku": """SELECT eksemplar_id, buku_id, tersedia,
+    "r_eksemplar_buku": """SELECT eksemplar_id, buku_id, tersedia,
         CASE worst WHEN 'R' THEN 'Baik' WHEN 'A' THEN 'Sobek' END AS kondisi FROM eksemplar_buku""",
-    "f_anggota": """SELECT 'A' || c_custkey AS anggota_id, if(c_mktsegment = 'FURNITURE', 'X', '') || c_custkey AS nim,
+    "r_anggota": """SELECT 'A' || c_custkey AS anggota_id, if(c_mktsegment = 'FURNITURE', 'X', '') || c_custkey AS nim,
         c_name AS nama_lengkap, if(c_custkey % 5 < 2, 'P', 'L') AS jenis_kelamin,
         DATE '1994-01-01' + (c_custkey % 365)::INT AS tgl_daftar,
         DATE '1994-01-01' + (c_custkey % 365)::INT + floor(c_acctbal)::INT AS tgl_expired,
         CASE WHEN c_acctbal > 9000 THEN 'T' WHEN c_acctbal >= 0 THEN 'Y' END AS status_aktif FROM customer""",
-    "f_kunjungan": """SELECT event_id AS kunjungan_id, if(event_type = 'error', 'E', 'A') || user_id AS anggota_id,
+    "r_kunjungan": """SELECT event_id AS kunjungan_id, if(event_type = 'error', 'E', 'A') || user_id AS anggota_id,
         ts::DATE AS tanggal, strftime(ts, '%H:%M:%S') AS jam_masuk, floor(value)::BIGINT AS durasi_menit FROM events""",
-    "f_peminjaman": f"""SELECT o_orderkey AS peminjaman_id, 'A' || o_custkey AS anggota_id, {LOAN_DAY} AS tgl_pinjam,
+    "r_peminjaman": f"""SELECT o_orderkey AS peminjaman_id, 'A' || o_custkey AS anggota_id, {LOAN_DAY} AS tgl_pinjam,
         {LOAN_DAY} + 14 AS tgl_kembali_rencana, {LOAN_DAY} + (o_orderkey % 20 - 3)::INT AS tgl_kembali_aktual,
         CASE WHEN o_orderpriority = '5-LOW' THEN 'Diproses' WHEN o_orderstatus <> 'O' THEN 'Dikembalikan' END AS status,
         o_orderpriority AS petugas_id FROM orders""",
-    "f_detail_peminjaman": """SELECT row_number() OVER () AS detail_id, l_orderkey AS peminjaman_id, l_partkey::VARCHAR AS buku_id,
+    "r_detail_peminjaman": """SELECT row_number() OVER () AS detail_id, l_orderkey AS peminjaman_id, l_partkey::VARCHAR AS buku_id,
         if(l_linenumber = 7, '?' || l_suppkey, l_partkey || '-' || l_suppkey) AS eksemplar_id FROM lineitem""",
-    "f_denda": """SELECT o_orderkey AS denda_id, o_custkey AS peminjaman_id, o_orderkey % 7 AS hari_keterlambatan,
+    "r_denda": """SELECT o_orderkey AS denda_id, o_custkey AS peminjaman_id, o_orderkey % 7 AS hari_keterlambatan,
         1000 * (o_orderkey % 7) AS total_denda,
         CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'Dihapuskan' ELSE 'Lunas' END AS status_pembayaran
         FROM orders WHERE o_orderstatus = 'F'""",
-    "f_fact_detail_nilai": f"""SELECT {_year('o_orderdate')} || ' ' || {_term('o_orderdate')} AS waktu_id,
+    "r_dim_mahasiswa": "SELECT *, nim AS mahasiswa_id FROM dim_mahasiswa",
+    "r_dim_mata_kuliah": "SELECT *, kode_mata_kuliah AS mata_kuliah_id FROM dim_mata_kuliah",
+    "r_fact_detail_nilai": f"""SELECT {_year('o_orderdate')} || ' ' || {_term('o_orderdate')} AS waktu_id,
         o_custkey::VARCHAR AS mahasiswa_id, p_partkey::VARCHAR AS mata_kuliah_id
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
         JOIN part ON p_partkey = l_partkey""",
@@ -260,64 +263,81 @@ def _orphans(table: str, column: str, parent: str, rows: str, parent_rows: str,
     )
 
 
-NOT_NULL = [
-    *_nulls("program_studi", "program_studi_id", "f_program_studi"),
-    *_nulls("mata_kuliah", "mata_kuliah_id", "f_mata_kuliah"),
-    *_nulls("mahasiswa", "nim", "f_mahasiswa"),
-    *_nulls("hasil_studi", "khs_id", "f_hasil_studi"),
-    *_nulls("detail_nilai", "detail_id", "(SELECT row_number() OVER () AS detail_id FROM lineitem)"),
-    *_nulls("kategori_buku", "kategori_id nama_kategori", "f_kategori_buku"),
-    *_nulls("buku", "buku_id judul penulis kategori_id", "f_buku"),
-    *_nulls("eksemplar_buku", "eksemplar_id buku_id kondisi tersedia", "f_eksemplar_buku"),
-    *_nulls("anggota", "anggota_id nim nama_lengkap jenis_kelamin tgl_daftar tgl_expired status_aktif", "f_anggota"),
-    *_nulls("kunjungan", "kunjungan_id anggota_id tanggal jam_masuk durasi_menit", "f_kunjungan"),
-    *_nulls("peminjaman", "peminjaman_id anggota_id tgl_pinjam tgl_kembali_rencana status petugas_id", "f_peminjaman"),
-    *_nulls("detail_peminjaman", "detail_id peminjaman_id buku_id eksemplar_id", "f_detail_peminjaman"),
-    *_nulls("denda", "denda_id peminjaman_id hari_keterlambatan total_denda status_pembayaran", "f_denda"),
-    *_nulls("dim_waktu", "waktu_id tahun_akademik semester", "dim_waktu"),
-    *_nulls("dim_mahasiswa", "mahasiswa_id nim nama jenis_kelamin angkatan", "(SELECT *, nim AS mahasiswa_id FROM dim_mahasiswa)"),
-    *_nulls("dim_program_studi", "program_studi_id jenjang nama_program_studi kelas", "program_studi"),
-    *_nulls("dim_mata_kuliah", "mata_kuliah_id kode_mata_kuliah nama_mata_kuliah bobot_sks jenis_mata_kuliah", "(SELECT *, kode_mata_kuliah AS mata_kuliah_id FROM dim_mata_kuliah)"),
-    *_nulls("dim_kategori_buku", "kategori_id nama_kategori", "dim_kategori_buku"),
-    *_nulls("fact_detail_nilai", "waktu_id mahasiswa_id mata_kuliah_id", "f_fact_detail_nilai"),
-    *_nulls("fact_rekap_ip", "waktu_id program_studi_id mahasiswa_id", "fact_rekap_ip"),
-    *_nulls("fact_rekap_pinjam", "waktu_id mahasiswa_id kategori_id", "fact_rekap_pinjam"),
-]
+# Required columns, declared text lengths and references of each table. A table's rows, the number by which
+# a row breaks one rule of it, required columns, lengths, references with their parents, and dates.
+RULES = {
+    "program_studi": ("program_studi", "program_studi_id", "program_studi_id",
+                      {"jenjang": 5, "nama_program_studi": 100, "kelas": 20}, {}, ""),
+    "mata_kuliah": ("r_mata_kuliah", "mata_kuliah_id", "mata_kuliah_id", {"mata_kuliah_id": 10, "nama_mata_kuliah": 150}, {}, ""),
+    "mahasiswa": ("r_mahasiswa", "nim", "nim", {"nim": 20, "nama_lengkap": 100, "jenis_kelamin": 1},
+                  {"program_studi_id": "program_studi"}, ""),
+    "hasil_studi": ("hasil_studi", "khs_id", "khs_id", {"khs_id": 20, "nim": 20, "tahun_akademik": 10, "semester": 10},
+                    {"nim": "mahasiswa"}, ""),
+    "detail_nilai": ("r_detail_nilai", "khs_id + mata_kuliah_id", "detail_id",
+                     {"khs_id": 20, "mata_kuliah_id": 10, "nilai_huruf": 5, "status_lulus": 15},
+                     {"khs_id": "hasil_studi", "mata_kuliah_id": "mata_kuliah"}, ""),
+    "kategori_buku": ("r_kategori_buku", "kategori_id", "kategori_id nama_kategori", {"nama_kategori": 60, "kode_ddc": 20}, {}, ""),
+    "buku": ("r_buku", "buku_id", "buku_id judul penulis kategori_id",
+             {"buku_id": 8, "isbn": 20, "judul": 200, "penulis": 100, "penerbit": 80}, {"kategori_id": "kategori_buku"}, ""),
+    "eksemplar_buku": ("r_eksemplar_buku", "buku_id", "eksemplar_id buku_id kondisi tersedia",
+                       {"eksemplar_id": 10, "buku_id": 8, "kondisi": 15, "tersedia": 1}, {"buku_id": "buku"}, ""),
+    "anggota": ("r_anggota", "substr(anggota_id, 2)", "anggota_id nim nama_lengkap jenis_kelamin tgl_daftar tgl_expired status_aktif",
+                {"anggota_id": 25, "nim": 20, "nama_lengkap": 100, "jenis_kelamin": 1, "status_aktif": 1}, {}, "tgl_expired"),
+    "kunjungan": ("r_kunjungan", "kunjungan_id", "kunjungan_id anggota_id tanggal jam_masuk durasi_menit", {"anggota_id": 25},
+                  {"anggota_id": "anggota"}, ""),
+    "peminjaman": ("r_peminjaman", "peminjaman_id", "peminjaman_id anggota_id tgl_pinjam tgl_kembali_rencana status petugas_id",
+                   {"anggota_id": 25, "status": 15, "petugas_id": 10}, {"anggota_id": "anggota"},
+                   "tgl_kembali_rencana tgl_kembali_aktual"),
+    "detail_peminjaman": ("r_detail_peminjaman", "peminjaman_id + buku_id", "detail_id peminjaman_id buku_id eksemplar_id",
+                          {"buku_id": 8, "eksemplar_id": 10},
+                          {"peminjaman_id": "peminjaman", "buku_id": "buku", "eksemplar_id": "eksemplar_buku"}, ""),
+    "denda": ("r_denda", "denda_id", "denda_id peminjaman_id hari_keterlambatan total_denda status_pembayaran",
+              {"status_pembayaran": 15}, {"peminjaman_id": "peminjaman"}, ""),
+    "dim_waktu": ("dim_waktu", "left(tahun_akademik, 4)::BIGINT * 2 + length(semester) % 2", "waktu_id tahun_akademik semester",
+                  {"tahun_akademik": 20, "semester": 10}, {}, ""),
+    "dim_mahasiswa": ("r_dim_mahasiswa", "nim", "mahasiswa_id nim nama jenis_kelamin angkatan",
+                      {"nim": 20, "nama": 150, "jenis_kelamin": 15}, {}, ""),
+    "dim_program_studi": ("program_studi", "program_studi_id", "program_studi_id jenjang nama_program_studi kelas",
+                          {"jenjang": 10, "nama_program_studi": 100, "kelas": 20}, {}, ""),
+    "dim_mata_kuliah": ("r_dim_mata_kuliah", "kode_mata_kuliah",
+                        "mata_kuliah_id kode_mata_kuliah nama_mata_kuliah bobot_sks jenis_mata_kuliah",
+                        {"kode_mata_kuliah": 20, "nama_mata_kuliah": 150, "jenis_mata_kuliah": 20}, {}, ""),
+    "dim_kategori_buku": ("dim_kategori_buku", "kategori_id", "kategori_id nama_kategori", {"nama_kategori": 100}, {}, ""),
+    "fact_detail_nilai": ("r_fact_detail_nilai", "mahasiswa_id + mata_kuliah_id", "waktu_id mahasiswa_id mata_kuliah_id", {},
+                          {"waktu_id": "dim_waktu", "mahasiswa_id": "dim_mahasiswa", "mata_kuliah_id": "dim_mata_kuliah"}, ""),
+    "fact_rekap_ip": ("fact_rekap_ip", "mahasiswa_id", "waktu_id mahasiswa_id program_studi_id", {},
+                      {"waktu_id": "dim_waktu", "program_studi_id": "dim_program_studi", "mahasiswa_id": "dim_mahasiswa"}, ""),
+    "fact_rekap_pinjam": ("fact_rekap_pinjam", "mahasiswa_id + kategori_id", "waktu_id mahasiswa_id kategori_id", {},
+                          {"waktu_id": "dim_waktu", "mahasiswa_id": "dim_mahasiswa", "kategori_id": "dim_kategori_buku"}, ""),
+}
+NUMBERS = {"program_studi_id", "kategori_id", "peminjaman_id"}
+
+
+def _flawed(rows: str, number: str, required: str, lengths: dict[str, int], references: dict[str, str], dates: str) -> str:
+    """Rows of a table, each of which breaks one of its rules: see FIXTURES.md."""
+    breaks = [
+        *((c, "NULL") for c in required.split()),
+        *((c, f"rpad(coalesce({c}, ''), {most + 1}, 'x')") for c, most in lengths.items()),
+        *((c, f"-1 - {c}" if c in NUMBERS else f"'?' || {c}") for c in references),
+        *((c, "DATE '1900-01-01'") for c in dates.split()),
+    ]
+    columns = ", ".join(
+        f"CASE {' '.join(f'WHEN slot = {i} THEN {value}' for i, (c, value) in enumerate(breaks) if c == column)} ELSE {column} END AS {column}"
+        for column in dict.fromkeys(c for c, _ in breaks)
+    )
+    whole = " + ".join(f"({part})::BIGINT" for part in number.split(" + "))
+    return f"""SELECT * REPLACE ({columns}) FROM (SELECT *, ({whole}) % {len(breaks) + 2} AS slot FROM {rows})
+    JOIN (VALUES (1), (2)) copies(number) ON number = 1 OR slot = {len(breaks)}"""
+
+
+TABLES |= {f"f_{table}": _flawed(*rule) for table, rule in RULES.items()}
+
+NOT_NULL = [row for table, rule in RULES.items() for row in _nulls(table, rule[2], f"f_{table}")]
 
-# Declared text lengths.
 LENGTHS = [
-    _breaks(table, f"{column} length", f"length({column}) > {most}", rows)
-    for table, rows, columns in (
-        ("program_studi", "f_program_studi", {"jenjang": 5, "nama_program_studi": 100, "kelas": 20}),
-        ("mata_kuliah", "f_mata_kuliah", {"mata_kuliah_id": 10, "nama_mata_kuliah": 150}),
-        ("mahasiswa", "f_mahasiswa", {"nim": 20, "nama_lengkap": 100, "jenis_kelamin": 1}),
-        ("hasil_studi", "f_hasil_studi", {"khs_id": 20, "nim": 20, "tahun_akademik": 10, "semester": 10}),
-        (
-            "detail_nilai",
-            """(SELECT l_orderkey::VARCHAR AS khs_id, l_partkey::VARCHAR AS mata_kuliah_id, NULL::VARCHAR AS nilai_huruf,
-            if(l_quantity >= 25, 'Lulus', 'Tidak Lulus') AS status_lulus FROM lineitem)""",
-            {"khs_id": 20, "mata_kuliah_id": 10, "nilai_huruf": 5, "status_lulus": 15},
-        ),
-        ("kategori_buku", "(SELECT *, NULL::VARCHAR AS kode_ddc FROM f_kategori_buku)", {"nama_kategori": 60, "kode_ddc": 20}),
-        ("buku", "f_buku", {"buku_id": 8, "isbn": 20, "judul": 200, "penulis": 100}),
-        ("buku", "(SELECT penulis AS penerbit FROM buku)", {"penerbit": 80}),
-        ("eksemplar_buku", "f_eksemplar_buku", {"eksemplar_id": 10, "buku_id": 8, "kondisi": 15, "tersedia": 1}),
-        (
-            "anggota",
-            "f_anggota",
-            {"anggota_id": 25, "nim": 20, "nama_lengkap": 100, "jenis_kelamin": 1, "status_aktif": 1},
-        ),
-        ("kunjungan", "f_kunjungan", {"anggota_id": 25}),
-        ("peminjaman", "f_peminjaman", {"anggota_id": 25, "status": 15, "petugas_id": 10}),
-        ("detail_peminjaman", "f_detail_peminjaman", {"buku_id": 8, "eksemplar_id": 10}),
-        ("denda", "f_denda", {"status_pembayaran": 15}),
-        ("dim_waktu", "dim_waktu", {"tahun_akademik": 20, "semester": 10}),
-        ("dim_mahasiswa", "dim_mahasiswa", {"nim": 20, "nama": 150, "jenis_kelamin": 15}),
-        ("dim_program_studi", "program_studi", {"jenjang": 10, "nama_program_studi": 100, "kelas": 20}),
-        ("dim_mata_kuliah", "dim_mata_kuliah", {"kode_mata_kuliah": 20, "nama_mata_kuliah": 150, "jenis_mata_kuliah": 20}),
-        ("dim_kategori_buku", "dim_kategori_buku", {"nama_kategori": 100}),
-    )
-    for column, most in columns.items()
+    _breaks(table, f"{column} length", f"length({column}) > {most}")
+    for table, rule in RULES.items()
+    for column, most in rule[3].items()
 ]
 
 DOMAINS = [
@@ -350,59 +370,23 @@ DEFAULTS = [
     _breaks("denda", "status_pembayaran default", "status_pembayaran IS NULL"),
 ]
 
-UNIQUE = [
-    _repeats("program_studi", "program_studi_id", "f_program_studi"),
-    _repeats("mata_kuliah", "mata_kuliah_id", "f_mata_kuliah"),
-    _repeats("mahasiswa", "nim", "f_mahasiswa"),
-    _repeats("hasil_studi", "khs_id", "f_hasil_studi"),
-    _repeats("detail_nilai", "detail_id", "(SELECT row_number() OVER () AS detail_id FROM lineitem)"),
-    _repeats("kategori_buku", "kategori_id", "f_kategori_buku"),
-    _repeats("buku", "buku_id", "f_buku"),
-    _repeats("buku", "isbn", "f_buku"),
-    _repeats("eksemplar_buku", "eksemplar_id", "f_eksemplar_buku"),
-    _repeats("anggota", "anggota_id", "f_anggota"),
-    _repeats("anggota", "nim", "f_anggota"),
-    _repeats("kunjungan", "kunjungan_id", "f_kunjungan"),
-    _repeats("kunjungan", "anggota_id, tanggal", "f_kunjungan"),
-    _repeats("peminjaman", "peminjaman_id", "f_peminjaman"),
-    _repeats("detail_peminjaman", "detail_id", "f_detail_peminjaman"),
-    _repeats("denda", "denda_id", "f_denda"),
-    _repeats("denda", "peminjaman_id", "f_denda"),
-    _repeats("dim_waktu", "waktu_id", "dim_waktu"),
-    _repeats("dim_mahasiswa", "mahasiswa_id", "(SELECT nim AS mahasiswa_id FROM dim_mahasiswa)"),
-    _repeats("dim_mahasiswa", "nim", "dim_mahasiswa"),
-    _repeats("dim_program_studi", "program_studi_id", "program_studi"),
-    _repeats("dim_mata_kuliah", "mata_kuliah_id", "(SELECT kode_mata_kuliah AS mata_kuliah_id FROM dim_mata_kuliah)"),
-    _repeats("dim_mata_kuliah", "kode_mata_kuliah", "dim_mata_kuliah"),
-    _repeats("dim_kategori_buku", "kategori_id", "dim_kategori_buku"),
-    _repeats("fact_detail_nilai", "waktu_id, mahasiswa_id, mata_kuliah_id", "f_fact_detail_nilai"),
-    _repeats("fact_rekap_ip", "waktu_id, mahasiswa_id", "fact_rekap_ip"),
-    _repeats("fact_rekap_pinjam", "waktu_id, mahasiswa_id, kategori_id", "fact_rekap_pinjam"),
-]
+# Keys, and the column a parent is known by here where it has another name.
+KEYS = {
+    "program_studi": ["program_studi_id"], "mata_kuliah": ["mata_kuliah_id"], "mahasiswa": ["nim"], "hasil_studi": ["khs_id"],
+    "detail_nilai": ["detail_id"], "kategori_buku": ["kategori_id"], "buku": ["buku_id", "isbn"],
+    "eksemplar_buku": ["eksemplar_id"], "anggota": ["anggota_id", "nim"], "kunjungan": ["kunjungan_id", "anggota_id, tanggal"],
+    "peminjaman": ["peminjaman_id"], "detail_peminjaman": ["detail_id"], "denda": ["denda_id", "peminjaman_id"],
+    "dim_waktu": ["waktu_id"], "dim_mahasiswa": ["mahasiswa_id", "nim"], "dim_program_studi": ["program_studi_id"],
+    "dim_mata_kuliah": ["mata_kuliah_id", "kode_mata_kuliah"], "dim_kategori_buku": ["kategori_id"],
+    "fact_detail_nilai": ["waktu_id, mahasiswa_id, mata_kuliah_id"], "fact_rekap_ip": ["waktu_id, mahasiswa_id"],
+    "fact_rekap_pinjam": ["waktu_id, mahasiswa_id, kategori_id"],
+}
+UNIQUE = [_repeats(table, key, f"f_{table}") for table, keys in KEYS.items() for key in keys]
 
 REFERENCES = [
-    _orphans("mahasiswa", "program_studi_id", "program_studi", "f_mahasiswa", "f_program_studi"),
-    _orphans("hasil_studi", "nim", "mahasiswa", "f_hasil_studi", "f_mahasiswa"),
-    _orphans("detail_nilai", "khs_id", "hasil_studi", "(SELECT l_orderkey::VARCHAR AS khs_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey)", "f_hasil_studi"),
-    _orphans("detail_nilai", "mata_kuliah_id", "mata_kuliah",
-             "(SELECT l_partkey::VARCHAR AS mata_kuliah_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey)", "f_mata_kuliah"),
-    _orphans("buku", "kategori_id", "kategori_buku", "f_buku", "f_kategori_buku"),
-    _orphans("eksemplar_buku", "buku_id", "buku", "f_eksemplar_buku", "f_buku"),
-    _orphans("kunjungan", "anggota_id", "anggota", "f_kunjungan", "f_anggota"),
-    _orphans("peminjaman", "anggota_id", "anggota", "f_peminjaman", "f_anggota"),
-    _orphans("detail_peminjaman", "peminjaman_id", "peminjaman", "f_detail_peminjaman", "f_peminjaman"),
-    _orphans("detail_peminjaman", "buku_id", "buku", "f_detail_peminjaman", "f_buku"),
-    _orphans("detail_peminjaman", "eksemplar_id", "eksemplar_buku", "f_detail_peminjaman", "f_eksemplar_buku"),
-    _orphans("denda", "peminjaman_id", "peminjaman", "f_denda", "f_peminjaman"),
-    _orphans("fact_detail_nilai", "waktu_id", "dim_waktu", "f_fact_detail_nilai", "dim_waktu"),
-    _orphans("fact_detail_nilai", "mahasiswa_id", "dim_mahasiswa", "f_fact_detail_nilai", "dim_mahasiswa", "nim"),
-    _orphans("fact_detail_nilai", "mata_kuliah_id", "dim_mata_kuliah", "f_fact_detail_nilai", "dim_mata_kuliah", "kode_mata_kuliah"),
-    _orphans("fact_rekap_ip", "waktu_id", "dim_waktu", "fact_rekap_ip", "dim_waktu"),
-    _orphans("fact_rekap_ip", "program_studi_id", "dim_program_studi", "fact_rekap_ip", "program_studi"),
-    _orphans("fact_rekap_ip", "mahasiswa_id", "dim_mahasiswa", "fact_rekap_ip", "dim_mahasiswa", "nim"),
-    _orphans("fact_rekap_pinjam", "waktu_id", "dim_waktu", "fact_rekap_pinjam", "dim_waktu"),
-    _orphans("fact_rekap_pinjam", "mahasiswa_id", "dim_mahasiswa", "fact_rekap_pinjam", "dim_mahasiswa", "nim"),
-    _orphans("fact_rekap_pinjam", "kategori_id", "dim_kategori_buku", "fact_rekap_pinjam", "dim_kategori_buku"),
+    _orphans(table, column, parent, f"f_{table}", f"f_{parent}")
+    for table, rule in RULES.items()
+    for column, parent in rule[4].items()
 ]
 
 COUNTED = {
@@ -446,9 +430,81 @@ def _summary(grades: str, gpas: str, names: str = "dim_mahasiswa") -> str:
     )
 
 
+def _parts(fact: str, value: str, kept: str, rebuilt: str) -> str:
+    """Rows and control total per semester of a fact: those that stayed and those that were written anew."""
+    whose = "(mahasiswa_id::BIGINT % 1009 + left(waktu_id, 4)::BIGINT + length(split_part(waktu_id, ' ', 2)))"
+    return " UNION ALL ".join(
+        f"""SELECT '{fact}' AS tabel, split_part(waktu_id, ' ', 1) AS tahun_akademik, split_part(waktu_id, ' ', 2) AS semester,
+        {stayed} AS dipertahankan, count(*) AS total, sum({whose} * ({value}))::BIGINT AS kontrol FROM {rows} GROUP BY waktu_id"""
+        for stayed, rows in (("true", kept), ("false", rebuilt))
+    )
+
+
+def _after(query: str) -> str:
+    """The same query over the facts that an incremental load leaves."""
+    names = "fact_detail_nilai|fact_rekap_ip|failures|ranked_failures|critical|ranked_critical|lending"
+    return re.sub(rf"\b(FROM|JOIN) ({names})\b", r"\1 after_\2", query)
+
+
+# Columns of the reports: t text, n whole number, d with two decimal places.
+REPORTS = {
+    "tingkat_ketidaklulusan": "t kode_mata_kuliah, t nama_mata_kuliah, n peringkat_kritis, d persentase_tidak_lulus, n total_mahasiswa_mengambil, n total_tidak_lulus",
+    "perbandingan_kelas": "t kelas, n populasi_mahasiswa, d rata_rata_ipk_keseluruhan",
+    "kategori_buku_populer": "n frekuensi_peminjaman, t nama_kategori, n peringkat_popularitas, n total_judul_buku_unik_dipinjam",
+    "korelasi_rajin_pinjam_ip": "t klasifikasi_peminjam, d rata_rata_ip_semester, n total_sampel_semester",
+    "korelasi_denda_ip": "d rata_rata_ip_semester, t status_kedisiplinan_perpus, n total_sampel",
+    "buku_favorit_berprestasi": "t nama_kategori, n peringkat_buku_berprestasi, n total_peminjaman",
+    "gender_akademik_perpus": "t jenis_kelamin, d rata_rata_ipk, n total_akumulasi_denda_rp, n total_buku_dipinjam, n total_mahasiswa",
+    "cohort_angkatan": "t angkatan, n jumlah_mahasiswa_aktif, d rata_rata_ip_angkatan, d rata_rata_sks_diambil, t semester, t tahun_akademik",
+    "matkul_kritis_angkatan": "n angkatan, t jenis_mata_kuliah, t nama_mata_kuliah, d persen_gagal, n ranking_matkul_kritis_angkatan, n total_gagal, n total_pengambil",
+    "tren_performa_akademik": "d rata_rata_ip_semester, t semester, t tahun_akademik, n total_mahasiswa_aktif",
+    "tren_peminjaman_semester": "t semester, t tahun_akademik, n total_denda_rp, n total_transaksi_pinjam",
+    "distribusi_ip": "n jumlah_mahasiswa, t kategori_ip, d persentase",
+    "ringkasan_anggota": "t anggota_id, n denda_belum_bayar_rp, t nama_lengkap, t nim, t status_aktif, n total_denda_rp, n total_kunjungan, n total_peminjaman",
+    "stok_buku": "t buku_id, n dipinjam, t judul, t nama_kategori, n tersedia, n total_eksemplar",
+}
+
+
+def _totals() -> str:
+    def value(kind: str, column: str) -> str:
+        weighed = {"t": f"length({column})", "n": column, "d": f"round({column} * 100)"}[kind]
+        return f"coalesce({weighed}, 0)::BIGINT"
+
+    def total(name: str, columns: str) -> str:
+        pairs = [column.split(" ") for column in columns.split(", ")]
+        control = " + ".join(f"{i + 1} * {value(*pair)}" for i, pair in enumerate(pairs))
+        return f"SELECT '{name}' AS nama, count(*) AS total, sum({control})::BIGINT AS kontrol FROM ({_after(QUERIES[name])}) AS r"
+
+    return " UNION ALL ".join(total(name, columns) for name, columns in REPORTS.items())
+
+
+def _written() -> str:
+    """(nama_proses, tabel, baris) of a full load of the first snapshot and a night after it."""
+    first = {
+        "dim_waktu": "old_dim_waktu", "dim_program_studi": "program_studi", "dim_mahasiswa": "old_dim_mahasiswa",
+        "dim_mata_kuliah": "dim_mata_kuliah", "dim_kategori_buku": "kategori_buku", "fact_detail_nilai": "old_fact_detail_nilai",
+        "fact_rekap_ip": "old_fact_rekap_ip", "fact_rekap_pinjam": "old_fact_rekap_pinjam",
+    }
+    rows = [("Initial Load Data Warehouse", table, f"SELECT * FROM {source}") for table, source in first.items()]
+    rows += [
+        ("Load Shared Dimensions", "dim_waktu", "SELECT * FROM dim_waktu WHERE waktu_id NOT IN (SELECT waktu_id FROM old_dim_waktu)"),
+        ("Load Shared Dimensions", "dim_mahasiswa", "SELECT * FROM dim_mahasiswa"),
+        ("Load Data Perpustakaan Dimensi", "dim_kategori_buku", "SELECT * FROM kategori_buku WHERE false"),
+        ("Build Cross Domain Facts (Daily)", "fact_rekap_pinjam", "SELECT * FROM fact_rekap_pinjam"),
+        ("Load Data Akademik DW", "dim_mata_kuliah", "SELECT * FROM dim_mata_kuliah WHERE false"),
+        ("Load Data Akademik DW", "dim_program_studi", "SELECT * FROM program_studi WHERE false"),
+        ("Load Data Akademik DW", "fact_detail_nilai", "SELECT * FROM new_fact_detail_nilai"),
+        ("Load Data Akademik DW", "fact_rekap_ip", "SELECT * FROM new_fact_rekap_ip"),
+        *(("Refresh Semua Dashboard DW", name, _after(QUERIES[name])) for name in list(REPORTS)[:9]),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{process}' AS nama_proses, '{table}' AS tabel, count(*) AS baris FROM ({query}) AS r" for process, table, query in rows
+    )
+
+
 def _tiers(label: str, name: str, samples: str, total: str) -> str:
     return f"""SELECT if(grouping(g) = 1, '{total}', g) AS {name}, count(mahasiswa_id) AS {samples}, {_mean('ip')} AS rata_rata_ip_semester
-    FROM (SELECT *, {label} AS g FROM lending) GROUP BY GROUPING SETS ((g), ())"""
+    FROM (SELECT *, {label} AS g FROM lending) GROUP BY GROUPING SETS ((g), ()) ORDER BY {name}"""
 
 
 QUERIES = {
@@ -487,17 +543,20 @@ QUERIES = {
     "tren_performa_akademik": f"""SELECT if(grouping(tahun_akademik) = 1, 'Semua Tahun (Grand Total)', tahun_akademik) AS tahun_akademik,
         if(grouping(semester) = 1, 'Semua Semester (Sub-Total)', semester) AS semester,
         count(DISTINCT mahasiswa_id) AS total_mahasiswa_aktif, {_mean('ip')} AS rata_rata_ip_semester
-        FROM fact_rekap_ip JOIN dim_waktu w USING (waktu_id) GROUP BY ROLLUP (w.tahun_akademik, w.semester)""",
+        FROM fact_rekap_ip JOIN dim_waktu w USING (waktu_id) GROUP BY ROLLUP (w.tahun_akademik, w.semester)
+        ORDER BY w.tahun_akademik ASC NULLS LAST, w.semester DESC NULLS FIRST""",
     "perbandingan_kelas": f"""SELECT if(grouping(p.kelas) = 1, 'Grand Total Keseluruhan', p.kelas) AS kelas,
         count(DISTINCT mahasiswa_id) AS populasi_mahasiswa, {_mean('ip')} AS rata_rata_ipk_keseluruhan
-        FROM fact_rekap_ip JOIN program_studi p USING (program_studi_id) GROUP BY GROUPING SETS ((p.kelas), ())""",
+        FROM fact_rekap_ip JOIN program_studi p USING (program_studi_id) GROUP BY GROUPING SETS ((p.kelas), ())
+        ORDER BY rata_rata_ipk_keseluruhan DESC NULLS FIRST, p.kelas ASC NULLS LAST""",
     "cohort_angkatan": f"""SELECT if(grouping(m.angkatan) = 1, 'Semua Angkatan', m.angkatan::VARCHAR) AS angkatan,
         if(grouping(w.tahun_akademik) = 1, 'Semua Tahun', w.tahun_akademik) AS tahun_akademik,
         if(grouping(w.semester) = 1, 'Semua Semester', w.semester) AS semester,
         count(DISTINCT mahasiswa_id) AS jumlah_mahasiswa_aktif, {_mean('ip')} AS rata_rata_ip_angkatan,
         {_half_up('sum(total_sks)', 'count(total_sks)')}::DOUBLE AS rata_rata_sks_diambil
         FROM fact_rekap_ip JOIN dim_waktu w USING (waktu_id) JOIN dim_mahasiswa m ON m.nim = mahasiswa_id
-        GROUP BY CUBE (m.angkatan, w.tahun_akademik, w.semester)""",
+        GROUP BY CUBE (m.angkatan, w.tahun_akademik, w.semester)
+        ORDER BY m.angkatan DESC NULLS FIRST, w.tahun_akademik ASC NULLS LAST, w.semester DESC NULLS FIRST""",
     "matkul_kritis_angkatan": "SELECT * FROM ranked_critical",
     "kategori_buku_populer": """SELECT nama_kategori, sum(total_peminjaman)::BIGINT AS frekuensi_peminjaman,
         sum(jumlah_buku)::BIGINT AS total_judul_buku_unik_dipinjam,
@@ -506,7 +565,8 @@ QUERIES = {
     "tren_peminjaman_semester": """SELECT if(grouping(w.tahun_akademik) = 1, 'Total Semua Waktu', w.tahun_akademik) AS tahun_akademik,
         if(grouping(w.semester) = 1, 'Sub-Total Tahun', w.semester) AS semester,
         sum(total_peminjaman)::BIGINT AS total_transaksi_pinjam, sum(jumlah_denda)::BIGINT AS total_denda_rp
-        FROM fact_rekap_pinjam JOIN dim_waktu w USING (waktu_id) GROUP BY ROLLUP (w.tahun_akademik, w.semester)""",
+        FROM fact_rekap_pinjam JOIN dim_waktu w USING (waktu_id) GROUP BY ROLLUP (w.tahun_akademik, w.semester)
+        ORDER BY w.tahun_akademik ASC NULLS LAST, w.semester DESC NULLS FIRST""",
     "korelasi_rajin_pinjam_ip": _tiers(
         """CASE WHEN loans = 0 THEN '1 - Tidak Pernah Pinjam' WHEN loans BETWEEN 1 AND 5 THEN '2 - Jarang (1-5 Buku/Semester)'
             ELSE '3 - Rajin (>5 Buku/Semester)' END""",
@@ -521,7 +581,7 @@ QUERIES = {
         FROM (SELECT CASE WHEN ip / 100.0 >= 3.51 THEN 'Cumlaude (3.51 - 4.00)'
             WHEN ip / 100.0 >= 3.01 THEN 'Sangat Memuaskan (3.01 - 3.50)' WHEN ip / 100.0 >= 2.51 THEN 'Memuaskan (2.51 - 3.00)'
             WHEN ip / 100.0 >= 2.00 THEN 'Cukup (2.00 - 2.50)' ELSE 'Kurang (< 2.00)' END AS kategori_ip
-        FROM fact_rekap_ip) GROUP BY kategori_ip""",
+        , ip FROM fact_rekap_ip) GROUP BY kategori_ip ORDER BY min(ip) DESC NULLS FIRST""",
     "buku_favorit_berprestasi": """SELECT nama_kategori, sum(total_peminjaman)::BIGINT AS total_peminjaman,
         dense_rank() OVER (ORDER BY sum(p.total_peminjaman) DESC) AS peringkat_buku_berprestasi
         FROM fact_rekap_pinjam p JOIN fact_rekap_ip i ON i.mahasiswa_id = p.mahasiswa_id AND i.waktu_id = p.waktu_id AND i.ip / 100.0 >= 3.50
@@ -558,7 +618,35 @@ QUERIES = {
     "row_count_reconciliation": _counts(),
     "etl_run_log": "SELECT * FROM run_log",
     "etl_log_monitor": """SELECT log_id, nama_proses, waktu_mulai, waktu_selesai, durasi_detik::VARCHAR || ' detik' AS total_durasi,
-        status, pesan_error FROM run_log""",
+        status, pesan_error FROM run_log ORDER BY run_log.waktu_mulai DESC, log_id DESC""",
+}
+
+
+TABLES |= {
+    f"after_{name}": _after(TABLES[name]) for name in ("failures", "ranked_failures", "critical", "ranked_critical", "lending")
+}
+TABLES["per_khs"] = f"""SELECT {_year('o_orderdate')} || ' ' || {_term('o_orderdate')} AS waktu_id, o_custkey::VARCHAR AS mahasiswa_id,
+    o_orderkey AS khs, (c_nationkey + 1)::BIGINT AS program_studi_id,
+    {_half_up('sum(8 * l_quantity * (1 + p_size % 4))::BIGINT', 'sum(1 + p_size % 4)')}::BIGINT AS ip,
+    sum(1 + p_size % 4)::BIGINT AS total_sks, count(*) AS jumlah_mata_kuliah
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = l_partkey
+    GROUP BY 1, 2, 3, 4"""
+
+QUERIES |= {
+    "load_counts": _written(),
+    "dashboards": _totals(),
+    "second_night": " UNION ALL ".join((
+        _parts("fact_detail_nilai", "bobot + status_lulus::INT", "old_fact_detail_nilai", "new_fact_detail_nilai"),
+        _parts("fact_rekap_ip", "ip + total_sks + jumlah_mata_kuliah", "old_fact_rekap_ip", "new_fact_rekap_ip"),
+        _parts("fact_rekap_pinjam", "total_peminjaman + jumlah_denda + jumlah_buku", "kept", "rebuilt"),
+    )),
+    "fact_rekap_ip_conflict": f"""SELECT waktu_id, mahasiswa_id, khs, program_studi_id, {_places('ip')} AS ip_semester, total_sks,
+        jumlah_mata_kuliah, coalesce(pesaing, 0) AS pesaing
+        FROM (SELECT waktu_id, mahasiswa_id, NULL::BIGINT AS khs, program_studi_id, ip, total_sks, jumlah_mata_kuliah
+            FROM old_fact_rekap_ip UNION ALL
+            SELECT * FROM per_khs n WHERE khs = (SELECT min(khs) FROM per_khs p WHERE p.waktu_id = n.waktu_id AND p.mahasiswa_id = n.mahasiswa_id)
+            AND NOT EXISTS (SELECT 1 FROM old_fact_rekap_ip o WHERE o.waktu_id = n.waktu_id AND o.mahasiswa_id = n.mahasiswa_id))
+        LEFT JOIN (SELECT waktu_id, mahasiswa_id, count(*) AS pesaing FROM per_khs GROUP BY ALL) USING (waktu_id, mahasiswa_id)""",
 }
 
 

@@ -82,10 +82,10 @@ def gpa_trend(fact_rekap_ip: DataFrame, dim_waktu: DataFrame) -> DataFrame:
 
 
 def class_comparison(fact_rekap_ip: DataFrame, dim_program_studi: DataFrame) -> DataFrame:
-    """Students and mean GPA per class type and overall."""
+    """Students and mean GPA per class type and overall, the best first; equal means by class, the total last."""
     return _gpa_by_term(
         fact_rekap_ip, dim_program_studi, "program_studi_id", ["kelas"], [("kelas",), ()]
-    ).orderBy(F.asc_nulls_last("kelas")).select(
+    ).orderBy(F.desc_nulls_first("mean"), F.asc_nulls_last("kelas")).select(
         label("kelas", ALL_CLASSES).alias("kelas"),
         F.col("students").alias("populasi_mahasiswa"),
         F.col("mean").alias("rata_rata_ipk_keseluruhan"),
@@ -93,7 +93,7 @@ def class_comparison(fact_rekap_ip: DataFrame, dim_program_studi: DataFrame) ->
 
 
 def intake_cohorts(fact_rekap_ip: DataFrame, dim_mahasiswa: DataFrame, dim_waktu: DataFrame) -> DataFrame:
-    """Students, mean GPA and mean credits for every combination of intake year, year and semester."""
+    """Students, mean GPA and mean credits for every combination of intake year, year and semester, in report order."""
     dimensions = ["angkatan", *_TERM]
     rows = fact_rekap_ip.join(dim_waktu.select("waktu_id", *_TERM), "waktu_id").join(
         dim_mahasiswa.select("mahasiswa_id", "angkatan"), "mahasiswa_id"
@@ -105,7 +105,8 @@ def intake_cohorts(fact_rekap_ip: DataFrame, dim_mahasiswa: DataFrame, dim_waktu
         "credited": F.col("total_sks").isNotNull().cast("bigint"),
     }
     cube = grouping_sets_by_entity(rows, dimensions, cube_sets(dimensions), "mahasiswa_id", "students", sums)
-    return cube.orderBy(*map(F.asc_nulls_last, dimensions)).select(
+    order = [F.desc_nulls_first("angkatan"), F.asc_nulls_last("tahun_akademik"), F.desc_nulls_first("semester")]
+    return cube.orderBy(*order).select(
         *(label(d, COHORT_ALL[d]).alias(d) for d in dimensions),
         F.col("students").alias("jumlah_mahasiswa_aktif"),
         two_places(half_up(F.col("gpa"), F.nullif(F.col("graded"), F.lit(0)))).alias("rata_rata_ip_angkatan"),

@@ -1,9 +1,10 @@
 """Declared constraints as violation counts.
 
 Every report has the rows (tabel, aturan, pelanggaran): table, rule, number of violations. Row rules
-of a table are counted in one pass; key rules combine before their shuffle, so a key that holds a
-large part of the table does not travel as rows. As in a database, NULL passes every check but NOT
-NULL.
+of a table are counted in one pass. Key rules of all tables are counted together: each table is read once and
+gives a (rule, key) row for each of its keys and references, and one aggregate over all of them combines
+before its only shuffle, so a key that holds a large part of a table does not travel as rows. As in a
+database, NULL passes every check but NOT NULL.
 """
 
 from __future__ import annotations
@@ -33,12 +34,14 @@ def _count_rules(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFra
     return counted.select(F.lit(table).alias("tabel"), F.inline(report))
 
 
+def required_columns(spec: Table) -> list[str]:
+    """Columns without NULL: a primary key is required too."""
+    return list(dict.fromkeys((*spec.key, *spec.required)))
+
+
 def not_null(tables: Tables, specs: Iterable[Table]) -> DataFrame:
     return union_all(
-        # A primary key is required too.
-        _count_rules(
-            tables[s.name], s.name, {f"{c} not null": F.col(c).isNull() for c in dict.fromkeys((*s.key, *s.required))}
-        )
+        _count_rules(tables[s.name], s.name, {f"{c} not null": F.col(c).isNull() for c in required_columns(s)})
         for s in specs
     )
 
@@ -78,43 +81,75 @@ def date_order(tables: Tables, specs: Iterable[Table]) -> DataFrame:
     )
 
 
-def _duplicates(df: DataFrame, table: str, key: tuple[str, ...]) -> DataFrame:
-    """Number of keys that occur more than once."""
-    repeated = df.select(*key).dropna().groupBy(*key).count().filter("count > 1")
-    return repeated.agg(F.count(F.lit(1)).alias("pelanggaran")).select(
-        F.lit(table).alias("tabel"), F.lit(f"{', '.join(key)} unique").alias("aturan"), "pelanggaran"
-    )
+def _key(columns: tuple[str, ...]) -> Column:
+    """A key as one text, different for different keys; NULL if any part is."""
+    texts = [F.col(c).cast("string") for c in columns]
+    if len(texts) == 1:
+        return texts[0]
+    return F.concat(*(part for t in texts for part in (F.char_length(t).cast("string"), F.lit(":"), t)))
+
+
+class _Keys:
+    """(rule, key, child, parent) rows of many tables, each of which is read once for all its rules."""
+
+    def __init__(self) -> None:
+        self.rules: list[tuple[str, str]] = []
+        self._tables: dict[int, tuple[DataFrame, list[Column]]] = {}
+
+    def rule(self, table: str, name: str) -> int:
+        self.rules.append((table, name))
+        return len(self.rules) - 1
+
+    def take(self, rows: DataFrame, rule: int, columns: tuple[str, ...], child: int, parent: int) -> None:
+        entry = F.struct(
+            F.lit(rule).alias("rule"), _key(columns).alias("key"), F.lit(child).alias("child"), F.lit(parent).alias("parent")
+        )
+        self._tables.setdefault(id(rows), (rows, []))[1].append(entry)
+
+    def report(self, broken: Column) -> DataFrame:
+        """Sum of ``broken`` over the keys of each rule, from their ``children`` and ``parents`` rows."""
+        taken = [rows.select(F.inline(F.array(*entries))) for rows, entries in self._tables.values()]
+        # A row without key for each rule, so that rules of empty tables are reported.
+        spark = taken[0].sparkSession
+        every = spark.range(len(self.rules)).select(
+            F.col("id").cast("int").alias("rule"), F.lit(None).cast("string").alias("key"), F.lit(0).alias("child"), F.lit(0).alias("parent")
+        )
+        keys = union_all([*taken, every]).groupBy("rule", "key").agg(
+            F.sum("child").alias("children"), F.max("parent").alias("parents")
+        )
+        counted = keys.groupBy("rule").agg(
+            F.sum(F.when(F.col("key").isNotNull(), broken).otherwise(0)).cast("bigint").alias("pelanggaran")
+        )
+        names = F.array(*(F.struct(F.lit(table).alias("tabel"), F.lit(name).alias("aturan")) for table, name in self.rules))
+        return counted.select(names[F.col("rule")].alias("r"), "pelanggaran").select("r.*", "pelanggaran")
 
 
 def unique_keys(tables: Tables, specs: Iterable[Table]) -> DataFrame:
-    return union_all(
-        _duplicates(tables[s.name], s.name, key) for s in specs for key in (s.key, *s.unique)
-    )
+    """Number of keys that occur more than once."""
+    keys = _Keys()
+    for s in specs:
+        for key in (s.key, *s.unique):
+            keys.take(tables[s.name], keys.rule(s.name, f"{', '.join(key)} unique"), key, 1, 0)
+    return keys.report(F.when(F.col("children") > 1, 1).otherwise(0))
 
 
-def orphans(child: DataFrame, parent: DataFrame, table: str, fk: ForeignKey) -> DataFrame:
-    """Number of child rows whose key has no parent; children are counted per key before the join."""
-    counted = child.select(*fk.columns).dropna().groupBy(*fk.columns).agg(F.count(F.lit(1)).alias("_rows"))
-    known = parent.select(*(F.col(p).alias(c) for p, c in zip(fk.parent_columns, fk.columns)))
-    orphans = counted.join(known, list(fk.columns), "left_anti")
-    return orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("pelanggaran")).select(
-        F.lit(table).alias("tabel"),
-        F.lit(f"{', '.join(fk.columns)} in {fk.parent}").alias("aturan"),
-        "pelanggaran",
-    )
+def orphans(references: Iterable[tuple[DataFrame, str, ForeignKey]], parents: Tables) -> DataFrame:
+    """Number of rows of each (rows, table, foreign key) whose key has no parent."""
+    keys = _Keys()
+    for rows, table, fk in references:
+        rule = keys.rule(table, f"{', '.join(fk.columns)} in {fk.parent}")
+        keys.take(rows, rule, fk.columns, 1, 0)
+        keys.take(parents[fk.parent], rule, fk.parent_columns, 0, 1)
+    return keys.report(F.when(F.col("parents") == 0, F.col("children")).otherwise(0))
 
 
 def referential(tables: Tables, specs: Iterable[Table]) -> DataFrame:
-    return union_all(
-        orphans(tables[s.name], tables[fk.parent], s.name, fk) for s in specs for fk in s.references
-    )
+    return orphans([(tables[s.name], s.name, fk) for s in specs for fk in s.references], tables)
 
 
 def logical_references(tables: Tables, specs: Iterable[Table]) -> DataFrame:
     """References across the two operational systems, which no database enforces."""
-    return union_all(
-        orphans(tables[s.name], tables[fk.parent], s.name, fk) for s in specs for fk in s.logical_references
-    )
+    return orphans([(tables[s.name], s.name, fk) for s in specs for fk in s.logical_references], tables)
 
 
 def apply_defaults(df: DataFrame, spec: Table) -> DataFrame:

@@ -7,15 +7,16 @@ numbers are BIGINT and decimals DOUBLE in every result.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import cached_property
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from semesta import runs
-from semesta.functions.rounding import hundredths
+from semesta.functions.rounding import half_up, hundredths
 from semesta.operators import merge
 from semesta.operators.keys import assign_keys, extend_keys
 from semesta.operators.settled import settled
@@ -23,7 +24,7 @@ from semesta.plans import audit, dims, facts, incremental, marts, quality
 from semesta.schemas import ACADEMIC, DIMENSIONS, FACTS, LIBRARY, SOURCES, WAREHOUSE
 from semesta.session import shared_dir
 from semesta.sources import testbed
-from semesta.sources.tables import read_landing
+from semesta.sources.tables import land, read_landing
 from semesta.warehouse import Warehouse
 
 
@@ -139,7 +140,7 @@ class Campus:
     @cached_property
     def new_gpa(self) -> DataFrame:
         return merge.insert_or_ignore(
-            self.star.gpa(self.new_grades), self.before["fact_rekap_ip"], ["waktu_id", "mahasiswa_id"]
+            self.star.gpa(self.new_grades), self.before["fact_rekap_ip"], ["waktu_id", "mahasiswa_id"], ["program_studi_id"]
         )
 
     @cached_property
@@ -165,13 +166,12 @@ class Campus:
 
     @cached_property
     def flawed(self) -> dict[str, DataFrame]:
-        """Operational tables with broken constraints, and a warehouse loaded with repeated grades."""
+        """Operational and warehouse tables in which every constraint is broken."""
         tables = testbed.flawed_tables(self.spark, self.sf_dir)
-        clean = self.star
-        repeated = Star(self.sources.with_builders(detail_nilai=lambda: tables["detail_nilai"]))
-        loaded = {name: (lambda name=name: clean[name]) for name in WAREHOUSE}
-        loaded["fact_detail_nilai"] = lambda: repeated["fact_detail_nilai"]
-        return tables.with_builders(**loaded)
+        # Grades as they arrive, not reduced to one per student, semester and course.
+        arrived = testbed.arrived_grades(self.spark, self.sf_dir)
+        repeated = Star(self.sources.with_builders(detail_nilai=lambda: arrived))
+        return tables.with_builders(**testbed.flawed_warehouse(self.star, lambda: repeated["fact_detail_nilai"]))
 
 
 def _semester_of_date(c: Campus) -> DataFrame:
@@ -204,18 +204,18 @@ def _row_counts(c: Campus) -> DataFrame:
     )
 
 
-def _summary(warehouse: Warehouse) -> DataFrame:
-    """Rows and a control total of every warehouse table; a fact's total follows its ids to the natural keys."""
-    tables = warehouse.tables()
+def _named(tables: dict[str, DataFrame], name: str) -> DataFrame:
+    """A warehouse table; a fact with the natural keys of its student and semester."""
+    if not name.startswith("fact"):
+        return tables[name]
+    named = tables[name].join(tables["dim_mahasiswa"].select("mahasiswa_id", "nim"), "mahasiswa_id")
+    return named.join(tables["dim_waktu"].select("waktu_id", "tahun_akademik", "semester"), "waktu_id")
 
-    def rows(name: str) -> DataFrame:
-        if not name.startswith("fact"):
-            return tables[name]
-        named = tables[name].join(tables["dim_mahasiswa"].select("mahasiswa_id", "nim"), "mahasiswa_id")
-        return named.join(tables["dim_waktu"].select("waktu_id", "tahun_akademik", "semester"), "waktu_id")
 
+def _controls() -> dict[str, Column]:
+    """Per warehouse table what its control total adds up; a fact's follows its ids to the natural keys."""
     whose = F.col("nim").cast("bigint") % 1009 + F.substring("tahun_akademik", 1, 4).cast("bigint") + F.length("semester")
-    control = {
+    return {
         "dim_waktu": F.length("tahun_akademik"),
         "dim_program_studi": F.col("program_studi_id"),
         "dim_mahasiswa": F.col("angkatan") + F.length("nama") + F.col("nim").cast("bigint"),
@@ -225,11 +225,16 @@ def _summary(warehouse: Warehouse) -> DataFrame:
         "fact_rekap_ip": whose * (hundredths(F.col("ip_semester")) + F.col("total_sks") + F.col("jumlah_mata_kuliah")),
         "fact_rekap_pinjam": whose * (F.col("total_peminjaman") + F.col("jumlah_denda") + F.col("jumlah_buku")),
     }
+
+
+def _summary(warehouse: Warehouse) -> DataFrame:
+    """Rows and a control total of every warehouse table."""
+    tables = warehouse.tables()
     return quality.union_all(
-        rows(name)
+        _named(tables, name)
         .agg(F.count(F.lit(1)).alias("total"), F.sum(value).cast("bigint").alias("kontrol"))
         .select(F.lit(name).alias("tabel"), "total", "kontrol")
-        for name, value in control.items()
+        for name, value in _controls().items()
     )
 
 
@@ -241,10 +246,104 @@ def _initial_run(c: Campus) -> DataFrame:
     return _summary(runs.initial_run(c.spark, _new_root(c.spark), c.sources))
 
 
-def _incremental_run(c: Campus) -> DataFrame:
+def _loaded(c: Campus) -> Warehouse:
+    """A full load of the first snapshot, then a night with all rows."""
     root = _new_root(c.spark)
     runs.initial_run(c.spark, root, testbed.first_snapshot(c.spark, c.sf_dir))
-    return _summary(runs.incremental_run(c.spark, root, c.sources))
+    return runs.incremental_run(c.spark, root, c.sources)
+
+
+def _incremental_run(c: Campus) -> DataFrame:
+    return _summary(_loaded(c))
+
+
+def _load_counts(c: Campus) -> DataFrame:
+    """Rows that every step of a full load and a night wrote, from the run log."""
+    warehouse = _loaded(c)
+    return runs.RunLog(c.spark, warehouse.root).load_counts().select("nama_proses", "tabel", "baris")
+
+
+def _dashboards(c: Campus) -> DataFrame:
+    """Rows and a control total of each report, read by its name: the stored marts as published, the views as they are."""
+    runs.register_views(c.spark, _loaded(c), c.sources)
+
+    def weighed(field: T.StructField, weight: int) -> Column:
+        value = F.col(field.name)
+        if isinstance(field.dataType, T.StringType):
+            value = F.length(value)
+        elif isinstance(field.dataType, (T.DecimalType, T.DoubleType)):
+            value = F.round(value * 100)
+        return weight * F.coalesce(value, F.lit(0)).cast("bigint")
+
+    def total(name: str) -> DataFrame:
+        rows = c.spark.sql(f"SELECT * FROM {name}")
+        fields = sorted(rows.schema.fields, key=lambda field: field.name)
+        control = sum((weighed(field, i + 1) for i, field in enumerate(fields)), F.lit(0))
+        return rows.agg(F.count(F.lit(1)).alias("total"), F.sum(control).alias("kontrol")).select(
+            F.lit(name).alias("nama"), "total", "kontrol"
+        )
+
+    return quality.union_all(total(name) for name in (*runs.STORED_MARTS, *runs.LIVE_VIEWS, *runs.LIBRARY_VIEWS))
+
+
+def _second_night(c: Campus) -> DataFrame:
+    """Two nights, the second from landed files: rows and control total of each semester, and whether its folder stayed."""
+    root = _new_root(c.spark)
+    first = datetime(testbed.CUT.year, testbed.CUT.month, testbed.CUT.day)
+    warehouse = runs.incremental_run(c.spark, f"{root}/dw", testbed.first_snapshot(c.spark, c.sf_dir), lambda: first)
+    before = warehouse.folders()
+    land(f"{root}/landing", {name: c.sources[name] for name in SOURCES})
+    landed = read_landing(c.spark, f"{root}/landing")
+    runs.incremental_run(c.spark, f"{root}/dw", landed, lambda: first.replace(year=first.year + 1))
+    kept = before & warehouse.folders()
+    tables, controls = warehouse.tables(), _controls()
+
+    def parts(fact: str) -> DataFrame:
+        stayed = F.col("waktu_id").isin([int(part) for name, part, _ in kept if name == fact])
+        return (
+            _named(tables, fact)
+            .groupBy("tahun_akademik", "semester", stayed.alias("dipertahankan"))
+            .agg(F.count(F.lit(1)).alias("total"), F.sum(controls[fact]).cast("bigint").alias("kontrol"))
+            .select(F.lit(fact).alias("tabel"), "tahun_akademik", "semester", "dipertahankan", "total", "kontrol")
+        )
+
+    return quality.union_all(parts(spec.name) for spec in FACTS)
+
+
+def _conflicts(c: Campus) -> DataFrame:
+    """GPA rows after a batch with one row per transcript: stored rows win, then the transcript that came first.
+
+    ``pesaing`` counts the batch's rows of a key, ``khs`` names the one that was taken.
+    """
+    key, stored = ["waktu_id", "mahasiswa_id"], c.before["fact_rekap_ip"]
+    transcripts = c.sources["hasil_studi"].select(
+        "khs_id", F.col("nim").alias("mahasiswa_id"), F.concat_ws(" ", "tahun_akademik", "semester").alias("waktu_id")
+    )
+    lines = testbed.arrived_grades(c.spark, c.sf_dir).select("khs_id", "mata_kuliah_id", "nilai_angka")
+    batch = (
+        lines.join(c.sources["mata_kuliah"].select("mata_kuliah_id", "sks"), "mata_kuliah_id")
+        .groupBy("khs_id")
+        .agg(
+            F.sum(hundredths(F.col("nilai_angka")) * F.col("sks")).alias("bobot"),
+            F.sum("sks").alias("total_sks"),
+            F.count(F.lit(1)).alias("jumlah_mata_kuliah"),
+        )
+        .join(transcripts, "khs_id")
+        .join(c.sources["mahasiswa"].select(F.col("nim").alias("mahasiswa_id"), "program_studi_id"), "mahasiswa_id")
+        .select(
+            *key,
+            F.col("khs_id").cast("bigint").alias("khs"),
+            "program_studi_id",
+            (half_up(F.col("bobot"), F.col("total_sks")).cast("decimal(20,0)") / 100).cast("decimal(3,2)").alias("ip_semester"),
+            "total_sks",
+            "jumlah_mata_kuliah",
+        )
+    )
+    batch = settled(batch)
+    rivals = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("pesaing"))
+    added = merge.insert_or_ignore(batch, stored, key, ["khs"])
+    after = stored.select(*key, F.lit(None).cast("bigint").alias("khs"), *added.columns[3:]).unionByName(added)
+    return after.join(rivals, key, "left").withColumn("pesaing", F.coalesce("pesaing", F.lit(0)))
 
 
 def _landing_load(c: Campus) -> DataFrame:
@@ -304,6 +403,10 @@ PLANS: dict[str, Callable[[Campus], DataFrame]] = {
     "initial_run": _initial_run,
     "incremental_run": _incremental_run,
     "landing_load": _landing_load,
+    "load_counts": _load_counts,
+    "second_night": _second_night,
+    "dashboards": _dashboards,
+    "fact_rekap_ip_conflict": _conflicts,
     # Marts and views
     **{name: (lambda c, mart=mart: mart(c.star)) for name, mart in (runs.STORED_MARTS | runs.LIVE_VIEWS).items()},
     "top10_ketidaklulusan": lambda c: marts.top_courses(runs.STORED_MARTS["tingkat_ketidaklulusan"](c.star)),

@@ -18,7 +18,9 @@ from semesta.operators import merge
 from semesta.operators.keys import assign_keys, extend_keys, last_key
 from semesta.operators.settled import settled
 from semesta.plans import audit, dims, facts, incremental, library, marts
-from semesta.warehouse import Warehouse, read_if_present
+from semesta.session import temporary
+from semesta.sources.tables import lines_in
+from semesta.warehouse import Warehouse, one_row, read_if_present
 
 # Process names and messages of the run history, and its time zone.
 INITIAL = "Initial Load Data Warehouse"
@@ -67,33 +69,42 @@ LIBRARY_VIEWS: dict[str, Callable[[Sources], DataFrame]] = {
 class RunLog:
     """Run history kept by appending events; nothing is updated in place, so a failure stays on record."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, clock: Callable[[], datetime] | None = None):
         self.spark = spark
         self.path = f"{root.rstrip('/')}/_run_events"
+        self.clock = clock or _now
 
     def events(self) -> DataFrame:
-        return read_if_present(self.spark, self.path, audit.EVENTS_DDL)
+        return read_if_present(self.spark, self.path, audit.COUNTED_EVENTS_DDL)
 
     def runs(self) -> DataFrame:
         return audit.run_log(self.events())
 
-    def _append(self, log_id: int, process: str, at: datetime, status: str, message: str | None) -> None:
-        event = self.spark.createDataFrame([(log_id, process, at, status, message)], audit.EVENTS_DDL)
-        event.coalesce(1).write.mode("append").parquet(self.path)
+    def load_counts(self) -> DataFrame:
+        return audit.load_counts(self.events())
+
+    def _append(
+        self, log_id: int, process: str, at: datetime, status: str, message: str | None, rows: dict[str, int] | None = None
+    ) -> None:
+        event = one_row(self.spark, audit.COUNTED_EVENTS_DDL, log_id, process, at, status, message, rows)
+        event.write.mode("append").parquet(self.path)
 
     @contextmanager
-    def step(self, process: str, done: str | None = None) -> Iterator[None]:
+    def step(self, process: str, done: str | None = None) -> Iterator[dict[str, int]]:
+        """A logged step; the block fills in the rows it wrote by table. Its scratch folders end with it."""
         log_id = last_key(self.events(), "log_id") + 1
-        started = _now()
+        started = self.clock()
         self._append(log_id, process, started, audit.RUNNING, None)
+        written: dict[str, int] = {}
         try:
-            yield
+            with temporary(self.spark):
+                yield written
         except Exception as error:
-            self._append(log_id, process, _now(), audit.FAILED, str(error))
+            self._append(log_id, process, self.clock(), audit.FAILED, str(error))
             raise
-        ended = _now()
+        ended = self.clock()
         message = done and done.format(seconds=int((ended - started).total_seconds() + 0.5))
-        self._append(log_id, process, ended, audit.SUCCESS, message)
+        self._append(log_id, process, ended, audit.SUCCESS, message, written)
 
 
 def _now() -> datetime:
@@ -105,10 +116,12 @@ def _numbered(name: str, rows: DataFrame) -> DataFrame:
     return assign_keys(rows, key, id_column)
 
 
-def _loan_facts(sources: Sources, loans: DataFrame, dim_mahasiswa: DataFrame, dim_waktu: DataFrame) -> DataFrame:
+def _loan_facts(
+    sources: Sources, loans: DataFrame, lines: DataFrame, dim_mahasiswa: DataFrame, dim_waktu: DataFrame
+) -> DataFrame:
     return facts.loan_recap(
         loans,
-        sources["detail_peminjaman"],
+        lines,
         sources["denda"],
         sources["buku"],
         sources["anggota"],
@@ -117,7 +130,7 @@ def _loan_facts(sources: Sources, loans: DataFrame, dim_mahasiswa: DataFrame, di
     )
 
 
-def initial_load(warehouse: Warehouse, sources: Sources) -> None:
+def initial_load(warehouse: Warehouse, sources: Sources) -> dict[str, int]:
     """Replace all dimensions and facts by a load of the whole sources."""
     staged = warehouse.stage_all(
         {
@@ -136,22 +149,24 @@ def initial_load(warehouse: Warehouse, sources: Sources) -> None:
             "fact_detail_nilai": lambda: facts.grade_lines(
                 sources["detail_nilai"], sources["hasil_studi"], terms, students, courses
             ),
-            "fact_rekap_pinjam": lambda: _loan_facts(sources, sources["peminjaman"], students, terms),
+            "fact_rekap_pinjam": lambda: _loan_facts(
+                sources, sources["peminjaman"], sources["detail_peminjaman"], students, terms
+            ),
         }
     )
     recap = facts.gpa_recap(staged["fact_detail_nilai"].rows, students, courses, sources["mahasiswa"])
     staged["fact_rekap_ip"] = warehouse.stage("fact_rekap_ip", recap)
-    warehouse.publish(replace=staged.values())
+    return warehouse.publish(replace=staged.values())
 
 
-def load_shared_dimensions(warehouse: Warehouse, sources: Sources) -> None:
+def load_shared_dimensions(warehouse: Warehouse, sources: Sources) -> dict[str, int]:
     """Unseen semesters are added, students are upserted; known ids stay."""
     known = warehouse.tables()
 
     def terms() -> DataFrame:
         key, id_column = dims.NATURAL_KEYS["dim_waktu"]
         unseen = dims.new_semesters(sources["hasil_studi"], known["dim_waktu"])
-        return extend_keys(known["dim_waktu"], unseen, key, id_column)
+        return assign_keys(unseen, key, id_column, last_key(known["dim_waktu"], id_column))
 
     def students() -> DataFrame:
         key, id_column = dims.NATURAL_KEYS["dim_mahasiswa"]
@@ -161,15 +176,15 @@ def load_shared_dimensions(warehouse: Warehouse, sources: Sources) -> None:
         return extend_keys(merged.filter(F.col(id_column).isNotNull()), unseen, key, id_column)
 
     staged = warehouse.stage_all({"dim_waktu": terms, "dim_mahasiswa": students})
-    warehouse.publish(replace=staged.values())
+    return warehouse.publish(replace=[staged["dim_mahasiswa"]], add=[staged["dim_waktu"]])
 
 
-def load_library_dimension(warehouse: Warehouse, sources: Sources) -> None:
+def load_library_dimension(warehouse: Warehouse, sources: Sources) -> dict[str, int]:
     unseen = dims.new_categories(sources["kategori_buku"], warehouse.read("dim_kategori_buku"))
-    warehouse.publish(add=[warehouse.stage("dim_kategori_buku", unseen)])
+    return warehouse.publish(add=[warehouse.stage("dim_kategori_buku", unseen)])
 
 
-def rebuild_loan_facts(warehouse: Warehouse, sources: Sources, run_log: DataFrame) -> None:
+def rebuild_loan_facts(warehouse: Warehouse, sources: Sources, run_log: DataFrame) -> dict[str, int]:
     """Delete and rebuild the loan facts of every semester touched since the last successful run."""
     known = warehouse.tables()
     checkpoint = incremental.last_success(run_log, LOAN_FACTS).first()["waktu_mulai"].date()
@@ -177,14 +192,15 @@ def rebuild_loan_facts(warehouse: Warehouse, sources: Sources, run_log: DataFram
         incremental.impacted_semesters(sources["peminjaman"], sources["denda"], known["dim_waktu"], checkpoint)
     )
     loans = incremental.loans_in(sources["peminjaman"], impacted)
+    lines = lines_in(sources["detail_peminjaman"], impacted)
     rebuilt = warehouse.stage(
-        "fact_rekap_pinjam", _loan_facts(sources, loans, known["dim_mahasiswa"], impacted)
+        "fact_rekap_pinjam", _loan_facts(sources, loans, lines, known["dim_mahasiswa"], impacted)
     )
     emptied = [str(row["waktu_id"]) for row in impacted.select("waktu_id").collect()]
-    warehouse.publish(add=[rebuilt], drop={"fact_rekap_pinjam": emptied})
+    return warehouse.publish(add=[rebuilt], drop={"fact_rekap_pinjam": emptied})
 
 
-def load_academic(warehouse: Warehouse, sources: Sources) -> None:
+def load_academic(warehouse: Warehouse, sources: Sources) -> dict[str, int]:
     """Add the grades and GPA rows of semesters after the latest loaded one."""
     known = warehouse.tables()
     mark = incremental.latest_semester(known["dim_waktu"], warehouse.semesters("fact_detail_nilai")).first()
@@ -206,47 +222,53 @@ def load_academic(warehouse: Warehouse, sources: Sources) -> None:
     all_courses = known["dim_mata_kuliah"].unionByName(staged["dim_mata_kuliah"].rows)
 
     transcripts = incremental.transcripts_from(sources["hasil_studi"], mark["tahun_akademik"])
+    arrived = lines_in(sources["detail_nilai"], later)
     lines = warehouse.stage(
         "fact_detail_nilai",
-        facts.grade_lines(sources["detail_nilai"], transcripts, later, known["dim_mahasiswa"], all_courses),
+        facts.grade_lines(arrived, transcripts, later, known["dim_mahasiswa"], all_courses),
     )
     # Grades of later semesters are all new: the watermark is the latest semester with any.
     recap = facts.gpa_recap(lines.rows, known["dim_mahasiswa"], all_courses, sources["mahasiswa"])
     added = [int(part) for part, _ in lines.folders]
     present = known["fact_rekap_ip"].filter(F.col("waktu_id").isin(added))
-    recap = merge.insert_or_ignore(recap, present, ["waktu_id", "mahasiswa_id"])
-    warehouse.publish(add=[*staged.values(), lines, warehouse.stage("fact_rekap_ip", recap)])
+    recap = merge.insert_or_ignore(recap, present, ["waktu_id", "mahasiswa_id"], ["program_studi_id"])
+    return warehouse.publish(add=[*staged.values(), lines, warehouse.stage("fact_rekap_ip", recap)])
 
 
-def refresh_dashboard(warehouse: Warehouse) -> None:
+def refresh_dashboard(warehouse: Warehouse) -> dict[str, int]:
     """Recompute the nine stored marts and switch them together."""
     tables = warehouse.tables()
     staged = warehouse.stage_all(
         {name: (lambda mart=mart: mart(tables)) for name, mart in STORED_MARTS.items()}
     )
-    warehouse.publish(replace=staged.values())
+    return warehouse.publish(replace=staged.values())
 
 
-def initial_run(spark: SparkSession, root: str, sources: Sources) -> Warehouse:
-    warehouse, log = Warehouse(spark, root), RunLog(spark, root)
-    with log.step(INITIAL, INITIAL_DONE):
-        initial_load(warehouse, sources)
+def initial_run(
+    spark: SparkSession, root: str, sources: Sources, clock: Callable[[], datetime] | None = None
+) -> Warehouse:
+    warehouse, log = Warehouse(spark, root), RunLog(spark, root, clock)
+    with log.step(INITIAL, INITIAL_DONE) as written:
+        written |= initial_load(warehouse, sources)
     return warehouse
 
 
-def incremental_run(spark: SparkSession, root: str, sources: Sources) -> Warehouse:
-    """The five nightly steps; a failing step stops the chain."""
-    warehouse, log = Warehouse(spark, root), RunLog(spark, root)
-    with log.step(SHARED_DIMENSIONS):
-        load_shared_dimensions(warehouse, sources)
-    with log.step(LIBRARY_DIMENSION):
-        load_library_dimension(warehouse, sources)
-    with log.step(LOAN_FACTS):
-        rebuild_loan_facts(warehouse, sources, log.runs())
-    with log.step(ACADEMIC):
-        load_academic(warehouse, sources)
-    with log.step(DASHBOARD, DASHBOARD_DONE):
-        refresh_dashboard(warehouse)
+def incremental_run(
+    spark: SparkSession, root: str, sources: Sources, clock: Callable[[], datetime] | None = None
+) -> Warehouse:
+    """The five nightly steps; a failing step stops the chain. ``clock`` dates the run, and so the next checkpoint."""
+    warehouse, log = Warehouse(spark, root), RunLog(spark, root, clock)
+    warehouse.remove_unnamed()
+    with log.step(SHARED_DIMENSIONS) as written:
+        written |= load_shared_dimensions(warehouse, sources)
+    with log.step(LIBRARY_DIMENSION) as written:
+        written |= load_library_dimension(warehouse, sources)
+    with log.step(LOAN_FACTS) as written:
+        written |= rebuild_loan_facts(warehouse, sources, log.runs())
+    with log.step(ACADEMIC) as written:
+        written |= load_academic(warehouse, sources)
+    with log.step(DASHBOARD, DASHBOARD_DONE) as written:
+        written |= refresh_dashboard(warehouse)
     return warehouse
 
 

@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+import posixpath
 import re
 import tempfile
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from threading import Lock
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
+_HELD: ContextVar[list[str] | None] = ContextVar("semesta_scratch", default=None)
+_FOLDERS: dict[str, str] = {}
+_LOCK = Lock()
+
 
 def build_session(app: str = "semesta", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the warehouse jobs are written for.
@@ -52,3 +62,57 @@ def shared_dir(spark: SparkSession) -> str:
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name for results that nobody needs after the work they belong to.
+
+    It lies in a folder of this application, which the file system removes when the application ends, whether
+    its work succeeded or not. Inside ``temporary`` the folder goes as soon as that block ends.
+    """
+    application = spark.sparkContext.applicationId
+    with _LOCK:
+        if application not in _FOLDERS:
+            _FOLDERS[application] = posixpath.join(shared_dir(spark), f"semesta-{uuid4().hex}")
+            system, path = _file_system(spark, _FOLDERS[application])
+            system.mkdirs(path)
+            system.deleteOnExit(path)
+    folder = posixpath.join(_FOLDERS[application], f"{name}-{uuid4().hex}")
+    held = _HELD.get()
+    if held is not None:
+        held.append(folder)
+    return folder
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What the block puts into scratch folders is removed at its end, also after an error.
+
+    Nothing that is computed later may read it, so the block has to write its results itself.
+    """
+    held: list[str] = []
+    token = _HELD.set(held)
+    try:
+        yield
+    finally:
+        _HELD.reset(token)
+        remove(spark, held)
+
+
+def remove(spark: SparkSession, folders: Iterable[str]) -> None:
+    for folder in folders:
+        system, path = _file_system(spark, folder)
+        system.delete(path, True)
+
+
+def list_folders(spark: SparkSession, folder: str) -> list[str]:
+    """The folders in ``folder``, none where it does not exist; spelled as below ``folder``."""
+    system, path = _file_system(spark, folder)
+    if not system.exists(path):
+        return []
+    return [posixpath.join(folder, entry.getPath().getName()) for entry in system.listStatus(path) if entry.isDirectory()]

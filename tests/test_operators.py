@@ -113,7 +113,18 @@ def test_insert_if_absent_treats_null_as_absent(spark):
 def test_insert_or_ignore_keeps_the_existing_row(spark):
     existing = spark.createDataFrame([(1, "old")], "k INT, v STRING")
     batch = spark.createDataFrame([(1, "new"), (2, "new"), (2, "new")], "k INT, v STRING")
-    assert rows(merge.insert_or_ignore(batch, existing, ["k"])) == [(2, "new")]
+    assert rows(merge.insert_or_ignore(batch, existing, ["k"], ["v"])) == [(2, "new")]
+
+
+def test_the_first_of_a_batch_wins_however_it_is_dealt_out(spark):
+    """By arrival, nulls first, then by the other columns; rows with a NULL key equal no other."""
+    existing = spark.createDataFrame([(1, 1, 0, "old")], "k INT, j INT, at INT, v STRING")
+    batch = [(1, 1, 0, "late"), (2, 1, 5, "b"), (2, 1, 3, "c"), (2, 1, 3, "a"), (3, 1, 1, "x"), (3, 1, None, "y"),
+             (None, 1, 1, "n"), (None, 1, 1, "n"), (4, None, 2, "m")]
+    expected = sorted([(2, 1, 3, "a"), (3, 1, None, "y"), (None, 1, 1, "n"), (None, 1, 1, "n"), (4, None, 2, "m")], key=repr)
+    for turn in range(3):
+        dealt = spark.createDataFrame(batch[turn:] + batch[:turn], "k INT, j INT, at INT, v STRING").repartition(turn + 1)
+        assert rows(merge.insert_or_ignore(dealt, existing, ["k", "j"], ["at"])) == expected
 
 
 def test_replace_drops_impacted_keys_without_new_rows(spark):

@@ -13,7 +13,7 @@ from semesta.functions import decode
 from semesta.functions.rounding import half_up, percent
 from semesta.functions.semester import academic_year, first_day, last_day, semester_name
 from semesta.plans import audit, dims, facts, incremental, library, marts, quality
-from semesta.schemas import LIBRARY, SOURCES, TABLES
+from semesta.schemas import LIBRARY, SOURCES, TABLES, Table
 from tests.conftest import d, dec, in_order, rows
 
 
@@ -48,8 +48,8 @@ def _loans(campus, star, **changes):
 
 
 def _gpa_rows(spark, *values):
-    """GPA facts: (semester, student, GPA)."""
-    data = [(w, 1, m, None if g is None else dec(g), 3, 1) for w, m, g in values]
+    """GPA facts: (semester, student, GPA), then the programme where it is not 1."""
+    data = [(w, p[0] if p else 1, m, None if g is None else dec(g), 3, 1) for w, m, g, *p in values]
     return spark.createDataFrame(
         data, "waktu_id STRING, program_studi_id INT, mahasiswa_id STRING, ip_semester DECIMAL(3,2), total_sks INT, jumlah_mata_kuliah INT"
     )
@@ -206,6 +206,47 @@ def test_hot_loan_is_split_over_tasks(spark, campus, star):
     assert re.search(r"SortMergeJoin\(skew=true\) \[peminjaman_id#\d+L?\], \[peminjaman_id#", plan)
 
 
+def test_loan_lines_are_joined_once(campus, star):
+    """One scan of the lines, one join with their books and one with their loans."""
+    lines = campus["detail_peminjaman"].select("*")
+    plan = _loans(campus, star, detail_peminjaman=lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Join Inner, \(buku_id#\d+ = buku_id#\d+\)", plan)) == 1
+    assert len(re.findall(r"Join Inner, \(peminjaman_id#\d+L? = peminjaman_id#\d+L?\)", plan)) == 1
+
+
+def test_key_rules_read_each_table_once_and_shuffle_once(spark, campus, tmp_path):
+    """All unique keys, and all references, of all tables: one scan per table, one exchange of keys."""
+    stored = {}
+    for name, df in campus.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    specs = [TABLES[name] for name in campus]
+    for report, names in (
+        (quality.unique_keys(stored, specs), set(campus)),
+        (quality.referential(stored, specs), {s.name for s in specs if s.references} | {fk.parent for s in specs for fk in s.references}),
+    ):
+        report.collect()
+        plan = report._jdf.queryExecution().sparkPlan().toString()
+        assert len(re.findall(r"FileScan parquet", plan)) == len(names)
+        executed = report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[1]
+        # By (rule, key), and then by rule.
+        assert len(re.findall(r"Exchange hashpartitioning", executed)) == 2
+
+
+def test_composite_keys_do_not_run_together(spark):
+    spec = Table("t", "a STRING; b STRING", key=("a", "b"))
+    data = spark.createDataFrame([("1:x", "y"), ("1", "x1:y"), ("x", None), ("x", None), ("q", "r"), ("q", "r")], "a STRING, b STRING")
+    assert rows(quality.unique_keys({"t": data}, [spec])) == [("t", "a, b unique", 1)]
+
+
+def test_rules_of_empty_tables_are_reported(campus):
+    specs = [TABLES[name] for name in campus]
+    empty = {name: df.limit(0) for name, df in campus.items()}
+    for report in (quality.unique_keys, quality.referential, quality.not_null, quality.lengths):
+        result = report(empty, specs).collect()
+        assert result and all(r["pelanggaran"] == 0 for r in result)
+
+
 # Incremental load
 
 
@@ -348,6 +389,25 @@ def test_gpa_trend_in_report_order(star):
     ]
 
 
+def test_classes_are_ordered_by_their_mean(spark):
+    """Best mean first, a missing one before all; the total after a class of the same mean."""
+    gpa = _gpa_rows(spark, ("w1", "S1", "2.00", 1), ("w1", "S2", "4.00", 2), ("w1", "S3", "3.00", 3), ("w1", "S4", None, 4))
+    programmes = spark.createDataFrame([(1, "A"), (2, "Z"), (3, "M"), (4, "B")], "program_studi_id INT, kelas STRING")
+    assert in_order(marts.class_comparison(gpa, programmes)) == [
+        ("B", 1, None), ("Z", 1, 4.0), ("M", 1, 3.0), ("Grand Total Keseluruhan", 4, 3.0), ("A", 1, 2.0),
+    ]
+
+
+def test_cohorts_in_report_order(star):
+    """Intake years downwards, totals first; academic years upwards, totals last; semesters downwards, totals first."""
+    result = in_order(marts.intake_cohorts(star["gpa"], star["dim_mahasiswa"], star["dim_waktu"]), "angkatan", "tahun_akademik", "semester")
+    years = ["Semua Angkatan", "2021", "2020"]
+    terms = [("2020/2021", "Semua Semester"), ("2020/2021", "Genap"), ("2020/2021", "Ganjil"),
+             ("Semua Tahun", "Semua Semester"), ("Semua Tahun", "Genap"), ("Semua Tahun", "Ganjil")]
+    assert result == [(y, *t) for y in years for t in terms if (y, *t) in result]
+    assert result[0] == ("Semua Angkatan", "2020/2021", "Semua Semester") and len(result) == 16
+
+
 def test_subtotals_are_told_from_null_groups(spark):
     gpa = _gpa_rows(spark, ("w1", "S1", "2.00"), ("w1", "S2", "4.00"))
     programmes = spark.createDataFrame([(1, None)], "program_studi_id INT, kelas STRING")

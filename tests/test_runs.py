@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import re
+import subprocess
+import sys
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
-from semesta import runs
+from semesta import runs, session
+from semesta.operators.settled import settled
 from semesta.plans import quality
 from semesta.schemas import SOURCES, WAREHOUSE
-from semesta.sources.tables import read_landing
+from semesta.sources.tables import land, lines_in, read_landing
 from semesta.warehouse import BrokenRule, Warehouse
 from tests.conftest import d, dec, rows
 
@@ -211,6 +218,139 @@ def test_null_keys_are_reported(spark, table):
     assert rows(report) == [("mahasiswa", "nim not null", 2)]
 
 
+def test_rows_per_load_are_counted_by_the_write(spark, loaded):
+    root, (first, second, _) = loaded
+    log = runs.RunLog(spark, root)
+    counts = {(r["log_id"], r["tabel"]): r["baris"] for r in log.load_counts().collect()}
+    assert {table: n for (log_id, table), n in counts.items() if log_id == 1} == {name: len(data) for name, data in first.items()}
+    steps = {r["log_id"]: r["nama_proses"] for r in log.load_counts().collect()}
+    night = {(steps[i], table): n for (i, table), n in counts.items() if 2 <= i <= 6}
+    assert night[runs.SHARED_DIMENSIONS, "dim_waktu"] == 1 and night[runs.SHARED_DIMENSIONS, "dim_mahasiswa"] == 4
+    assert night[runs.ACADEMIC, "fact_detail_nilai"] == len(second["fact_detail_nilai"]) - len(first["fact_detail_nilai"])
+    assert night[runs.LOAN_FACTS, "fact_rekap_pinjam"] == 3 and night[runs.LIBRARY_DIMENSION, "dim_kategori_buku"] == 0
+    assert {table for step, table in night if step == runs.DASHBOARD} == set(runs.STORED_MARTS)
+
+
+def test_staging_counts_rows_and_nulls_while_writing(spark, table, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    programmes = table("dim_program_studi", *((i, "S1", "x", "y") for i in range(500))).repartition(7)
+    assert warehouse.stage("dim_program_studi", programmes).count == 500
+    assert warehouse.stage("dim_program_studi", programmes.filter("program_studi_id < 0")).count == 0
+    with pytest.raises(BrokenRule, match="jenjang not null, broken 500 times"):
+        warehouse.stage("dim_program_studi", programmes.withColumn("jenjang", F.lit(None).cast("string")))
+
+
+def _scratch(spark) -> list[str]:
+    """Names of the application's scratch folders that are there now."""
+    return [folder for root in session._FOLDERS.values() for folder in session.list_folders(spark, root)]
+
+
+def test_runs_leave_no_scratch_folders(spark, campus, later, tmp_path):
+    before = set(_scratch(spark))
+    warehouse = runs.initial_run(spark, str(tmp_path), campus)
+    log = runs.RunLog(spark, str(tmp_path))
+    for _ in range(10):
+        with log.step(runs.SHARED_DIMENSIONS) as written:
+            written |= runs.load_shared_dimensions(warehouse, later)
+    assert set(_scratch(spark)) == before
+    with pytest.raises(ZeroDivisionError), log.step(runs.LOAN_FACTS):
+        assert settled(spark.range(3)).count() == 3 and len(_scratch(spark)) == len(before) + 1
+        raise ZeroDivisionError
+    assert set(_scratch(spark)) == before
+
+
+def test_threads_hold_their_folders_in_the_callers_block(spark, tmp_path):
+    before = set(_scratch(spark))
+    warehouse = Warehouse(spark, str(tmp_path))
+    with session.temporary(spark):
+        staged = warehouse.stage_all({name: lambda: settled(spark.range(5)) for name in ("one", "two")})
+        assert len(_scratch(spark)) == len(before) + 2
+    assert set(_scratch(spark)) == before
+    assert [one.rows.count() for one in staged.values()] == [5, 5]
+
+
+def test_folders_nobody_names_are_removed(spark, campus, later, tmp_path):
+    root = str(tmp_path)
+    warehouse = runs.initial_run(spark, root, campus)
+    first = {path for _, _, path in warehouse.folders()}
+    lost = warehouse.stage("dim_kategori_buku", warehouse.read("dim_kategori_buku"))
+    runs.incremental_run(spark, root, later)
+    assert not any(os.path.exists(path) for _, path in lost.folders)
+    contents = _contents(warehouse)
+    warehouse.remove_unnamed()
+    named = {path for _, _, path in warehouse.folders()}
+    assert all(os.path.exists(path) == (path in named) for path in first)
+    there = {f"{root}/{name}/{run}" for name in (*WAREHOUSE, *runs.STORED_MARTS) for run in os.listdir(f"{root}/{name}")}
+    assert there == {re.sub(r"/waktu_id=[^/]*$", "", path) for path in named}
+    assert _contents(warehouse) == contents
+
+
+def test_an_application_removes_its_scratch_folder_at_its_end(tmp_path):
+    code = f"""
+from semesta.session import build_session
+from semesta.operators.settled import settled
+spark = build_session("ending", "local[1]", **{{"spark.checkpoint.dir": {str(tmp_path)!r}}})
+assert settled(spark.range(3)).count() == 3
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(__file__)), timeout=120)
+    # The JVM ends a little after its Python process.
+    for _ in range(60):
+        if not [name for name in os.listdir(tmp_path) if name.startswith("semesta-")]:
+            return
+        time.sleep(0.5)
+    pytest.fail("the scratch folder is still there")
+
+
+def _files_read(df) -> int:
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size()))
+
+
+def test_landed_lines_are_read_by_semester(spark, campus, later, tmp_path):
+    """A night opens the folders of its semesters, and those of lines whose transcript or loan is not known yet."""
+    folder = str(tmp_path)
+    land(folder, campus)
+    for name in ("detail_nilai", "detail_peminjaman"):
+        landed = read_landing(spark, folder)[name]
+        assert rows(landed.drop("masa")) == rows(campus[name])
+        every = spark.createDataFrame([("2020/2021", "Ganjil"), ("2020/2021", "Genap")], "tahun_akademik STRING, semester STRING")
+        some = lines_in(landed, every.limit(1))
+        assert re.search(r"PartitionFilters: \[[^\]]*masa#", some._jdf.queryExecution().executedPlan().toString())
+        assert 0 < _files_read(some) < _files_read(lines_in(landed, every))
+        assert 0 < some.count() < landed.count()
+        # Loan 4 was borrowed in another semester.
+        wanted = campus[name].filter("peminjaman_id <> 4") if name == "detail_peminjaman" else campus[name]
+        assert rows(lines_in(landed, every)) == rows(wanted)
+        # Tables that were not landed by semester are read whole.
+        assert lines_in(campus[name], every.limit(1)) is campus[name]
+
+
+def test_lines_that_arrive_before_their_transcript(spark, campus, table, tmp_path):
+    first, second = str(tmp_path / "a"), str(tmp_path / "b")
+    lines = table("detail_nilai", (70, "K70", "C1", dec("2.00"), "C", "Lulus"))
+    land(first, {**campus, "detail_nilai": lines})
+    land(second, {"hasil_studi": table("hasil_studi", ("K70", "S1", "2029/2030", "Ganjil", None)),
+                  "detail_nilai": table("detail_nilai", (71, "K1", "C2", dec("3.00"), "B", "Lulus"))}, campus)
+    landed = read_landing(spark, first, {"hasil_studi": [second], "detail_nilai": [second]})
+    term = spark.createDataFrame([("2029/2030", "Ganjil")], "tahun_akademik STRING, semester STRING")
+    assert rows(lines_in(landed["detail_nilai"], term), "detail_id") == [(70,)]
+    known = spark.createDataFrame([("2020/2021", "Ganjil")], "tahun_akademik STRING, semester STRING")
+    assert rows(lines_in(landed["detail_nilai"], known), "detail_id") == [(70,), (71,)]
+
+
+def test_a_night_from_landed_lines_equals_one_from_whole_tables(spark, campus, later, tmp_path):
+    nights = []
+    for name, given in (("whole", later), ("landed", None)):
+        if given is None:
+            land(str(tmp_path / "landing"), later)
+            given = read_landing(spark, str(tmp_path / "landing"))
+        root = str(tmp_path / name)
+        runs.initial_run(spark, root, campus)
+        nights.append(_contents(runs.incremental_run(spark, root, given)))
+    assert nights[0] == nights[1]
+
+
 def test_library_views_by_name(spark, campus, tmp_path):
     warehouse = runs.initial_run(spark, str(tmp_path), campus)
     runs.refresh_dashboard(warehouse)
