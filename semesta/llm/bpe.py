@@ -2,12 +2,15 @@
 
 1. A text is cut by the vocabulary's pattern into words; words are counted over all texts and the
    ``frequent`` most frequent ones (a fixed bound, each of at most ``LONGEST`` bytes) are taken.
-2. ``merged`` encodes a word: its bytes are an array (a byte is a character U+0000 to U+00FF, so that
-   string functions work on bytes) and ``aggregate`` folds the merges over it. Each step joins the pair of
-   lowest rank, leftmost first, and looks up only the two pairs that this changes. The rank map is a
-   literal of the plan, dealt into small maps by the key's crc32, as a map literal is searched row by row.
+2. ``merged`` encodes a word: its bytes are an array of token ids and ``aggregate`` folds the merges over it.
+   Each step joins the pair of lowest rank, leftmost first, and looks up only the two pairs that this
+   changes. The rank map is a literal of the plan, a perfect hash from pairs of ids to the joined id.
 3. The frequent words are merged once and sent to the tasks. Every other word is merged beside the first
-   document of a partition that has it; its ids are kept until ``REMEMBERED`` words are. So no text is shuffled, and a hot word or source costs nothing extra.
+   document of a partition that has it; its ids are kept until ``REMEMBERED`` words are. So no text is
+   shuffled, and a hot word or source costs nothing extra.
+4. A task reads a text twice: to count its words, and to number them. The numbers go on as one binary value per
+   text, and the ids are gathered from arrays by them, so no second dictionary of words is held.
+5. Decoding joins the pieces of the ids, as characters U+0000 to U+00FF that stand for bytes.
 
 Null text counts as empty: no ids, empty bytes. Repeated rows stay repeated rows. Other columns pass
 unchanged; a column of the name asked for is replaced. An empty table gives an empty table.
@@ -17,7 +20,6 @@ from __future__ import annotations
 
 import base64
 import json
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -26,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +40,12 @@ FREQUENT = 262_144
 LONGEST = 64
 #: Entries after which a task hands on its counts, and after which its memory of words is emptied.
 COUNTED, REMEMBERED = 200_000, 60_000
+#: Words whose ids are gathered at once.
+GATHERED = 500_000
+#: Characters of a plan's description: it would repeat the literals, and the driver keeps descriptions.
+PLAN_TEXT = 200_000
 
-_TAIL, _TAIL_IDS = "__bpe_tail", "__bpe_tail_ids"
+_TAIL, _TAIL_IDS, _CODES, _BASE = "__bpe_tail", "__bpe_tail_ids", "__bpe_codes", "__bpe_base"
 
 
 def read_ranks(path: str) -> dict[str, int]:
@@ -49,36 +55,6 @@ def read_ranks(path: str) -> dict[str, int]:
         return {base64.b64decode(token).decode("latin-1"): int(rank) for token, rank in pairs}
 
 
-class Splitter:
-    """Words of a text by the pattern, with what follows each space remembered.
-
-    A match never spans a space that stands between two other words, unless white space stands on
-    both sides of that space; such texts are matched as a whole.
-    """
-
-    _UNSAFE = re.compile(r"\s (?=\s|\Z)")
-
-    def __init__(self, pattern: str):
-        self._find = regex.compile(pattern).findall
-        self._known: dict[str, tuple[str, ...]] = {}
-
-    def runs(self, text: str) -> list[tuple[str, ...]]:
-        """Words in order, as groups of consecutive words."""
-        if self._UNSAFE.search(text):
-            return [tuple(self._find(text))]
-        first, *rest = text.split(" ")
-        known = self._known
-        if len(known) > REMEMBERED:
-            known.clear()
-        out = [tuple(self._find(first))]
-        for run in rest:
-            words = known.get(run)
-            if words is None:
-                words = known[run] = tuple(self._find(" " + run))
-            out.append(words)
-        return out
-
-
 class Lookup:
     """A literal map from byte text to int, as an array of small maps: one array access and one crc32 a key.
 
@@ -98,6 +74,78 @@ class Lookup:
         return F.get(maps, (F.crc32(key.cast("binary")) % self.size).cast("int"))[key]
 
 
+class Pairs:
+    """A literal map from pairs of ids to the id of the joined token: a perfect hash, so a look-up is one array access each
+    in two arrays of numbers.
+
+    A pair is one number, its group that number modulo ``groups``, its place the number plus its group's shift modulo
+    ``size``. Numbers that agree in both modules are equal, as the modules have no common divisor and a larger product.
+    """
+
+    BITS = 16
+    #: An id that no token has.
+    EDGE = (1 << BITS) - 1
+
+    def __init__(self, ranks: dict[str, int]):
+        if max(ranks.values()) >= self.EDGE:
+            raise ValueError(f"ids of more than {self.BITS} bits")
+        joined: dict[int, int] = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    joined[left << self.BITS | right] = rank
+        #: Tokens that merging their bytes does not lead to: only as whole words do they stand.
+        self.apart = [(token, rank) for token, rank in ranks.items() if _merge(token, ranks, joined, self.BITS) != [rank]]
+        self.size = _prime(int(1.5 * len(joined)) + 7)
+        self.groups = _prime(self.size // 3)
+        while self.size * self.groups >> (2 * self.BITS) == 0:
+            self.size, self.groups = _prime(2 * self.size), _prime(2 * self.groups)
+        grouped: dict[int, list[int]] = {}
+        for pair in joined:
+            grouped.setdefault(pair % self.groups, []).append(pair)
+        shifts, table = [0] * self.groups, [-1] * self.size
+        for group, members in sorted(grouped.items(), key=lambda g: (-len(g[1]), g[0])):
+            shift = 0
+            while any(table[(pair + shift) % self.size] >= 0 for pair in members):
+                shift += 1
+            shifts[group] = shift
+            for pair in members:
+                table[(pair + shift) % self.size] = pair << self.BITS | joined[pair]
+        self.literal = F.from_json(F.lit(json.dumps({"shifts": shifts, "table": table})), "shifts array<int>, table array<bigint>")
+
+    def find(self, literal: Column, left: Column, right: Column) -> Column:
+        """Id of the joined token, as a bigint; a number of more than BITS bits if there is none."""
+
+        def found(pair: Column) -> Column:
+            shift = F.get(literal["shifts"], (pair % self.groups).cast("int"))
+            entry = F.get(literal["table"], ((pair + shift) % self.size).cast("int"))
+            # The entry of another pair is off by more than an id.
+            return F.pmod(entry - pair * (1 << self.BITS), F.lit(1 << 50))
+
+        return let(left * (1 << self.BITS) + right, found)
+
+
+def _merge(token: str, ranks: dict[str, int], joined: dict[int, int], bits: int) -> list[int]:
+    """Ids of a token's bytes after all merges."""
+    ids = [ranks[byte] for byte in token]
+    while len(ids) > 1:
+        pairs = [joined.get(left << bits | right, -1) for left, right in zip(ids, ids[1:])]
+        lowest = min((rank for rank in pairs if rank >= 0), default=-1)
+        if lowest < 0:
+            break
+        at = pairs.index(lowest)
+        ids[at : at + 2] = [lowest]
+    return ids
+
+
+def _prime(least: int) -> int:
+    """The first prime from ``least`` on."""
+    while least < 2 or any(least % d == 0 for d in range(2, int(least**0.5) + 1)):
+        least += 1
+    return least
+
+
 def let(value: Column, then) -> Column:
     """``then(value)`` with ``value`` evaluated once."""
     return F.get(F.transform(F.array(value), then), F.lit(0))
@@ -110,81 +158,79 @@ def byte_text(word: Column) -> Column:
 class ByteBPE:
     def __init__(self, ranks: dict[str, int], pattern: str):
         self._pattern = pattern
-        self._ranks = Lookup(ranks.items())
-        self._pieces = [b""] * (max(ranks.values()) + 1)
+        self._pairs = Pairs(ranks)
+        self._apart = Lookup(self._pairs.apart) if self._pairs.apart else None
+        self._bytes = F.array(*(F.lit(ranks[chr(byte)]).cast("bigint") for byte in range(256)))
+        pieces = [""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
-            self._pieces[rank] = token.encode("latin-1")
+            pieces[rank] = token
+        self._pieces = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
 
     def merged(self, words: Column) -> Column:
         """Ids of each word of an array."""
-        return let(self._ranks.maps, lambda maps: F.transform(words, lambda word: self._merged(maps, byte_text(word))))
 
-    def _merged(self, maps: Column, word: Column) -> Column:
-        none = F.array().cast("array<int>")
+        def each(pairs: Column, maps: Column | None) -> Column:
+            return F.transform(words, lambda word: self._merged(pairs, maps, byte_text(word)))
 
-        def rank_of(key: Column) -> Column:
-            return self._ranks.find(maps, key)
+        if self._apart is None:
+            return let(self._pairs.literal, lambda pairs: each(pairs, None))
+        return let(self._pairs.literal, lambda pairs: let(self._apart.maps, lambda maps: each(pairs, maps)))
 
-        def step(state: Column, _: Column) -> Column:
-            parts, ranks = state["parts"], state["ranks"]
-
-            def join(at: Column) -> Column:
-                def around(new: Column) -> Column:
-                    before = F.array(rank_of(F.concat(F.get(parts, at - 2), new)))
-                    after = F.array(rank_of(F.concat(new, F.get(parts, at + 1))))
-                    return F.struct(
-                        F.concat(
-                            F.slice(parts, F.lit(1), at - 1), F.array(new), F.slice(parts, at + 2, F.size(parts))
-                        ).alias("parts"),
-                        F.concat(
-                            F.slice(ranks, F.lit(1), F.greatest(at - 2, F.lit(0))),
-                            F.when(at > 1, before).otherwise(none),
-                            F.when(at < F.size(ranks), after).otherwise(none),
-                            F.slice(ranks, at + 2, F.size(ranks)),
-                        ).alias("ranks"),
-                    )
-
-                return let(F.concat(F.get(parts, at - 1), F.get(parts, at)), around)
+    def _merged(self, pairs: Column, maps: Column | None, word: Column) -> Column:
+        def rank_of(left: Column, right: Column) -> Column:
+            return self._pairs.find(pairs, left, right)
 
+        # The ids stand between two edges, so every pair has a neighbour on either side; ``ranks`` holds for each id that
+        # of the pair it begins.
+        def step(state: Column, _: Column) -> Column:
+            ids, ranks = state["ids"], state["ranks"]
             lowest = F.array_min(ranks)
-            return F.when(lowest.isNull(), state).otherwise(let(F.array_position(ranks, lowest).cast("int"), join))
 
-        def fold(parts: Column) -> Column:
-            pairs = F.zip_with(
-                F.slice(parts, F.lit(1), F.size(parts) - 1),
-                F.slice(parts, F.lit(2), F.size(parts)),
-                lambda left, right: rank_of(F.concat(left, right)),
-            )
+            def join(first: Column) -> Column:
+                low, at = first["low"], first["at"]
+                around = F.array(rank_of(F.get(ids, at - 2), low), rank_of(low, F.get(ids, at + 1)))
+                return F.struct(
+                    F.concat(F.slice(ids, F.lit(1), at - 1), F.array(low), F.slice(ids, at + 2, F.size(ids))).alias("ids"),
+                    F.concat(F.slice(ranks, F.lit(1), at - 2), around, F.slice(ranks, at + 2, F.size(ranks))).alias("ranks"),
+                )
+
+            first = F.struct(lowest.alias("low"), F.array_position(ranks, lowest).cast("int").alias("at"))
+            return F.when(lowest > Pairs.EDGE, state).otherwise(let(first, join))
+
+        def fold(ids: Column) -> Column:
+            after = F.slice(ids, F.lit(2), F.size(ids))
+            ranks = F.zip_with(F.slice(ids, F.lit(1), F.size(ids) - 1), after, rank_of)
             return F.aggregate(
-                F.slice(parts, F.lit(2), F.size(parts)),
-                F.struct(parts.alias("parts"), pairs.alias("ranks")),
+                F.slice(ids, F.lit(4), F.size(ids)),
+                F.struct(ids.alias("ids"), ranks.alias("ranks")),
                 step,
-                lambda state: F.transform(state["parts"], rank_of),
+                lambda state: F.transform(F.slice(state["ids"], F.lit(2), F.size(state["ids"]) - 2), lambda i: i.cast("int")),
             )
 
-        whole = let(rank_of(word), lambda rank: F.when(rank.isNotNull(), F.array(rank)))
-        return F.coalesce(whole, let(F.split(word, ""), fold))
+        edge = F.array(F.lit(Pairs.EDGE).cast("bigint"))
+        letters = F.concat(edge, F.transform(F.split(word, ""), lambda letter: F.get(self._bytes, F.ascii(letter))), edge)
+        if maps is None:
+            return let(letters, fold)
+        whole = let(self._apart.find(maps, word), lambda rank: F.when(rank.isNotNull(), F.array(rank)))
+        return F.coalesce(whole, let(letters, fold))
 
     def word_counts(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """Every word of all texts with its count: (word, n)."""
         pattern = self._pattern
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            split, seen = Splitter(pattern), Counter()
+            split, seen = regex.compile(pattern).findall, Counter()
 
             def drain() -> pa.RecordBatch:
-                words = Counter()
-                for run, n in seen.items():
-                    for word in run:
-                        words[word] += n
-                seen.clear()
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"]
+                counted = pa.RecordBatch.from_arrays(
+                    [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"]
                 )
+                seen.clear()
+                return counted
 
             for batch in batches:
                 for value in batch.column(0):
-                    seen.update(split.runs(value.as_py() or ""))
+                    seen.update(split(value.as_py() or ""))
                     if len(seen) > COUNTED:
                         yield drain()
             yield drain()
@@ -205,75 +251,100 @@ class ByteBPE:
             out.write_table(merged, max_chunksize=10_000)
         return stream.getvalue().to_pybytes()
 
-    def encode(self, docs: DataFrame, text: str = "text", ids: str = "ids", frequent: int = FREQUENT) -> DataFrame:
-        """``docs`` with the column ``ids``: array of token ids of the whole text."""
+    def encode(
+        self, docs: DataFrame, text: str = "text", ids: str = "ids", frequent: int = FREQUENT, *,
+        packed: str | None = None, keep_text: bool = True,
+    ) -> DataFrame:
+        """``docs`` with the column ``ids``: array of token ids of the whole text.
+
+        ``packed`` names another column with the ids as little-endian unsigned 32-bit integers; the text can be left out.
+        """
         small_batches(docs.sparkSession)
-        kept = docs.drop(ids)
+        short_plans(docs.sparkSession)
+        kept = docs.drop(ids, *([packed] if packed else []))
         sent = docs.sparkSession.sparkContext.broadcast(self.frequent(docs, text, frequent))
         pattern, at = self._pattern, kept.columns.index(text)
-        with_tail = T.StructType([*kept.schema.fields, T.StructField(_TAIL, T.ArrayType(T.StringType()))])
-        with_ids = T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
-
-        def find_tail(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            split, known = Splitter(pattern), packed_words(sent.value)
-            told: set[str] = set()
+        out = [i for i in range(len(kept.columns)) if keep_text or i != at]
+        fields = [kept.schema.fields[i] for i in out]
+        numbered = [
+            *fields, T.StructField(_TAIL, T.ArrayType(T.StringType())), T.StructField(_CODES, T.BinaryType()),
+            T.StructField(_BASE, T.LongType()),
+        ]
+        with_ids = [*fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]
+        if packed:
+            with_ids.append(T.StructField(packed, T.BinaryType()))
+
+        def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Numbers of each text's words: a frequent one's place, or minus its place among the others, less one."""
+            split, known = regex.compile(pattern).findall, word_places(sent.value)
+            told: dict[str, int] = {}
+            count = base = 0
             for batch in batches:
-                tails = []
+                tails, codes, bases = [], [], []
                 for value in batch.column(at):
-                    words = {word for run in set(split.runs(value.as_py() or "")) for word in run}
-                    new = [word for word in words if word not in known and word not in told]
                     if len(told) > REMEMBERED:
-                        # None tells the assembly to forget, too.
-                        new = [None, *(word for word in words if word not in known)]
+                        # Whoever gathers forgets them, too: no later text refers to a place before ``base``.
                         told.clear()
-                    told.update(new)
+                        base = count
+                    words = split(value.as_py() or "")
+                    row = [known.get(word) for word in words]
+                    new = []
+                    if None in row:
+                        for i, code in enumerate(row):
+                            if code is None:
+                                code = told.get(words[i])
+                                if code is None:
+                                    count += 1
+                                    code = told[words[i]] = -count
+                                    new.append(words[i])
+                                row[i] = code
                     tails.append(new)
-                yield _with(batch, _TAIL, pa.array(tails, pa.list_(pa.string())))
-
-        def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            split, known = Splitter(pattern), packed_words(sent.value)
-            packed_runs: dict[tuple[str, ...], bytes] = {}
-            tail: dict[str, bytes] = {}
+                    codes.append(np.array(row, "<i4").tobytes())
+                    bases.append(base)
+                columns = [pa.array(tails, pa.list_(pa.string())), pa.array(codes, pa.binary()), pa.array(bases, pa.int64())]
+                yield _with(batch.select(out), [_TAIL, _CODES, _BASE], columns)
+
+        def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            values, ends = word_ids(sent.value)
+            frequent_words = len(ends) - 1
+            # Ids of the other words from place ``first`` on.
+            others, other_ends, first = np.zeros(0, np.int32), np.zeros(1, np.int64), 0
             for batch in batches:
-                words, merged = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
-                lists, ends = [], [0]
-                for i, value in enumerate(batch.column(at)):
-                    for word, found in zip(words[i].as_py(), merged[i].as_py(), strict=True):
-                        if word is None:
-                            tail.clear()
-                        else:
-                            tail[word] = np.asarray(found, "<u4").tobytes()
-                    if len(packed_runs) > REMEMBERED:
-                        packed_runs.clear()
-                    packed = []
-                    for run in split.runs(value.as_py() or ""):
-                        code = packed_runs.get(run)
-                        if code is None:
-                            each = [known.get(word) for word in run]
-                            if None in each:
-                                code = b"".join(known.get(word) or tail[word] for word in run)
-                            else:
-                                code = packed_runs[run] = b"".join(each)
-                        packed.append(code)
-                    lists.append(b"".join(packed))
-                    ends.append(ends[-1] + len(lists[-1]) // 4)
-                values = pa.array(np.frombuffer(b"".join(lists), "<i4"))
-                column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-                yield _with(batch.select(range(batch.num_columns - 2)), ids, column)
-
-        tailed = kept.mapInArrow(find_tail, with_tail)
+                _, codes, bases, merged = batch.columns[len(out) :]
+                if batch.num_rows == 0:
+                    continue
+                forget = bases[0].as_py() - first
+                if forget > 0:
+                    others, first = others[other_ends[forget] :], first + forget
+                    other_ends = other_ends[forget:] - other_ends[forget]
+                new_values, new_ends = _flat(merged)
+                other_ends = np.concatenate([other_ends, other_ends[-1] + new_ends[1:]])
+                others = np.concatenate([others, new_values])
+                table = np.concatenate([values, others])
+                starts = np.concatenate([ends[:-1], ends[-1] + other_ends])
+                sizes = np.diff(starts)
+                words = np.array([len(code) // 4 for code in codes.to_pylist()])
+                for rows in _chunks(words, GATHERED):
+                    part = batch.slice(rows.start, len(rows))
+                    word = np.frombuffer(b"".join(codes.slice(rows.start, len(rows)).to_pylist()), "<i4").astype(np.int64)
+                    word = np.where(word >= 0, word, frequent_words - 1 - word - first)
+                    size = sizes[word]
+                    row_ends = np.concatenate([[0], np.cumsum(size)])
+                    found = table[np.repeat(starts[word] - row_ends[:-1], size) + np.arange(row_ends[-1])].astype("<i4")
+                    bounds = row_ends[np.concatenate([[0], np.cumsum(words[rows.start : rows.stop])])]
+                    columns = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(found))]
+                    if packed:
+                        columns.append(pa.array([found[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()))
+                    yield _with(part.select(range(len(out))), [ids, packed][: len(columns)], columns)
+
+        tailed = kept.mapInArrow(number, T.StructType(numbered))
         merged = tailed.withColumn(_TAIL_IDS, self.merged(F.col(_TAIL)))
-        return merged.mapInArrow(assemble, with_ids)
+        return merged.mapInArrow(gather, T.StructType(with_ids))
 
     def decode(self, ids: Column) -> Column:
-        """Bytes of an array of ids: their binary pieces, put together; null stays null."""
-        pieces = self._pieces
-
-        @F.pandas_udf(T.BinaryType())
-        def join(column: pd.Series) -> pd.Series:
-            return column.map(lambda each: None if each is None else b"".join([pieces[i] for i in each.tolist()]))
-
-        return join(ids)
+        """Bytes of an array of ids: their pieces, put together; null stays null."""
+        joined = let(self._pieces, lambda pieces: F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))
+        return F.encode(joined, "ISO-8859-1")
 
 
 @F.pandas_udf(T.BinaryType())
@@ -282,18 +353,44 @@ def little_endian(column: pd.Series) -> pd.Series:
     return column.map(lambda each: None if each is None else np.asarray(each, "<u4").tobytes())
 
 
-def packed_words(stream: bytes) -> dict[str, bytes]:
-    """Words of an Arrow stream with their ids, packed."""
-    found: dict[str, bytes] = {}
-    for part in pa.ipc.open_stream(stream):
-        ids = part.column(1)
-        values, ends = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
-        found.update(
-            (word, values[a:b].tobytes())
-            for word, a, b in zip(part.column(0).to_pylist(), ends[:-1], ends[1:], strict=True)
-        )
-    return found
+def word_places(stream: bytes) -> dict[str, int]:
+    """Words of an Arrow stream with their places."""
+    words = (word for part in pa.ipc.open_stream(stream) for word in part.column(0).to_pylist())
+    return {word: place for place, word in enumerate(words)}
+
+
+def word_ids(stream: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words of an Arrow stream one after the other, and where each word's begin; the end last."""
+    parts = [_flat(part.column(1)) for part in pa.ipc.open_stream(stream)]
+    sizes = [np.diff(ends) for _, ends in parts]
+    values = [values for values, _ in parts]
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none.astype(np.int32), *values]), np.concatenate([[0], np.cumsum(np.concatenate([none, *sizes]))])
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of an array of lists, or of lists of lists, and where the innermost lists begin."""
+    while pa.types.is_list(lists.type.value_type):
+        lists = lists.flatten()
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32), ends - ends[0]
+
+
+def _chunks(sizes: np.ndarray, limit: int) -> Iterator[range]:
+    """Rows in runs of at most ``limit``, or single rows of more."""
+    first, total = 0, 0
+    for row, size in enumerate(sizes.tolist()):
+        if row > first and total + size > limit:
+            yield range(first, row)
+            first, total = row, 0
+        total += size
+    yield range(first, len(sizes))
+
+
+def short_plans(spark: SparkSession) -> None:
+    """Let the session describe plans in at most PLAN_TEXT characters."""
+    spark.conf.set("spark.sql.maxPlanStringLength", PLAN_TEXT)
 
 
-def _with(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, name])
+def _with(batch: pa.RecordBatch, names: list[str], columns: list[pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names])

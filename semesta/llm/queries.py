@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semesta.llm import ann, bpe, chat, decontaminate, html, lines, ngram, quality, repair, repetitions, sharding, simhash, tokens
+from semesta.llm import ann, bpe, chat, decontaminate, html, lines, ngram, quality, repair, repetitions, sharding, simhash, sql, tokens
 from semesta.llm.common import fold_of, table, whole
 
 SHARDS = 40
@@ -18,18 +18,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = bpe.ByteBPE(
         bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
     )
-    encoded = model.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
-    packed = encoded.select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = model.encode(docs, packed="packed", keep_text=False)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        bpe.little_endian(F.col("ids")).alias("packed"),
-        model.decode(F.col("ids")).alias("decoded"),
-    )
-    return packed.select(
-        "doc_id",
-        "n_tokens",
         F.sha2("packed", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2(model.decode(F.col("ids")), 256).alias("decoded_sha256"),
     )
 
 
@@ -190,6 +185,9 @@ QUERIES = {
 
 #: DuckDB SQL for the queries that it can express in its own words.
 ORACLE: dict[str, str] = {
+    "op6_shards": sql.shards(SHARDS, sharding.SEED),
+    "op12_runs": sql.runs(),
+    "op13_repair": sql.repaired(),
     "op8_chat": r"""
 WITH said AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -25,6 +25,7 @@ from semesta.llm.common import whole
 BUCKETS = 4096
 #: Bytes counted for a row besides its text.
 ROW_BYTES = 16
+SEED = 7
 
 
 def _ranked(rows: DataFrame, group: list[str], order: list[str], rank: str) -> DataFrame:
@@ -49,7 +50,7 @@ def _ranked(rows: DataFrame, group: list[str], order: list[str], rank: str) -> D
 
 
 def interleave(
-    docs: DataFrame, shards: int, *, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = 7
+    docs: DataFrame, shards: int, *, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = SEED
 ) -> DataFrame:
     """(doc_id, source, size, text_crc32, shard, slot): where each row goes; slots run from 0 in every shard."""
     rows = docs.select(
