@@ -11,9 +11,11 @@ tried as a plain word where a window begins with it.
 Matches of a text and an item at the same offset, or at offsets up to ``SHIFT`` apart, are one alignment. It is a leak if it covers at least
 ``SHARE`` of the item's windows and its slots are consistent: each value of the item stands for one value of
 the text throughout, and the other way round. So a question with other numbers or names is found, while
-windows that agree by chance are not.
+windows that agree by chance are not. A window that n items hold counts as 1/n of one: an instruction that many
+items begin with says little about any of them. Pairs of a text and an item come from the item's heaviest windows,
+of which any leak holds one.
 
-Windows that no benchmark window can equal are left out by a Bloom filter of fixed size before the join;
+Words and windows that no benchmark window can equal are left out by Bloom filters of fixed size before the join;
 the join itself compares the templates. It follows that only few rows are shuffled, whatever the sizes.
 Groups are alignments, at most as long as an item, so a passage in a third of all texts is no hot group
 but for the join, where Spark splits it or sends the small side out, by its size.
@@ -32,16 +34,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from semesta.llm.common import small_batches
+from semesta.llm.common import small_batches, stored
 
 #: Tokens of a window; tokens that an item needs; share of an item's windows that make a leak.
 WINDOW, SHORTEST, SHARE = 8, 4, 0.5
 #: Tokens by which the offsets of one copy may differ, as words are put in or left out.
 SHIFT = 4
+#: Weight of a window that one item holds.
+WEIGHT = 1 << 20
 #: Bits of the Bloom filter (2 MB).
 BLOOM_BITS = 1 << 24
 #: Words after which a task's memory of them is emptied.
 REMEMBERED = 200_000
+#: Codes of the words that no benchmark window holds: without and with a sentence's end.
+OTHER, OTHER_ENDS = 1, 2
 
 # Units of measure.
 UNITS = frozenset(
@@ -72,24 +78,41 @@ def _mix(mixed: np.ndarray) -> np.ndarray:
     return mixed
 
 
+def _without(codes: np.ndarray, size: int) -> np.ndarray:
+    """Whether each window of ``size`` codes holds no word that is in no benchmark window."""
+    others = np.concatenate([[0], np.cumsum(codes <= OTHER_ENDS)])
+    return others[size:] == others[:-size] if len(codes) >= size else np.zeros(0, bool)
+
+
 class Templates:
     """Template tokens of texts; words met before are remembered."""
 
-    def __init__(self):
+    def __init__(self, vocabulary: bytes | None = None):
+        #: Bloom filter of the words that a benchmark window can hold; without it all words are told apart.
+        self._vocabulary = vocabulary
         self._codes: dict[str, int] = {}
         self._clear()
 
     def _clear(self) -> None:
         self._codes.clear()
-        # By code: token if it begins a sentence or not, value, whether it ends one; code 0 is no token.
-        self.first, self.inner, self.value, self.ends = [""], [""], [""], [False]
+        # By code: token if it begins a sentence or not, value; code 0 is no token.
+        self.first, self.inner, self.value = ["", "?", "?"], ["", "?", "?"], ["", "?", "?"]
         # The same as arrays: hashes of both tokens, whether they are literal, whether it is one, ends one; its kind; the hash
         # of the word itself.
         self._arrays = [np.zeros(1 << 12, kind) for kind in (np.uint64, np.uint64, bool, bool, bool, bool, np.int8, np.uint64)]
+        for flag in self._arrays[2:5]:
+            flag[OTHER] = flag[OTHER_ENDS] = True
+        self._arrays[5][OTHER_ENDS] = True
 
     def _learn(self, word: str) -> int:
+        if word.islower() and word.isalpha() and word not in UNITS:
+            # Most words: nothing around them, a plain token wherever they stand.
+            if self._unheard(word):
+                self._codes[word] = OTHER
+                return OTHER
+            h = _hash(word)
+            return self._enter(word, word, word, word, (h, h, True, True, True, False, 0, h))
         bare = _AROUND.sub("", word)
-        code = 0
         ends = bool(_ENDS.search(word))
         if bare or ends:
             lower = bare.lower()
@@ -102,16 +125,30 @@ class Templates:
             else:
                 first = lower
                 inner = NAME if bare[0].isupper() and not bare[1:].isupper() else lower
-            code = len(self.first)
-            self.first.append(first)
-            self.inner.append(inner)
-            self.value.append(lower)
-            self.ends.append(ends)
-            if code == len(self._arrays[0]):
-                self._arrays = [np.concatenate([x, np.zeros_like(x)]) for x in self._arrays]
+                if inner is lower and self._unheard(lower):
+                    code = self._codes[word] = OTHER_ENDS if ends else OTHER
+                    return code
             entry = (_hash(first), _hash(inner), first[:1] != "<", inner[:1] != "<", first != "", ends, _KIND.get(inner, 0), _hash(lower))
-            for array, value in zip(self._arrays, entry, strict=True):
-                array[code] = value
+            return self._enter(word, first, inner, lower, entry)
+        self._codes[word] = 0
+        return 0
+
+    def _unheard(self, token: str) -> bool:
+        """Whether no benchmark window can hold this token."""
+        if self._vocabulary is None:
+            return False
+        bit = xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"), 42) % BLOOM_BITS
+        return not self._vocabulary[bit >> 3] >> (bit & 7) & 1
+
+    def _enter(self, word: str, first: str, inner: str, lower: str, entry: tuple) -> int:
+        code = len(self.first)
+        self.first.append(first)
+        self.inner.append(inner)
+        self.value.append(lower)
+        if code == len(self._arrays[0]):
+            self._arrays = [np.concatenate([x, np.zeros_like(x)]) for x in self._arrays]
+        for array, value in zip(self._arrays, entry, strict=True):
+            array[code] = value
         self._codes[word] = code
         return code
 
@@ -142,22 +179,25 @@ class Templates:
         return codes, begins, starts, begins[starts]
 
     def windows(self, codes: np.ndarray, begins: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, whether half the tokens are literal) of each window of ``size`` tokens."""
+        """(hash, whether half the tokens are literal and none is a word of no benchmark window) of each window of ``size`` tokens."""
         count = len(codes) - size + 1
         if count < 1:
             return np.zeros(0, np.uint64), np.zeros(0, bool)
+        fits = _without(codes, size)
+        if not fits.any():
+            return np.zeros(count, np.uint64), fits
         first, inner, first_literal, inner_literal = self._arrays[:4]
         token = np.where(begins, first[codes], inner[codes])
         literal = np.concatenate([[0], np.cumsum(np.where(begins, first_literal[codes], inner_literal[codes]))])
         mixed = np.zeros(count, np.uint64)
         for k in range(size):
             mixed += token[k : k + count] * _WEIGHTS[k]
-        return _mix(mixed), 2 * (literal[size:] - literal[:-size]) >= size
+        return _mix(mixed), fits & (2 * (literal[size:] - literal[:-size]) >= size)
 
     def exact(self, codes: np.ndarray, size: int) -> np.ndarray:
         """Hash of the words themselves of each window of ``size`` words; one word counts as a whole text only."""
         count = len(codes) - size + 1
-        if count < 1 or (size == 1 and count > 1):
+        if count < 1 or (size == 1 and count > 1) or not _without(codes, size).any():
             return np.zeros(0, np.uint64)
         word = self._arrays[7][codes]
         mixed = np.full(count, _EXACT, np.uint64)
@@ -172,7 +212,7 @@ class Templates:
         codes = words[starts]
         first, inner, first_literal, inner_literal, _, _, kind, own = self._arrays
         name = (kind[codes] == 3) & ~begins
-        if not name.any():
+        if not name.any() or (size > 1 and not _without(codes, size - 1).any()):
             none = np.zeros(0, np.int64)
             return none, none, np.zeros(0, np.uint64), np.zeros(0, bool)
         token = np.where(begins, first[codes], inner[codes])
@@ -205,14 +245,16 @@ class Templates:
 _SCHEMA = "row bigint, size int, at int, place int, h bigint, template string, slots array<string>"
 
 
-def template_windows(rows: DataFrame, key: str, text: str, sizes: set[int] | None, bloom: bytes | None) -> DataFrame:
-    """(key, row, size, at, place, h, template, slots); without sizes, an item's windows; with a filter, those passing.
+def template_windows(
+    rows: DataFrame, key: str, text: str, sizes: set[int] | None, bloom: bytes | None, vocabulary: bytes | None = None
+) -> DataFrame:
+    """(key, row, size, at, place, h, template, slots); without sizes, an item's windows; with filters, those passing.
 
     ``at`` counts tokens, ``place`` words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Templates()
+        reader = Templates(vocabulary)
         bits = None if bloom is None else np.frombuffer(bloom, np.uint8)
 
         def passing(hashes: np.ndarray) -> np.ndarray:
@@ -283,21 +325,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     ``row`` is the hash of the text, ``at`` the first token of the alignment in it, ``changed`` the number of
     slots with another value than the item's.
     """
-    items = template_windows(benchmark, "item_id", "text", None, None)
+    once = benchmark.select("item_id", "text").distinct()
+    items = stored(template_windows(once, "item_id", "text", None, None), "item-windows")
     sizes = {row["size"] for row in items.select("size").distinct().collect()}
     bits = bloom_of(items)
-    per_item = items.groupBy("item_id", "row").agg(F.count(F.lit(1)).alias("of"))
+    # Tokens are the words they stand for, in templates and in windows of words alike.
+    vocabulary = bloom_of(items.select(F.explode(F.split("template", " ")).alias("token")).select(F.xxhash64("token").alias("h")))
+    item = weighed(items)
     named = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    found = template_windows(named, "doc_id", "text", sizes, bits)
-    item = items.join(per_item.withColumnsRenamed({"item_id": "i", "row": "r"}), _same("item_id", "row")).select(
-        "template",
-        "item_id",
-        F.col("row").alias("item_row"),
-        F.col("at").alias("item_at"),
-        F.col("slots").alias("item_slots"),
-        "of",
+    found = stored(template_windows(named, "doc_id", "text", sizes, bits, vocabulary), "windows")
+    # A leak holds one of its item's telling windows; the others are looked up for the pairs that these give only, so an
+    # opening that many items and many texts share makes no pairs.
+    copy = ["doc_id", "row", "item_id", "item_row"]
+    telling = item.filter("telling").select("template", "item_id", "item_row").distinct()
+    pair = found.select("template", "doc_id", "row").join(telling, "template").select(*copy).distinct()
+    expected = pair.join(
+        item.withColumnsRenamed({"item_id": "i", "item_row": "r"}), _same("item_id", "item_row")
+    ).drop("i", "r")
+    matched = found.withColumnsRenamed({"doc_id": "d", "row": "x", "template": "t"}).join(
+        expected, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("x")) & (F.col("template") == F.col("t"))
     )
-    matched = found.join(item, "template")
     pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
     offset = F.col("at") - F.col("item_at")
     # Each offset by itself, and with its neighbours in two sorts of bands, of which one holds any SHIFT of them.
@@ -305,22 +352,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         F.struct(F.lit(k).alias("sort"), F.floor((offset + add) / (2 * SHIFT)).cast("int").alias("at"))
         for k, add in ((1, 0), (2, SHIFT))
     ]
-    copy = ["doc_id", "row", "item_id", "item_row"]
     aligned = (
         matched.withColumn("band", F.explode(F.array(*bands)))
         .groupBy(*copy, "band", "of")
         .agg(
-            F.countDistinct("item_at").alias("windows"),
+            F.collect_set(F.struct("item_at", "weight")).alias("windows"),
             F.min("place").alias("at"),
             F.max("place").alias("last"),
             F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
         )
+        .withColumn("weight", F.aggregate("windows", F.lit(0).cast("bigint"), lambda sum_, w: sum_ + w["weight"]))
+        .withColumn("windows", F.size("windows").cast("bigint"))
     )
 
     def different(field: int) -> Column:
         return F.size(F.array_distinct(F.transform("pairs", lambda p: p["ab"[field]])))
 
-    whole = aligned.filter(F.col("windows") >= SHARE * F.col("of")).filter(
+    whole = aligned.filter(F.col("weight") >= SHARE * F.col("of")).filter(
         (different(0) == F.size("pairs")) & (different(1) == F.size("pairs"))
     )
     # Bands show a copy more than once: it counts where it begins first, and with most windows.
@@ -335,13 +383,37 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
             "item_id",
             "at",
             "windows",
-            (F.col("windows") / F.col("of")).alias("share"),
+            (F.col("weight") / F.col("of")).alias("share"),
             F.size("pairs").alias("slots"),
             F.size(F.filter("pairs", lambda p: p["a"] != p["b"])).alias("changed"),
         )
     )
 
 
+def weighed(items: DataFrame) -> DataFrame:
+    """(template, item_id, item_row, item_at, item_slots, weight, of, telling) of items' windows.
+
+    A window that n different items hold weighs WEIGHT / n, ``of`` is the weight of all windows of an item. The heaviest
+    windows without which no alignment reaches SHARE are ``telling``; of equally heavy ones those that stand last.
+    """
+    holders = items.groupBy("template").agg(F.countDistinct("row").alias("holders"))
+    rows = items.join(holders, "template").select(
+        "template",
+        "item_id",
+        F.col("row").alias("item_row"),
+        F.col("at").alias("item_at"),
+        F.col("slots").alias("item_slots"),
+        F.floor(F.lit(WEIGHT) / F.col("holders")).cast("bigint").alias("weight"),
+    )
+    # An item is one text of the benchmark: its windows fit in one window frame.
+    of_item = Window.partitionBy("item_id", "item_row")
+    lighter = of_item.orderBy("weight", "item_at", "template").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        rows.withColumn("of", F.sum("weight").over(of_item))
+        .withColumn("telling", F.sum("weight").over(lighter) >= SHARE * F.col("of"))
+    )
+
+
 def _same(left: str, right: str) -> Column:
     return F.col(left).eqNullSafe(F.col("i")) & F.col(right).eqNullSafe(F.col("r"))
 

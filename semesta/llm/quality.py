@@ -4,7 +4,8 @@ A text is a bag of passages of ``PASSAGE`` words. A passage is described by what
 digits, marks, lengths, repetition) and a hashed bag of them, and encoded by one tanh layer. Gated attention
 weighs the passages of a text, the weighted sum of their encodings is scored by a logistic unit; all
 weights are learned together from labels of whole texts, by Adam on a sample of at most ``FIT`` labelled rows
-(the same rows however the tables are dealt out). Every row is scored over its whole text.
+(the same rows however the tables are dealt out) and ``FIT_PASSAGES`` passages of each, which bounds what the driver
+gets whatever the length of texts. Every row is scored over its whole text.
 
 A null or empty text is one passage without words, and has a score too. Several labels of an id count as
 their mean, null labels and ids don't count. Without any labelled row the score is 0.5. Repeated rows are
@@ -29,6 +30,8 @@ from semesta.llm.common import fold_of, small_batches
 THRESHOLD = 0.3
 #: Labelled rows to learn from, at most; words of a passage; buckets of its bag of words.
 FIT, PASSAGE, BUCKETS = 10_000, 100, 64
+#: Passages of a text to learn from, at most: of longer ones, so many at equal distances. Scores see all of them.
+FIT_PASSAGES = 32
 #: Rows whose crc32(doc_id) modulo this is 0 are held out.
 FOLDS = 5
 #: Sizes of a passage's encoding and of the attention's hidden layer; passes over the sample.
@@ -164,6 +167,13 @@ class Model:
         return kept.mapInArrow(run, schema)
 
 
+def spread(bag: np.ndarray) -> np.ndarray:
+    """At most FIT_PASSAGES rows of a bag, at equal distances from its first to its last."""
+    if len(bag) <= FIT_PASSAGES:
+        return bag
+    return bag[np.linspace(0, len(bag) - 1, FIT_PASSAGES).round().astype(int)]
+
+
 def learn(bags: list[np.ndarray], labels: np.ndarray, seed: int = 3) -> Model:
     """Model of bags of passages and their labels, by Adam over shuffled batches."""
     rng = np.random.default_rng(seed)
@@ -219,7 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Passages()
         for batch in batches:
-            bags = [reader.features(value.as_py()).tobytes() for value in batch.column(2)]
+            bags = [spread(reader.features(value.as_py())).tobytes() for value in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(bags, pa.binary())], ["doc_id", "label", "bag"]
             )

@@ -79,6 +79,29 @@ def test_bpe_equals_the_library_on_the_corpus(spark, model, encoder, corpus):
     assert all(row["ids"] == encoder.encode_ordinary(row["text"] or "") for row in rows)
 
 
+def test_bpe_of_tokens_that_no_merge_reaches(spark):
+    """A token that stands as a whole word only, as the library takes whole words first."""
+    ranks = {bytes([b]): b for b in range(256)} | {b" a": 256, b" ab": 257, b" xyz": 258, b"xx": 259, b"xxx": 260}
+    own = tiktoken.Encoding("small", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    small = bpe.ByteBPE({token.decode("latin-1"): rank for token, rank in ranks.items()}, public_tokenizers.PATTERN)
+    texts = ["a ab abc xyz xyzz  xyz", "xxxxx xxxx xxx x", "", " xyz", "é xyz"]
+    for frequent in (0, 2, 100):
+        rows = small.encode(documents(spark, *texts), frequent=frequent).collect()
+        assert [row["ids"] for row in sorted(rows, key=lambda r: r["doc_id"])] == [own.encode_ordinary(t) for t in texts]
+
+
+def test_bpe_gathers_rows_of_any_number_of_words(spark, model, encoder, monkeypatch):
+    # Memories that are emptied and batches that are cut all the time.
+    for name, value in (("REMEMBERED", 5), ("GATHERED", 7), ("COUNTED", 4)):
+        monkeypatch.setattr(bpe, name, value)
+    texts = [" ".join(f"w{(i * j) % 37}x{j % 5}" for j in range(i % 23)) for i in range(120)]
+    rows = model.encode(documents(spark, *texts).coalesce(1), frequent=3, packed="packed", keep_text=False).collect()
+    assert all("text" not in row.asDict() for row in rows) and len(rows) == len(texts)
+    for row in rows:
+        expected = encoder.encode_ordinary(texts[row["doc_id"]])
+        assert row["ids"] == expected and bytes(row["packed"]) == np.array(expected, "<u4").tobytes()
+
+
 def test_bpe_of_an_empty_table(spark, model):
     assert model.encode(documents(spark, "x").limit(0)).count() == 0
 
@@ -424,6 +447,30 @@ def test_decontamination_equals_plain_containment(spark, corpus):
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(corpus, items).collect()} == wanted
 
 
+def test_decontamination_keeps_texts_that_share_an_instruction_only(spark):
+    """Many items begin with one instruction; texts with it leak only the item whose own words they hold."""
+    opening = "read the following passage carefully and then choose the single best answer to the question that comes right after it"
+    letters = "abcdefghij"
+    spelled = lambda n: "".join(letters[int(d)] for d in f"{n:04d}")
+    own = lambda i: " ".join(f"{spelled(i)}{c}{spelled(7 * i + k)}" for k, c in enumerate("pqrstuvw"))
+    items = spark.createDataFrame([(i, f"{opening} {own(i)}") for i in range(60)] * 2, "item_id long, text string")
+    clean = [f"{spelled(n)}x before {opening} {own(1000 + n)}" for n in range(200)]
+    copies = [f"so {opening} {own(3)} and more", f"{opening} {own(59)}"]
+    docs = documents(spark, *clean, *copies)
+    found = decontaminate.leaks(docs, items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(200, 3), (201, 59)}
+    assert all(r["share"] == 1.0 for r in found)
+    assert decontaminate.decontaminate(docs, items).count() == 200
+
+
+def test_decontamination_finds_a_question_without_its_instruction(spark):
+    opening = "please think about this step by step and give only the final result of your work on one line"
+    question = "how many grey geese crossed the frozen river before the miller closed his heavy wooden gate for the night again"
+    items = [(1, f"{opening} {question}"), (2, f"{opening} where did seven painters hide the old silver bowl of their late aunt that spring")]
+    found = decontaminate.leaks(documents(spark, f"He asked {question}", opening), spark.createDataFrame(items, "item_id long, text string"))
+    assert [(r["doc_id"], r["item_id"]) for r in found.collect()] == [(0, 1)]
+
+
 def test_decontamination_short_items_and_empty_tables(spark):
     docs = documents(spark, "Well, the quick brown fox jumps here.", "nothing of it")
     items = spark.createDataFrame([(1, "the quick brown fox jumps")], "item_id long, text string")
@@ -470,6 +517,41 @@ def test_quality_of_odd_rows(spark):
     assert unlearned.score(docs.limit(0)).count() == 0
 
 
+def plain_score(model_, bag):
+    """Gated attention over a bag's passages, number by number."""
+    w = {k: v.tolist() for k, v in model_.weights.items()}
+    rows = [[min(6, max(-6, (v - m) / s)) for v, m, s in zip(row, model_.mean, model_.scale, strict=True)] for row in bag.tolist()]
+
+    def layer(x, weights):
+        return [sum(v * weights[i][j] for i, v in enumerate(x)) for j in range(len(weights[0]))]
+
+    encoded = [[math.tanh(v + b) for v, b in zip(layer(x, w["encode"]), w["encode_0"], strict=True)] for x in rows]
+    energy = [
+        sum(a * math.tanh(t) / (1 + math.exp(-g)) for a, t, g in zip(w["attend"], layer(h, w["look"]), layer(h, w["gate"]), strict=True))
+        for h in encoded
+    ]
+    parts = [math.exp(e) for e in energy]
+    pooled = [sum(p * h[j] for p, h in zip(parts, encoded, strict=True)) / sum(parts) for j in range(len(encoded[0]))]
+    return 1 / (1 + math.exp(-sum(z * s for z, s in zip(pooled, w["score"], strict=True)) - w["score_0"][0]))
+
+
+def test_quality_scores_equal_a_plain_forward_pass(spark):
+    texts = ["Clean words stand here. " * 90, "$$$ BUY!!! now |||", "", "one", "word " * 20_000, None]
+    docs = documents(spark, *texts)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(len(texts))], "doc_id long, quality int")
+    model_ = quality.fit(docs, labels)
+    reader = quality.Passages()
+    for row in model_.score(docs).collect():
+        assert row["score"] == pytest.approx(plain_score(model_, reader.features(texts[row["doc_id"]])), abs=1e-9)
+
+
+def test_quality_learns_from_few_passages_of_a_long_text():
+    bag = np.arange(5000.0)[:, None]
+    few = quality.spread(bag)
+    assert len(few) == quality.FIT_PASSAGES and few[0] == 0 and few[-1] == 4999 and (np.diff(few[:, 0]) > 150).all()
+    assert quality.spread(bag[:7]) is not None and len(quality.spread(bag[:7])) == 7
+
+
 def test_quality_gradients_are_right():
     rng = np.random.default_rng(0)
     bags = [rng.normal(size=(n, quality.FEATURES)) for n in (1, 3, 2)]
