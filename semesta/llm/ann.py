@@ -35,8 +35,10 @@ from semesta.llm.common import stored
 SAMPLE, BRANCH, LEAF = 20_000, 8, 256
 #: Vectors that the width is calibrated with, at most, and the share of neighbours to be reached by them.
 PROBES, RECALL = 200, 0.97
-#: Entries that a task holds together.
-CHUNK = 4096
+#: Entries that a task holds together, and queries that it asks them about.
+CHUNK, ASKED = 4096, 4096
+#: Vectors that are scored exactly at once.
+BLOCK = 1024
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -151,14 +153,15 @@ def _best(queries: np.ndarray, x: np.ndarray, ids: list[list[int]], most: int) -
         width = min(most + 8, near.shape[1])
         for query, row in zip(block, near, strict=True):
             edge = np.partition(row, -width)[-width] - 1e-12
-            at = np.flatnonzero(row >= edge)
-            if len(at) > 8 * width:
-                at = at[np.lexsort(([ids[k][0] for k in at], -np.round(row[at], 12)))[: 8 * width]]
-            with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
-                scores = (x[at] * query).sum(1) / (norms[at] * np.sqrt((query * query).sum()))
-            scores = np.where(np.isfinite(scores), scores, row[at])
-            pairs = [(-s, one) for s, k in zip(scores.tolist(), at.tolist(), strict=True) for one in ids[k]]
-            out.append([(-s, one) for s, one in heapq.nsmallest(most, pairs)])
+            pairs: list[tuple[float, int]] = []
+            # All that lie at the edge are scored, in blocks, however many they are.
+            for at in np.array_split(tied := np.flatnonzero(row >= edge), len(tied) // BLOCK + 1):
+                with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+                    scores = (x[at] * query).sum(1) / (norms[at] * np.sqrt((query * query).sum()))
+                scores = np.where(np.isfinite(scores), scores, row[at])
+                near_by = ((-s, one) for s, k in zip(scores.tolist(), at.tolist(), strict=True) for one in ids[k])
+                pairs = heapq.nsmallest(most, [*pairs, *near_by])
+            out.append([(-s, one) for s, one in pairs])
     return out
 
 
@@ -242,21 +245,20 @@ class Index:
 
         def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                at, group, chunk, leaves = [], [], [], []
+                at, group, chunks, leaves = [], [], [], []
                 for i, query in enumerate(_unit(_matrix(batch.column(1).to_pylist()))) if batch.num_rows else ():
                     visited: dict[tuple[int, int], list[int]] = {}
                     for node in tree.visits(query, width):
                         if node in groups:
                             visited.setdefault(groups[node], []).append(node)
                     for (one, parts), nodes in visited.items():
-                        for part in range(parts):
-                            at.append(i)
-                            group.append(one)
-                            chunk.append(part)
-                            leaves.append(nodes)
+                        at.append(i)
+                        group.append(one)
+                        chunks.append(parts)
+                        leaves.append(nodes)
                 rows = batch.take(pa.array(at, pa.int64()))
-                columns = [pa.array(group, pa.int64()), pa.array(chunk, pa.int64()), pa.array(leaves, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([*columns, *rows.columns], ["group", "chunk", "leaves", "q", "vec"])
+                columns = [pa.array(group, pa.int64()), pa.array(chunks, pa.int64()), pa.array(leaves, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*columns, *rows.columns], ["group", "chunks", "leaves", "q", "vec"])
 
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -283,10 +285,27 @@ class Index:
             out = [(q, one, -s) for q, pairs in zip(asked["q"], best, strict=True) for s, one in pairs]
             return pd.DataFrame(out, columns=["q", "id", "score"])
 
-        asked = distinct.select("q", "vec").mapInArrow(visit, "group bigint, chunk bigint, leaves array<bigint>, q bigint, vec binary")
+        visits = distinct.select("q", "vec").mapInArrow(visit, "group bigint, chunks bigint, leaves array<bigint>, q bigint, vec binary")
+        visits = stored(visits, "visits")
+        # A group that many queries visit is asked in blocks of them: one row a group.
+        blocks = visits.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("bigint").alias("blocks"))
+        none = F.lit(0).cast("bigint")
+        asked = visits.join(blocks, "group").select(
+            "group",
+            F.explode(F.sequence(none, F.col("chunks") - 1)).alias("chunk"),
+            F.pmod(F.xxhash64("q"), F.col("blocks")).alias("block"),
+            "leaves",
+            "q",
+            "vec",
+        )
         hashed = self.placed.select("leaf", "vec", "ids", F.xxhash64("vec").alias("h"))
-        held = hashed.mapInArrow(deal, "group bigint, chunk bigint, leaf bigint, vec binary, ids array<bigint>")
-        met = asked.groupBy("group", "chunk").cogroup(held.groupBy("group", "chunk"))
+        held = (
+            hashed.mapInArrow(deal, "group bigint, chunk bigint, leaf bigint, vec binary, ids array<bigint>")
+            .join(blocks, "group")
+            .select("group", "chunk", F.explode(F.sequence(none, F.col("blocks") - 1)).alias("block"), "leaf", "vec", "ids")
+        )
+        task = ["group", "chunk", "block"]
+        met = asked.groupBy(*task).cogroup(held.groupBy(*task))
         pairs = met.applyInPandas(meet, "q bigint, id bigint, score double")
         place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
         nearest = (

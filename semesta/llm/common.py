@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import posixpath
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semesta.session import shared_dir
+from semesta.session import scratch_path
 
 #: Bytes A-Z to a-z, every other byte as it is.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -20,8 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name below the folder that all executors share."""
-    return posixpath.join(shared_dir(spark), f"llm-{name}-{uuid.uuid4().hex}")
+    """A new folder name below the folder that all executors share; the folder ends with the application."""
+    return scratch_path(spark, f"llm-{name}")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -25,6 +25,7 @@ from __future__ import annotations
 import html as references
 import re
 import urllib.parse
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -58,6 +59,10 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q ruby rt rp s samp small span strike"
     " strong sub sup time tt u var wbr".split()
 )
+#: Names by which a piece of a line is an advert.
+ADVERT_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo promotion".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that end an open one of the same group when they begin, and where the search for it ends.
 _SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
@@ -86,25 +91,32 @@ def host_of(url: str | None) -> str:
 
 @dataclass
 class Block:
-    """A run of text with its path, whether its frame drops it, and whether it lies in a content element."""
+    """A run of text with its path, whether its frame drops it, and whether it lies in a content element.
+
+    A path is one number, hashed from the path above and the element's names, however deep the element lies.
+    """
 
-    path: str
+    path: int
     text: str
     dropped: bool
-    #: Path of the outermost content element that it lies in, or nothing; whether a frame in there drops it.
-    root: str
+    #: Path of the outermost content element that it lies in, or 0; whether a frame in there drops it.
+    root: int
     inner: bool
 
 
 @dataclass
 class _Open:
     name: str
-    path: str
+    path: int
     dropped: bool
-    root: str
+    root: int
     inner: bool
 
 
+def _below(path: int, label: str) -> int:
+    return xxhash.xxh64_intdigest(label.encode("utf-8", "surrogatepass"), path)
+
+
 def _is_frame(names: str, inside: bool) -> bool:
     """Whether a whole name of class, id or role is that of a frame, or is put together from such words only."""
     return any(
@@ -118,30 +130,54 @@ def _is_content(names: str) -> bool:
     return any(not CONTENT_WORDS.isdisjoint(one) and DROPPED_WORDS.isdisjoint(one) for one in words)
 
 
+def _names(rest: str) -> str:
+    found = _NAMED.findall(rest) if rest else ()
+    return " ".join(a or b or c for a, b, c in found).lower()
+
+
+def _is_advert(names: str) -> bool:
+    """Whether a whole name of class, id or role is put together from words for adverts only."""
+    return any((words := _WORD.findall(one)) and ADVERT_WORDS.issuperset(words) for one in names.split())
+
+
 def _opened(name: str, rest: str, above: _Open, wraps: bool) -> _Open:
     """``wraps``: a form around text, which is no frame."""
-    names = ""
-    label = name
-    if rest and (found := _NAMED.findall(rest)):
-        names = " ".join(a or b or c for a, b, c in found).lower()
-        label = f"{name}.{names}"
-    path = f"{above.path}/{label}"
+    names = _names(rest)
+    label = f"{name}.{names}" if names or (rest and _NAMED.search(rest)) else name
+    path = _below(above.path, label)
     if name in CONTENT:
         return _Open(name, path, above.dropped, above.root or path, above.inner)
     if name in ("html", "body"):
         return _Open(name, path, above.dropped, above.root, above.inner)
     inside = bool(above.root)
     frame = (name in DROPPED and not wraps) or (name == "header" and not inside) or _is_frame(names, inside)
-    root = above.root or (path if not frame and _is_content(names) else "")
+    root = above.root or (path if not frame and _is_content(names) else 0)
     return _Open(name, path, above.dropped or frame, root, above.inner or (inside and frame))
 
 
-def read(page: str) -> tuple[list[Block], list[str]]:
-    """(blocks of text in page order, structure tokens in page order)."""
-    stack = [_Open("", "", False, "", False)]
+class _Next:
+    """The first match of a pattern from a place on, for places that only grow: the page is searched once."""
+
+    def __init__(self, pattern: re.Pattern, page: str):
+        self._search, self._page = pattern.search, page
+        self._at = -1
+
+    def from_(self, place: int) -> int:
+        if self._at < place:
+            match = self._search(self._page, place)
+            self._at = match.start() if match else len(self._page)
+        return self._at
+
+
+def read(page: str) -> tuple[list[Block], list[int]]:
+    """(blocks of text in page order, structure tokens in page order), in time and memory of the page's length."""
+    stack = [_Open("", 0, False, 0, False)]
+    open_names: Counter[str] = Counter()
     blocks: list[Block] = []
-    structure: list[str] = []
+    structure: list[int] = []
     held: list[str] = []
+    form_end, text_element = _Next(_FORM_END, page), _Next(_TEXT_ELEMENT, page)
+    advert: list | None = None
     at = 0
 
     def flush() -> None:
@@ -155,7 +191,8 @@ def read(page: str) -> tuple[list[Block], list[str]]:
     def close(place: int) -> None:
         flush()
         for one in stack[:place - 1 : -1]:
-            structure.append(one.path + "/")
+            structure.append(_below(one.path, "/"))
+            open_names[one.name] -= 1
         del stack[place:]
 
     for tag in _TAG.finditer(page):
@@ -168,41 +205,53 @@ def read(page: str) -> tuple[list[Block], list[str]]:
             continue
         name = name.lower()
         if name in INLINE:
+            # A piece of a line that is an advert: what its element holds is taken back at its end.
+            if advert is not None and name == advert[0]:
+                advert[1] += -1 if tag["end"] or tag["end2"] else 1
+                if advert[1] == 0:
+                    del held[advert[2] :]
+                    held.append(" ")
+                    advert = None
+            elif advert is None and not (tag["end"] or tag["end2"]) and name not in VOID:
+                if (rest := tag["rest"] or tag["rest2"]) and _is_advert(_names(rest)):
+                    advert = [name, 1, len(held)]
             continue
         if name == "br":
             held.append(" ")
             continue
+        # An element that begins or ends a block ends a line, and no advert goes on behind it.
         flush()
+        advert = None
         if tag["end"] or tag["end2"]:
-            for place in range(len(stack) - 1, 0, -1):
-                if stack[place].name == name:
-                    close(place)
-                    break
+            if open_names[name] > 0:
+                place = len(stack) - 1
+                while stack[place].name != name:
+                    place -= 1
+                close(place)
             continue
         if stack[-1].name == "p":
             close(len(stack) - 1)
-        if name in _SAME:
+        if name in _SAME and any(open_names[same] > 0 for same in _SAME[name]):
             for place in range(len(stack) - 1, 0, -1):
                 if stack[place].name in _SAME[name]:
                     close(place)
                     break
                 if stack[place].name in _BOUND:
                     break
-        wraps = False
-        if name == "form":
-            closing = _FORM_END.search(page, end)
-            wraps = bool(_TEXT_ELEMENT.search(page, end, closing.start() if closing else len(page)))
+        # A form around text is no frame.
+        wraps = name == "form" and text_element.from_(end) < form_end.from_(end)
         opened = _opened(name, tag["rest"] or tag["rest2"] or "", stack[-1], wraps)
         structure.append(opened.path)
         if name not in VOID:
             stack.append(opened)
+            open_names[name] += 1
     if at < len(page):
         held.append(page[at:])
     flush()
     return blocks, structure
 
 
-def _token(kind: str, path: str, text: str = "") -> int:
+def _token(kind: str, path: int, text: str = "") -> int:
     return xxhash.xxh64_intdigest(f"{kind}\0{path}\0{text}".encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
