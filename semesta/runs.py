@@ -273,7 +273,10 @@ def incremental_run(
 
 
 def register_views(spark: SparkSession, warehouse: Warehouse, sources: Sources | None = None) -> None:
-    """Published tables, stored marts and live views as temp views for ``spark.sql``; with sources, the library's too."""
+    """Published tables, stored marts and live views as temp views for ``spark.sql``; with sources, the library's too.
+
+    They read the version that is published now: register them again after a run, as the next one removes what it replaced.
+    """
     for name, view in LIBRARY_VIEWS.items() if sources else ():
         view(sources).createOrReplaceTempView(name)
     tables = warehouse.tables()
