@@ -91,6 +91,16 @@ def test_grouping_sets_shuffle_rows_once(spark):
     assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
 
 
+def test_grouping_sets_hold_no_row_per_entity_and_set(spark):
+    """Above the expansion rows are grouped by their group only; an entity counts once in it, nulls as before."""
+    data = spark.createDataFrame([(1, 1, 5), (1, 1, 6), (1, 2, 7), (2, 1, None), (None, 1, 3)], "s int, a int, v int")
+    df = grouping_sets_by_entity(data, ["a"], [("a",), ()], "s", "n", {"v": F.col("v")})
+    assert rows(df, "a", "total_a", "n", "v") == sorted([(1, False, 2, 14), (2, False, 1, 7), (None, True, 2, 21)], key=repr)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate explode")]
+    assert above.count("Aggregate [") == 1 and "s#" not in above.split("Aggregate [", 1)[1].split("]", 1)[0]
+
+
 def test_keys_are_dense_and_follow_the_natural_key(spark):
     data = spark.range(1000).select(F.format_string("%04d", F.col("id")).alias("nim")).repartition(7)
     numbered = assign_keys(data, ["nim"], "sid", after=5)
