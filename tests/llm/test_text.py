@@ -370,6 +370,15 @@ def test_lines_repeats_that_overlap_keep_the_first_place(spark):
     assert got["text"].strip("\n") == "\n".join([line] * 3) and len(got["removed"]) == 1
 
 
+def test_lines_of_equal_digests_and_other_bytes_stay(spark, monkeypatch):
+    monkeypatch.setattr(lines, "_digest", lambda piece: piece[:1])
+    one, other = (" ".join(f"w{first}{n}" for n in range(60)) for first in "ab")
+    texts = [f"start\n{one}", other, f"{one}\nrest", f"{other}\n{one}"]
+    got = {row["doc_id"]: row for row in lines.dedup(documents(spark, *texts), removed="removed", pieces=lines.passages).collect()}
+    assert [got[i]["text"] for i in range(3)] == [texts[0], other, "rest"]
+    assert got[3]["text"].startswith(other) and one not in got[3]["text"]
+
+
 # Decontamination
 
 ITEM = "A train leaves the station in Paris with 120 passengers, and after 45 minutes Alice counts 30 kg of luggage; Paris is far."
