@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
+from semesta import queries
 from semesta.functions import decode
 from semesta.functions.rounding import half_up, percent
 from semesta.functions.semester import academic_year, first_day, last_day, semester_name
@@ -565,3 +566,10 @@ def test_run_log_keeps_failed_and_running_steps(spark):
     )
     shown = in_order(audit.monitor(audit.run_log(events)), "log_id", "total_durasi", "status", "pesan_error")
     assert shown == [(3, None, "RUNNING", None), (2, "0 detik", "FAILED", "boom"), (1, "9 detik", "SUCCESS", "ok")]
+
+
+def test_grades_of_a_loaded_warehouse_are_derived_once(spark, campus):
+    stored, derived = (star(campus)["fact_detail_nilai"] for star in (queries.Loaded, queries.Star))
+    assert rows(stored) == rows(derived)
+    assert "Join" in derived._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in stored._jdf.queryExecution().optimizedPlan().toString()
