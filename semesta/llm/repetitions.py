@@ -254,7 +254,9 @@ def _in_texts(texts: list[np.ndarray], order: list[int]) -> tuple[np.ndarray, ..
     sequence = np.concatenate([part for mark, i in enumerate(order) for part in (texts[i], [-1 - mark])]).astype(np.int64)
     ends = np.cumsum(lengths + 1)
     place, period = _candidates(sequence, ends, lengths)
-    return place, period, ends - lengths - 1, sequence
+    # The grid goes on from text to text; a run doesn't.
+    inside = place + 2 * period < ends[np.searchsorted(ends, place, side="right")] - 1
+    return place[inside], period[inside], ends - lengths - 1, sequence
 
 
 def _groups(sizes: list[int], limit: int) -> Iterator[range]:

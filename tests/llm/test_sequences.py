@@ -7,6 +7,7 @@ import itertools
 import json
 import random
 import re
+import signal
 import zlib
 
 import numpy as np
@@ -122,6 +123,22 @@ def test_runs_equal_plain_runs():
         assert [[tuple(r) for r in found.tolist()] for found in got] == [plain_runs(x) for x in texts]
 
 
+def test_words_that_are_alike_across_texts_are_no_run():
+    """Grid places in two texts, the second of which has no run: the search went on without end."""
+
+    def late(*_: object) -> None:
+        raise TimeoutError
+
+    texts = [[*range(100, 112), 1, 2], [1, 2, 50, 1, 2, *range(60, 68)], [3, 4] * 6]
+    before = signal.signal(signal.SIGALRM, late)
+    signal.alarm(20)
+    try:
+        assert [x.tolist() for x in repetitions.runs([np.array(x, np.int64) for x in texts])] == [[], [], [[0, 12, 2]]]
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, before)
+
+
 def test_extensions_equal_plain_ones():
     rng = random.Random(4)
     for _ in range(30):
