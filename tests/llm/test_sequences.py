@@ -63,6 +63,33 @@ def test_pieces_of_a_long_text(encoder):
     assert list(tokens.pieces(text, 500, None)) == [text]
 
 
+def test_stretches_of_a_text(encoder):
+    spec = json.loads(encoder.to_str())
+    between = tokens.stretch(spec)
+    assert between.findall("The cat, the cat -- sat.") == ["The", " cat", ", the", " cat", " -- sat", ".", ""]
+    for text in (*ODD, " ".join(ODD), "-," * 300_000):
+        parts = between.findall(text)
+        assert "".join(parts) == text
+        assert sum(_count(encoder, part) for part in parts) == _count(encoder, text)
+
+
+def test_repeated_stretches_are_counted_once(monkeypatch):
+    """The encoder got every word of every text."""
+    asked = []
+
+    def count(parts: list[str]) -> list[int]:
+        asked.extend(parts)
+        return [len(part) for part in parts]
+
+    sums = tokens.Sums(count)
+    long = "x" * (tokens.SHORT + 1)
+    assert sums([["a", " b", "a"], [], [long, ""]]) == [4, 0, len(long)]
+    assert sums([["a", long], ["c"] * 3]) == [1 + len(long), 3]
+    assert sorted(asked) == sorted(["a", " b", long, "", long, "c"])
+    monkeypatch.setattr(tokens, "KNOWN", 2)
+    assert sums([["a", "d"], ["d"]]) == [2, 1] and not sums.known
+
+
 def test_other_tokenizers_get_whole_texts(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     with open(path, encoding="utf-8") as file:
