@@ -45,6 +45,9 @@ GATHERED = 500_000
 #: Characters of a plan's description: it would repeat the literals, and the driver keeps descriptions.
 PLAN_TEXT = 200_000
 
+#: Where a cell's rank begins, and the bits of its place.
+_RANK, _PLACES = 47, ((1 << 31) - 1) << 16
+
 _TAIL, _TAIL_IDS, _CODES, _BASE = "__bpe_tail", "__bpe_tail_ids", "__bpe_codes", "__bpe_base"
 
 
@@ -115,13 +118,13 @@ class Pairs:
         self.literal = F.from_json(F.lit(json.dumps({"shifts": shifts, "table": table})), "shifts array<int>, table array<bigint>")
 
     def find(self, literal: Column, left: Column, right: Column) -> Column:
-        """Id of the joined token, as a bigint; a number of more than BITS bits if there is none."""
+        """Id of the joined token, as a bigint; EDGE if there is none."""
 
         def found(pair: Column) -> Column:
             shift = F.get(literal["shifts"], (pair % self.groups).cast("int"))
             entry = F.get(literal["table"], ((pair + shift) % self.size).cast("int"))
             # The entry of another pair is off by more than an id.
-            return F.pmod(entry - pair * (1 << self.BITS), F.lit(1 << 50))
+            return F.least(F.pmod(entry - pair * (1 << self.BITS), F.lit(1 << 50)), F.lit(self.EDGE))
 
         return let(left * (1 << self.BITS) + right, found)
 
@@ -180,31 +183,35 @@ class ByteBPE:
         def rank_of(left: Column, right: Column) -> Column:
             return self._pairs.find(pairs, left, right)
 
-        # The ids stand between two edges, so every pair has a neighbour on either side; ``ranks`` holds for each id that
-        # of the pair it begins.
-        def step(state: Column, _: Column) -> Column:
-            ids, ranks = state["ids"], state["ranks"]
-            lowest = F.array_min(ranks)
-
-            def join(first: Column) -> Column:
-                low, at = first["low"], first["at"]
-                around = F.array(rank_of(F.get(ids, at - 2), low), rank_of(low, F.get(ids, at + 1)))
-                return F.struct(
-                    F.concat(F.slice(ids, F.lit(1), at - 1), F.array(low), F.slice(ids, at + 2, F.size(ids))).alias("ids"),
-                    F.concat(F.slice(ranks, F.lit(1), at - 2), around, F.slice(ranks, at + 2, F.size(ranks))).alias("ranks"),
-                )
+        # A cell is one number: the id that its pair joins to, the place of its first letter, its own id. So the least cell
+        # is the leftmost pair of lowest rank, and no two are equal. The cells stand between two edges, so every pair
+        # has a neighbour on either side.
+        def id_of(cell: Column) -> Column:
+            return cell.bitwiseAND(F.lit(Pairs.EDGE))
+
+        def step(cells: Column, _: Column) -> Column:
+            def join(low: Column) -> Column:
+                def around(at: Column) -> Column:
+                    joined = F.shiftright(low, _RANK)
+                    before = F.get(cells, at - 2)
+                    pair = F.array(
+                        rank_of(id_of(before), joined) * (1 << _RANK) + before.bitwiseAND(F.lit((1 << _RANK) - 1)),
+                        rank_of(joined, id_of(F.get(cells, at + 1))) * (1 << _RANK) + low.bitwiseAND(F.lit(_PLACES)) + joined,
+                    )
+                    return F.concat(F.slice(cells, F.lit(1), at - 2), pair, F.slice(cells, at + 2, F.size(cells)))
+
+                return let(F.array_position(cells, low).cast("int"), around)
 
-            first = F.struct(lowest.alias("low"), F.array_position(ranks, lowest).cast("int").alias("at"))
-            return F.when(lowest > Pairs.EDGE, state).otherwise(let(first, join))
+            return let(F.array_min(cells), lambda low: F.when(low >= Pairs.EDGE << _RANK, cells).otherwise(join(low)))
 
         def fold(ids: Column) -> Column:
-            after = F.slice(ids, F.lit(2), F.size(ids))
-            ranks = F.zip_with(F.slice(ids, F.lit(1), F.size(ids) - 1), after, rank_of)
+            after = F.concat(F.slice(ids, F.lit(2), F.size(ids)), F.array(F.lit(Pairs.EDGE).cast("bigint")))
+            ranks = F.zip_with(ids, after, lambda left, right: rank_of(left, right) * (1 << _RANK) + left)
             return F.aggregate(
                 F.slice(ids, F.lit(4), F.size(ids)),
-                F.struct(ids.alias("ids"), ranks.alias("ranks")),
+                F.transform(ranks, lambda cell, place: cell + place.cast("bigint") * (1 << Pairs.BITS)),
                 step,
-                lambda state: F.transform(F.slice(state["ids"], F.lit(2), F.size(state["ids"]) - 2), lambda i: i.cast("int")),
+                lambda cells: F.transform(F.slice(cells, F.lit(2), F.size(cells) - 2), lambda cell: id_of(cell).cast("int")),
             )
 
         edge = F.array(F.lit(Pairs.EDGE).cast("bigint"))
