@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from semesta.llm.common import small_batches
+from semesta.llm.common import small_batches, stored
 
 #: Words that are merged once for all documents.
 FREQUENT = 262_144
@@ -248,10 +248,11 @@ class ByteBPE:
     def frequent(self, docs: DataFrame, text: str, most: int) -> bytes:
         """The ``most`` most frequent words with their ids, as an Arrow stream; ties by the word."""
         counts = self.word_counts(docs, text).filter(F.octet_length("word") <= LONGEST)
-        top = counts.orderBy(F.desc("n"), "word").limit(most)
-        # The sort leaves one partition; merging is dealt out again.
+        top = counts.orderBy(F.desc("n"), "word").limit(most).select("word")
+        # The sort leaves one partition; merging is dealt out again. The words are stored for it, as a plan with the rank
+        # map is described again, all entries of it, after each of its stages.
         dealt = top.repartition(docs.sparkSession.sparkContext.defaultParallelism * 2, "word")
-        merged = dealt.select("word", F.get(self.merged(F.array("word")), F.lit(0)).alias("ids")).toArrow()
+        merged = stored(dealt, "frequent").select("word", F.get(self.merged(F.array("word")), F.lit(0)).alias("ids")).toArrow()
         # The driver holds columns, never a dictionary of so many words.
         stream = pa.BufferOutputStream()
         with pa.ipc.new_stream(stream, merged.schema) as out:

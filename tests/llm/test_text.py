@@ -102,6 +102,21 @@ def test_bpe_gathers_rows_of_any_number_of_words(spark, model, encoder, monkeypa
         assert row["ids"] == expected and bytes(row["packed"]) == np.array(expected, "<u4").tobytes()
 
 
+def test_bpe_merges_frequent_words_in_a_plan_of_one_stage(spark, model, monkeypatch):
+    """A plan with the rank map is described after each of its stages, so it has one."""
+    docs, plans = documents(spark, *ODD), []
+    to_arrow = type(docs).toArrow
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return to_arrow(df)
+
+    monkeypatch.setattr(type(docs), "toArrow", noted)
+    words = bpe.word_places(model.frequent(docs, "text", 1000))
+    assert set(words) == {w for t in ODD if t for w in bpe.regex.findall(public_tokenizers.PATTERN, t) if len(w.encode()) <= bpe.LONGEST}
+    assert len(plans) == 1 and "Exchange" not in plans[0] and "Adaptive" not in plans[0]
+
+
 def test_bpe_of_an_empty_table(spark, model):
     assert model.encode(documents(spark, "x").limit(0)).count() == 0
 
