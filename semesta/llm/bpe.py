@@ -5,7 +5,7 @@
 2. ``merged`` encodes a word: its bytes are an array of token ids and ``aggregate`` folds the merges over it.
    Each step joins the pair of lowest rank, leftmost first, and looks up only the two pairs that this
    changes. The rank map is a literal of the plan, a perfect hash from pairs of ids to the joined id.
-3. The frequent words are merged once and sent to the tasks. Every other word is merged beside the first
+3. The frequent words are stored, merged once and sent to the tasks. Every other word is merged beside the first
    document of a partition that has it; its ids are kept until ``REMEMBERED`` words are. So no text is
    shuffled, and a hot word or source costs nothing extra.
 4. A task reads a text twice: to count its words, and to number them. The numbers go on as one binary value per
