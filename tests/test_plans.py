@@ -15,6 +15,7 @@ from semesta.functions.rounding import half_up, percent
 from semesta.functions.semester import academic_year, first_day, last_day, semester_name
 from semesta.plans import audit, dims, facts, incremental, library, marts, quality
 from semesta.schemas import LIBRARY, SOURCES, TABLES, Table
+from semesta.sources import testbed
 from tests.conftest import d, dec, in_order, rows
 
 
@@ -573,3 +574,32 @@ def test_grades_of_a_loaded_warehouse_are_derived_once(spark, campus):
     assert rows(stored) == rows(derived)
     assert "Join" in derived._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in stored._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _raw_folder(spark, folder, **given):
+    """The driver's tables as files: the rows given, no others."""
+    for name, ddl in testbed.RAW.items():
+        spark.createDataFrame(given.get(name, []), ddl).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_flawed_copies_are_grouped_once(spark, tmp_path):
+    """A copy's state and condition come from one aggregate; only lines without a number meet again by the copy's text."""
+    # Order, part, supplier, line number, quantity, return flag, line state.
+    copies = [(11, 7, "R", "O"), (11, 7, "A", "F"), (11, 8, "N", "O"), (None, 9, "R", "O"), (9, None, "A", "F"), (None, None, "N", "O"), (None, 9, "A", "F")]
+    lines = [(1, part, supplier, 1, 2.0, flag, state) for part, supplier, flag, state in copies]
+    folder = _raw_folder(spark, tmp_path, lineitem=lines)
+    got = testbed.flawed_tables(spark, folder)["eksemplar_buku"]
+
+    raw = spark.read.schema(testbed.RAW["lineitem"]).parquet(f"{folder}/lineitem.parquet")
+    clean, worst = testbed.eksemplar_buku(raw), F.max("l_returnflag")
+    condition = F.when(worst == "R", "Baik").when(worst == "A", "Sobek").alias("kondisi")
+    conditions = raw.groupBy("l_partkey", "l_suppkey").agg(condition).select(testbed._copy().alias("eksemplar_id"), "kondisi")
+    joined = clean.drop("kondisi").join(conditions, "eksemplar_id")
+    expected = rows(testbed.broken(joined, SOURCES["eksemplar_buku"], "eksemplar_buku"))
+    assert rows(got) == expected and len(expected) >= 7
+
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1
+    # Both sides of that join read only lines without a number; before, they read all.
+    assert len(re.findall(r"Filter.*isnull\(l_partkey", plan)) == 2
