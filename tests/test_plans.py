@@ -603,3 +603,29 @@ def test_flawed_copies_are_grouped_once(spark, tmp_path):
     assert plan.count("Join Inner") == 1
     # Both sides of that join read only lines without a number; before, they read all.
     assert len(re.findall(r"Filter.*isnull\(l_partkey", plan)) == 2
+
+
+def test_flawed_facts_share_the_shuffles_of_their_sources(spark, tmp_path):
+    """The repeated grades and the clean ones shuffle lines by order, and transcripts with their ids, once."""
+    day = datetime(1999, 10, 1)
+    folder = _raw_folder(
+        spark,
+        tmp_path,
+        nation=[(0, "N", 0)],
+        customer=[(i, f"c{i}", 0, 1.0, "BUILDING") for i in range(4)],
+        part=[(i, f"p{i}", "b", "t", 1) for i in range(3)],
+        orders=[(i, i % 4, "F", day, "1-URGENT") for i in range(8)],
+        lineitem=[(i % 8, i % 3, 1, 1, 30.0, "N", "F") for i in range(24)],
+    )
+    facts_of = [TABLES["fact_detail_nilai"], TABLES["fact_rekap_ip"]]
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = quality.unique_keys(queries.Campus(spark, folder).flawed, facts_of)
+        assert report.count() == 2 and len(report.collect()) == 2
+        plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    reused = [line for line in plan.splitlines() if "ReusedExchange" in line]
+    assert any("l_orderkey" in line and "l_partkey" in line for line in reused), plan
+    assert any("khs_id" in line and "mahasiswa_id" in line for line in reused), plan
