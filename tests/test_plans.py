@@ -13,6 +13,7 @@ from semesta import queries
 from semesta.functions import decode
 from semesta.functions.rounding import half_up, percent
 from semesta.functions.semester import academic_year, first_day, last_day, semester_name
+from semesta.operators import heavy
 from semesta.plans import audit, dims, facts, incremental, library, marts, quality
 from semesta.schemas import LIBRARY, SOURCES, TABLES, Table
 from semesta.sources import testbed
@@ -629,3 +630,65 @@ def test_flawed_facts_share_the_shuffles_of_their_sources(spark, tmp_path):
     reused = [line for line in plan.splitlines() if "ReusedExchange" in line]
     assert any("l_orderkey" in line and "l_partkey" in line for line in reused), plan
     assert any("khs_id" in line and "mahasiswa_id" in line for line in reused), plan
+
+
+def test_loan_lines_are_dealt_out_once(spark, campus, star):
+    """After the join with their loans, lines travel once, by member; the counts of a group need no other exchange."""
+    kept = {key: spark.conf.get(key) for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _loans(campus, star)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*), 2\)", plan)
+    assert sum("anggota_id" in keys for keys in dealt) == 2  # the lines, and the members they meet
+    assert not any("title" in keys or "kategori_id" in keys for keys in dealt)
+
+
+def test_crowded_members_are_counted_in_slots(spark, campus, star, monkeypatch):
+    """A member with many loans and one with a long loan: the same counts, whatever the number of slots."""
+    loans = spark.range(60).select(
+        F.col("id").alias("peminjaman_id"),
+        F.when(F.col("id") < 40, "A1").when(F.col("id") == 59, "A2").otherwise("A3").alias("anggota_id"),
+        F.lit(d("2020-10-01")).alias("tgl_pinjam"),
+    )
+    lines = spark.range(600).select(
+        F.when(F.col("id") < 300, F.lit(59)).otherwise(F.col("id") % 60).alias("peminjaman_id"),
+        F.format_string("B%d", F.col("id") % 4 + 1).alias("buku_id"),
+    )
+    fines = loans.select("peminjaman_id", F.lit(1000).alias("total_denda"))
+    given = {"peminjaman": loans, "detail_peminjaman": lines, "denda": fines}
+    expected = rows(_loans(campus, star, **given))
+    assert len(expected) == 6
+    monkeypatch.setattr(facts, "CROWD", 25)
+    crowds = facts._crowds(loans, lines)
+    assert rows(crowds) == [("A1", 2), ("A2", 13)]
+    recap = _loans(campus, star, **given)
+    assert rows(recap) == expected
+    assert "xxhash64" in recap._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_heavy_keys_are_exact(spark, monkeypatch):
+    data = spark.createDataFrame([("a",)] * 5 + [("b",)] * 4 + [("c",)] + [(None,)] * 9, "k STRING")
+    assert rows(heavy.heavy_keys(data, "k", 3)) == [("a", 5), ("b", 4)]
+    assert rows(heavy.heavy_keys(data, "k", 4)) == [("a", 5)]
+    assert heavy.heavy_keys(data, "k", 9) is None
+    # Keys that share a bucket are told apart.
+    monkeypatch.setattr(heavy, "BUCKETS", 1)
+    assert rows(heavy.heavy_keys(data, "k", 3)) == [("a", 5), ("b", 4)]
+    assert rows(heavy.heavy_keys(data, "k", 7)) == []
+
+
+def test_number_keys_are_compared_as_numbers(spark, table):
+    """References between whole numbers need no text; where one side is text, both are."""
+    fact = table("fact_rekap_ip", (1, 7, 5, dec("3.00"), 3, 1), (1, 8, None, None, None, None))
+    parents = {"dim_waktu": table("dim_waktu", (1, "2020/2021", "Ganjil")), "dim_program_studi": table("dim_program_studi", (7, "S1", "x", "y"))}
+    references = [fk for fk in TABLES["fact_rekap_ip"].references if fk.parent in parents]
+    report = quality.orphans([(fact, "fact_rekap_ip", fk) for fk in references], parents)
+    assert sorted(r["pelanggaran"] for r in report.collect()) == [0, 1]
+    assert " as string)" not in report._jdf.queryExecution().optimizedPlan().toString()
+    texts = {"dim_waktu": parents["dim_waktu"].withColumn("waktu_id", F.col("waktu_id").cast("string")), "dim_program_studi": parents["dim_program_studi"]}
+    mixed = quality.orphans([(fact, "fact_rekap_ip", fk) for fk in references], texts)
+    assert rows(mixed) == rows(report)

@@ -357,3 +357,28 @@ def test_library_views_by_name(spark, campus, tmp_path):
     runs.register_views(spark, warehouse, campus)
     assert spark.sql("SELECT * FROM ringkasan_anggota").count() == campus["anggota"].count()
     assert spark.sql("SELECT * FROM stok_buku").count() == campus["buku"].count()
+
+
+def _shuffle_files(spark) -> set[str]:
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = manager.getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_their_action(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = _shuffle_files(spark), spark.conf.get(key)
+    with session.temporary(spark):
+        kept = spark.range(5000).repartition(3, "id")
+        assert kept.groupBy((F.col("id") % 7).alias("k")).count().count() == 7
+        # A frame that is asked again computes its shuffle again.
+        assert [kept.count(), kept.count(), len(kept.collect()), len(kept.collect())] == [5000] * 4
+        for _ in range(60):
+            if not _shuffle_files(spark) - before:
+                break
+            time.sleep(0.5)
+        assert not _shuffle_files(spark) - before
+    assert spark.conf.get(key) == setting
+    with pytest.raises(ZeroDivisionError), session.tidy(spark):
+        raise ZeroDivisionError
+    assert spark.conf.get(key) == setting
