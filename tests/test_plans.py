@@ -692,3 +692,24 @@ def test_number_keys_are_compared_as_numbers(spark, table):
     texts = {"dim_waktu": parents["dim_waktu"].withColumn("waktu_id", F.col("waktu_id").cast("string")), "dim_program_studi": parents["dim_program_studi"]}
     mixed = quality.orphans([(fact, "fact_rekap_ip", fk) for fk in references], texts)
     assert rows(mixed) == rows(report)
+
+
+def test_referential_report_derives_one_fact_after_the_other(spark, tmp_path, monkeypatch):
+    """The facts' keys are there when the keys of all tables are counted, so their shuffles are not on disk together."""
+    day = datetime(1999, 10, 1)
+    folder = _raw_folder(
+        spark,
+        tmp_path,
+        nation=[(0, "N", 0)],
+        customer=[(i, f"c{i}", 0, 1.0, "BUILDING") for i in range(4)],
+        part=[(i, f"p{i}", "b", "t", 1) for i in range(3)],
+        orders=[(i, i % 4, "F", day, "1-URGENT") for i in range(8)],
+        lineitem=[(i % 8, i % 3, 1, 1, 30.0, "N", "F") for i in range(24)],
+    )
+    expected = rows(quality.referential(queries.Campus(spark, folder).flawed, queries._ALL))
+    given = {}
+    whole = quality.referential
+    monkeypatch.setattr(quality, "referential", lambda tables, specs: given.update(tables=tables) or whole(tables, specs))
+    assert rows(queries.PLANS["dq_referential"](queries.Campus(spark, folder))) == expected
+    for spec in queries.FACTS:
+        assert "Join" not in given["tables"][spec.name]._jdf.queryExecution().optimizedPlan().toString()
