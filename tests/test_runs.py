@@ -382,3 +382,19 @@ def test_shuffle_files_go_with_their_action(spark):
     with pytest.raises(ZeroDivisionError), session.tidy(spark):
         raise ZeroDivisionError
     assert spark.conf.get(key) == setting
+
+
+def test_landing_keeps_no_second_copy(spark, tmp_path, monkeypatch):
+    """The landed files are all that is left of the tables once they have landed, and every row is in one of them."""
+    from semesta import queries
+    from tests.test_plans import _raw_folder
+
+    folder = _raw_folder(
+        spark, tmp_path / "raw", customer=[(i, f"c{i}", 0, 1.0, "BUILDING") for i in range(40)], nation=[(0, "N", 0)]
+    )
+    campus, before, landed = queries.Campus(spark, folder), set(_scratch(spark)), {}
+    monkeypatch.setattr(queries.runs, "initial_run", lambda spark, root, sources: landed.update(sources))
+    monkeypatch.setattr(queries, "_summary", lambda warehouse: None)
+    queries._landing_load(campus)
+    assert set(_scratch(spark)) == before
+    assert rows(landed["mahasiswa"]) == rows(campus.sources["mahasiswa"]) and landed["mahasiswa"].count() == 40
