@@ -398,3 +398,24 @@ def test_landing_keeps_no_second_copy(spark, tmp_path, monkeypatch):
     queries._landing_load(campus)
     assert set(_scratch(spark)) == before
     assert rows(landed["mahasiswa"]) == rows(campus.sources["mahasiswa"]) and landed["mahasiswa"].count() == 40
+
+
+def test_grades_are_derived_once_for_landing(spark, tmp_path, monkeypatch):
+    from semesta import queries
+    from tests.test_plans import _raw_folder
+
+    class Landed(Exception):
+        pass
+
+    def land(folder, tables):
+        given.update(tables)
+        assert "Join" not in tables["detail_nilai"]._jdf.queryExecution().optimizedPlan().toString()
+        raise Landed
+
+    given, folder = {}, _raw_folder(spark, tmp_path / "raw")
+    monkeypatch.setattr(queries.runs, "incremental_run", lambda *args: Warehouse(spark, str(tmp_path / "dw")))
+    monkeypatch.setattr(queries, "land", land)
+    before = set(_scratch(spark))
+    with pytest.raises(Landed):
+        queries._second_night(queries.Campus(spark, folder))
+    assert set(given) == set(SOURCES) and set(_scratch(spark)) == before
